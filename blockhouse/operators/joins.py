@@ -11,26 +11,28 @@ from .aggregates import last_per_key
 def merge_tx_receipts(txs: DataFrame, receipts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """JOIN-1: block transactions x receipts on (blockNumber, hash).
 
-    Receipts are deduplicated last-wins per hash (AGG-5), then left-joined.
-    A block in which any transaction has no receipt fails as a whole: its rows
-    go to the second result (block, n_unmatched) for a retry, never to the
-    merged output. Both inputs are hash-partitioned on the block once, which
-    serves the dedupe, the join and the per-block rule without another
-    exchange. ``type`` stays as sent; numbers are decoded to text (FN-1).
+    Receipts are deduplicated last-wins per hash (AGG-5, reduced map-side),
+    then left-joined on (block, hash), which spreads even a huge block over
+    many tasks. A block in which any transaction has no receipt fails as a
+    whole: the failed blocks (block, n_unmatched) come from a partial
+    aggregate over the join, and the merged rows are the join minus those
+    blocks (an anti join that AQE can split when one block is hot). Both
+    passes read the same two shuffles (exchange reuse). ``type`` stays as
+    sent; numbers are decoded to text (FN-1).
     """
-    t = txs.withColumn("blockNumber", fn.hex_to_long("blockNumber")).repartition("blockNumber")
-    r = receipts.repartition("blockNumber")
-    r = last_per_key(r, ["blockNumber", "transactionHash"], "ord")
-    r = r.select("blockNumber", "transactionHash", F.lit(True).alias("_matched"),
+    t = txs.withColumn("blockNumber", fn.hex_to_long("blockNumber"))
+    r = last_per_key(receipts, ["blockNumber", "transactionHash"], "ord")
+    r = r.select("blockNumber", F.col("transactionHash").alias("hash"), F.lit(True).alias("_matched"),
                  *[F.col(c).alias(f"r_{c}") for c in (
                      "gasUsed", "cumulativeGasUsed", "effectiveGasPrice", "contractAddress",
                      "status", "logsBloom", "logs")])
-    j = t.join(r, (t["blockNumber"] == r["blockNumber"]) & (t["hash"] == r["transactionHash"]), "left") \
-        .drop(r["blockNumber"]).drop(r["transactionHash"])
-    j = j.withColumn("_unmatched_in_block", F.sum(F.when(F.col("_matched").isNull(), 1).otherwise(0))
-                     .over(Window.partitionBy("blockNumber")))
+    j = t.join(r, ["blockNumber", "hash"], "left")
+    failed = (j.groupBy("blockNumber")
+              .agg(F.sum(F.col("_matched").isNull().cast("bigint")).alias("n_unmatched"))
+              .where(F.col("n_unmatched") > 0))
+    ok = j.join(failed.select("blockNumber"), "blockNumber", "left_anti")
     dec = fn.hex_to_decimal_text
-    merged = j.where(F.col("_unmatched_in_block") == 0).select(
+    merged = ok.select(
         F.col("hash").alias("transactionHash"), dec("transactionIndex").alias("transactionIndex"),
         "blockHash", F.col("blockNumber").cast("string").alias("blockNumber"), "from", "to",
         dec("value").alias("value"), "input", dec("nonce").alias("nonce"), dec("gas").alias("gas"),
@@ -42,51 +44,51 @@ def merge_tx_receipts(txs: DataFrame, receipts: DataFrame) -> tuple[DataFrame, D
         dec("r_status").alias("status"), F.col("r_logsBloom").alias("logsBloom"),
         fn.convert_logs(F.coalesce("r_logs", F.array().cast(fn.LOG_WIRE_DDL))).alias("logs"),
     )
-    failed = (j.where(F.col("_unmatched_in_block") > 0)
-              .groupBy("blockNumber").agg(F.sum(F.col("_matched").isNull().cast("int")).cast("bigint").alias("n_unmatched")))
     return merged, failed
 
 
 def asof_block(blocks: DataFrame, targets: DataFrame, closest: str = "before",
                block: str = "block", ts: str = "ts", target: str = "target_ts",
-               bucket: str = "hour") -> DataFrame:
+               partitions: int | None = None) -> DataFrame:
     """JOIN-3: for each target time the block nearest to it on one side.
     ``before``: latest block with ts <= target (ties -> higher block);
     ``after``: earliest block with ts >= target (ties -> lower block).
 
-    No inequality join: targets and blocks are unioned, bucketed by time
-    (``bucket``), and a running ``last(ignorenulls)`` inside each bucket finds
-    the nearest block; a target whose bucket has no block on its side takes
-    the carried value from a per-bucket summary (one row per bucket, so its
-    size is bounded by the time span, not by the data).
+    A distributed prefix scan, no inequality join: targets and blocks are
+    unioned and range-partitioned on (time, kind, block) -- sampling places
+    the boundaries, so a dense hour is split over several tasks -- and a
+    running ``last(ignorenulls)`` inside each range partition finds the
+    nearest block. Targets at the start of a partition take the value carried
+    from the partitions before it: a summary with one row per partition
+    (bounded by the partition count, hence broadcast).
     """
     before = closest == "before"
+    spark = blocks.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     b = blocks.select(F.col(ts).cast("timestamp_ntz").alias("_t"), F.col(block).alias("_b"))
     btype = b.schema["_b"].dataType
     t = targets.select(F.col(target).cast("timestamp_ntz").alias("_t"))
-    # at equal times a block sorts before the target on the wanted side, and
-    # equal-time blocks sort so that the preferred one comes last
+    # scan order: at equal times a block precedes the target on the wanted
+    # side, and equal-time blocks are ordered so the preferred one is last
     kind_block, kind_target = (0, 1) if before else (1, 0)
     u = (b.select("_t", "_b", F.lit(kind_block).alias("_k"))
-         .unionByName(t.select("_t", F.lit(None).cast(btype).alias("_b"), F.lit(kind_target).alias("_k")))
-         .withColumn("_bucket", F.date_trunc(bucket, "_t")))
+         .unionByName(t.select("_t", F.lit(None).cast(btype).alias("_b"), F.lit(kind_target).alias("_k"))))
     order = [F.col("_t"), F.col("_k"), F.col("_b")]
     if not before:
         order = [c.desc() for c in order]
-    w = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    u = u.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
+    w = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hit = (u.withColumn("_near", F.last("_b", ignorenulls=True).over(w))
-           .where(F.col("_k") == kind_target).select(F.col("_t").alias(target), "_bucket", "_near"))
-    # per-bucket summary: the bucket's edge block on the wanted side, one row
-    # per bucket, then carried across buckets that have none
+           .where(F.col("_k") == kind_target).select(F.col("_t").alias(target), "_p", "_near"))
     pick = F.max_by if before else F.min_by
-    edge = b.groupBy(F.date_trunc(bucket, "_t").alias("_bucket")).agg(
-        pick("_b", F.struct("_t", "_b")).alias("_edge"))
-    buckets = (hit.select("_bucket").distinct().select("_bucket", F.lit(None).cast(btype).alias("_edge"))
-               .unionByName(edge).groupBy("_bucket").agg(F.max("_edge").alias("_edge")))
-    cw = (Window.orderBy("_bucket") if before else Window.orderBy(F.col("_bucket").desc())) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.withColumn("_carry", F.last("_edge", ignorenulls=True).over(cw)).select("_bucket", "_carry")
-    return hit.join(buckets, "_bucket", "left").select(target, F.coalesce("_near", "_carry").alias(block))
+    edge = u.where(F.col("_k") == kind_block).groupBy("_p").agg(pick("_b", F.struct("_t", "_b")).alias("_edge"))
+    parts = spark.range(n).select(F.col("id").cast("int").alias("_p"))
+    carry = (parts.join(edge, "_p", "left")
+             .withColumn("_carry", F.last("_edge", ignorenulls=True).over(
+                 Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)))
+             .select("_p", "_carry"))
+    return (hit.join(F.broadcast(carry), "_p", "left")  # n rows
+            .select(target, F.coalesce("_near", "_carry").alias(block)))
 
 
 def join_block_header(txs: DataFrame, headers: DataFrame, key: str = "blockNumber") -> DataFrame:
