@@ -50,7 +50,8 @@ def stream_hourly_load(spark: SparkSession, landing: str, schema: StructType, ta
                        & (F.col("ts") <= F.timestamp_add("HOUR", F.lit(1), hi)))
                 .select("*", *fn.kst_hour_keys("ts"))
                 .join(F.broadcast(touched), HOUR_KEYS, "left_semi"))  # touched hours of one batch: bounded
-        (tx_project_hourly(full).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (tx_project_hourly(full).hint("rebalance", *WAREHOUSE_KEYS)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*WAREHOUSE_KEYS).parquet(target))
 
     _run(file_stream(spark, landing, schema, max_files).writeStream.foreachBatch(load), checkpoint)
@@ -68,7 +69,8 @@ def stream_hour_counts(spark: SparkSession, landing: str, schema: StructType, ta
     def write(batch: DataFrame, epoch: int) -> None:
         out = batch.select(F.date_format(F.col("w.start"), "yyyy-MM-dd HH").alias("slot"),
                            F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n_rows")
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot").parquet(target)
+        (out.hint("rebalance", "slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("slot").parquet(target))
 
     _run(counts.writeStream.outputMode("update").foreachBatch(write), checkpoint)
 
