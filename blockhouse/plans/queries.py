@@ -300,10 +300,9 @@ def manifest_empty(spark, sf):
     keys = ["year", "month", "day", "hour"]
     counts = agg.count_per_key(fx.hourly(spark, sf).where(F.col("hour") != "03"), keys)
     m = wr.manifest(_expected_hours(spark, sf), counts, keys)
-    wr.write_manifest(m, path, keys)
-    wr.write_manifest(m, path, keys)  # a rewrite replaces the rows
-    return spark.read.schema("year string, month string, day string, hour string, n_rows bigint, is_empty boolean") \
-        .parquet(path).select(*keys, "n_rows", "is_empty")
+    wr.write_manifest(spark, m, path, keys)
+    wr.write_manifest(spark, m, path, keys)  # a rewrite replaces the keys' rows
+    return tb.VersionedTable(spark, path).read().select(*keys, "n_rows", "is_empty")
 
 
 def _holder_snapshot(spark, sf):

@@ -172,13 +172,21 @@ def append_state(spark: SparkSession, path: str, rows: DataFrame) -> None:
 def read_state(spark: SparkSession, path: str, initial: int) -> DataFrame:
     """The next block to fetch: the latest committed value, or ``initial``
     when the state is empty or unreadable."""
-    st = try_read(spark, path)
+    try:
+        st = try_read(spark, path)
+        if st is not None:
+            st.select("seq", "next_fetch_block").schema  # noqa: B018  (unreadable -> default)
+    except Exception:  # noqa: BLE001  a corrupt state resets to the initial block
+        st = None
     if st is None:
         return spark.range(1).select(F.lit(initial).cast("bigint").alias("next_fetch_block"))
     last = st.agg(F.max_by("next_fetch_block", "seq").alias("v"))
     return last.select(F.coalesce("v", F.lit(initial)).cast("bigint").alias("next_fetch_block"))
 
 
-def append_failed_blocks(path: str, failed: DataFrame) -> None:
-    """SNK-15: blocks still missing after the recovery rounds."""
+def append_failed_blocks(path: str, failed: DataFrame, strict: bool = False) -> None:
+    """SNK-15: blocks still missing after the recovery rounds are appended to
+    the log; in strict mode the job then fails (after the log is written)."""
     failed.write.mode("append").parquet(path)
+    if strict and not failed.isEmpty():
+        raise RuntimeError(f"blocks still missing after recovery; see {path}")

@@ -60,11 +60,12 @@ def manifest(expected: DataFrame, counts: DataFrame, keys: list[str], n: str = "
     return j.select(*keys, cnt.alias(n), (cnt == 0).alias("is_empty"))
 
 
-def write_manifest(m: DataFrame, path: str, keys: list[str]) -> None:
-    """A rewrite of a key replaces that key's manifest row (dynamic overwrite
-    keyed by the first key column)."""
-    (m.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(keys[0]).parquet(path))
+def write_manifest(spark, m: DataFrame, path: str, keys: list[str]) -> int:
+    """Manifest rows are replaced per key (a later count for a key, e.g. data
+    arriving for a key recorded empty, replaces that key's row only): a keyed
+    upsert committed as a new version of the manifest table."""
+    from .tables import VersionedTable, load_upsert_key
+    return load_upsert_key(VersionedTable(spark, path), m, keys)
 
 
 def write_holders_csv(df: DataFrame, path: str, inserted_at: str) -> None:

@@ -98,3 +98,35 @@ def test_state_defaults_when_empty(spark):
     tb.append_state(spark, path, spark.createDataFrame([(0, 100), (1, 200)], "seq long, next_fetch_block long"))
     tb.append_state(spark, path, spark.createDataFrame([(2, 300)], "seq long, next_fetch_block long"))
     assert tb.read_state(spark, path, 42).first()[0] == 300
+
+
+def test_manifest_rewrite_replaces_only_rewritten_keys(spark):
+    path = scratch_path(spark, "t-manifest")
+    exp = spark.createDataFrame([("01",), ("02",), ("03",)], "hour string")
+    wr.write_manifest(spark, wr.manifest(exp, spark.createDataFrame([("01", 5)], "hour string, n_rows long"), ["hour"]),
+                      path, ["hour"])
+    later = wr.manifest(spark.createDataFrame([("02",)], "hour string"),
+                        spark.createDataFrame([("02", 7)], "hour string, n_rows long"), ["hour"])
+    wr.write_manifest(spark, later, path, ["hour"])
+    got = sorted(tuple(r) for r in tb.VersionedTable(spark, path).read().collect())
+    assert got == [("01", 5, False), ("02", 7, False), ("03", 0, True)]
+
+
+def test_state_resets_when_unreadable_and_failed_blocks_strict(spark):
+    import pytest
+    path = scratch_path(spark, "t-bad-state")
+    spark.createDataFrame([("garbage",)], "x string").write.parquet(path)
+    assert tb.read_state(spark, path, 7).first()[0] == 7
+    with pytest.raises(RuntimeError):
+        tb.append_failed_blocks(scratch_path(spark, "t-failed"), spark.createDataFrame([(13,)], "block long"), strict=True)
+
+
+def test_source_status_strict_raises_on_missing_hour(spark):
+    import pytest
+    from blockhouse.sources.status import source_status
+    exp = spark.createDataFrame([("2025", "07", "01", "09"), ("2025", "07", "01", "10")], "year string, month string, day string, hour string")
+    man = spark.createDataFrame([("2025", "07", "01", "09", 0)], "year string, month string, day string, hour string, n_rows long")
+    got = {r["hour"]: r["status"] for r in source_status(exp, man).collect()}
+    assert got == {"09": "empty", "10": "missing"}
+    with pytest.raises(Exception):
+        source_status(exp, man, strict=True).collect()
