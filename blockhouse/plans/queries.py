@@ -97,7 +97,7 @@ def _hour_range(spark: SparkSession, sf: str) -> DataFrame:
 # ============================================================== 2.1 sources
 @query("scan_nested_tx")
 def scan_nested_tx(spark, sf):
-    """SRC-1: nested rows written with the 23-column schema, scanned back."""
+    """SRC-1: landed nested files scanned with the declared 23-column schema."""
     df = src.scan_nested_tx(spark, fx.lake_nested.path(spark, sf))
     return df.select("transactionHash", "blockNumber", "value", "status",
                      F.size("logs").cast("bigint").alias("n_logs"),
