@@ -26,7 +26,7 @@ ADDRESS_SPACE = 1500
 ATTEMPTS = 5
 
 
-LANDING_VERSION = "3"
+LANDING_VERSION = "4"
 
 
 def landed(name: str, partition_by: list[str] | None = None):
@@ -39,16 +39,22 @@ def landed(name: str, partition_by: list[str] | None = None):
     returns the data folder (partitioned by ``partition_by``)."""
     def deco(build):
         def path(spark: SparkSession, sf_dir: str) -> str:
+            import uuid
             from ..sinks.tables import try_read
             key = hashlib.sha1(f"{LANDING_VERSION}|{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
             base = f"{shared_root(spark)}/blockhouse/landed/{key}/{name}"
-            if try_read(spark, f"{base}/_done") is None:
-                df = build(spark, sf_dir)
-                w = (df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
-                     if partition_by else df.write)
-                w.mode("overwrite").parquet(f"{base}/data")
-                spark.range(1).write.mode("overwrite").parquet(f"{base}/_done")
-            return f"{base}/data"
+            marker = try_read(spark, f"{base}/_done")
+            if marker is not None:
+                return marker.first()["data"]
+            # each writer lands into its own folder and then publishes it, so
+            # concurrent or interrupted landings never mix files
+            data = f"{base}/data-{uuid.uuid4().hex[:12]}"
+            df = build(spark, sf_dir)
+            w = (df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+                 if partition_by else df.write)
+            w.mode("errorifexists").parquet(data)
+            spark.createDataFrame([(data,)], "data string").coalesce(1).write.mode("overwrite").parquet(f"{base}/_done")
+            return data
 
         @functools.wraps(build)
         def get(spark: SparkSession, sf_dir: str) -> DataFrame:

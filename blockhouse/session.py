@@ -26,6 +26,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8) -> Spar
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # local runs shuffle a few MB: let AQE keep several writer tasks for
+        # partitioned outputs instead of merging everything into one
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
