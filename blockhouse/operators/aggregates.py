@@ -4,8 +4,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import functions as fn
-
 
 def count_per_key(df: DataFrame, keys: list[str], name: str = "n_rows") -> DataFrame:
     """AGG-1: rows per hour / chunk (partial counts are combined map-side, so a
@@ -32,10 +30,6 @@ def address_profile(tx: DataFrame, address: str = "from") -> DataFrame:
         F.try_sum("value").alias("total_value"))
 
 
-def first_missing(expected: DataFrame, present: DataFrame, key: str = "block") -> DataFrame:
-    return expected.join(present.select(key), key, "left_anti")
-
-
 def next_block_asc(spark: SparkSession, present: DataFrame, low: int, high: int, size: int,
                    key: str = "block") -> DataFrame:
     """AGG-2 ascending, contiguous form (D16): the start of the grid chunk

@@ -128,3 +128,65 @@ def retry_subset(df: DataFrame, retry: DataFrame, key: str = "block", df_key: st
 def new_holders(profile: DataFrame, snapshot: DataFrame, key: str = "address") -> DataFrame:
     """JOIN-8: active addresses absent from the holder snapshot."""
     return profile.join(snapshot.select(key), key, "left_anti")
+
+
+def _block_side(blocks: DataFrame, body: str) -> DataFrame:
+    from ..sources.landed import RPC_BLOCK_DDL, RPC_TX_DDL
+    parsed = blocks.select(F.from_json(F.col(body), RPC_BLOCK_DDL)["result"].alias("_r"))  # parsed once
+    p = F.col("_r")
+    objects = F.filter(p["transactions"], lambda e: F.ltrim(e).startswith("{"))          # FLT-7
+    return parsed.select(
+        fn.hex_to_long(p["number"]).alias("_block"),
+        F.coalesce(p["timestamp"], F.lit("0x0")).alias("block_ts_hex"),
+        F.transform(objects, lambda e: F.from_json(e, RPC_TX_DDL)).alias("_txs"))
+
+
+def _receipt_side(receipts: DataFrame, body: str, key: str) -> DataFrame:
+    from ..sources.landed import RPC_RECEIPT_DDL
+    arr = F.from_json(F.col(body), RPC_RECEIPT_DDL)["result"]
+    tagged = F.transform(arr, lambda r, i: F.struct(r["transactionHash"].alias("h"), i.alias("pos"), r.alias("r")))
+    # the sorted array is a column of its own: a lambda that referenced the
+    # expression would re-evaluate it per element
+    s = receipts.select(F.col(key).alias("_block"), F.array_sort(tagged).alias("_s"))
+    c = F.col("_s")
+    last = F.filter(c, lambda x, i: (i == F.size(c) - 1) | (F.element_at(c, i + 2)["h"] != x["h"]))
+    return s.select("_block", F.map_from_entries(F.transform(last, lambda x: F.struct(x["h"], x["r"]))).alias("_rmap"))
+
+
+def merge_block_responses(blocks: DataFrame, receipts: DataFrame, body: str = "body",
+                          receipt_key: str = "blockNumber") -> tuple[DataFrame, DataFrame]:
+    """JOIN-1 on landed per-block responses (one block response and one
+    receipts response per block).
+
+    The two responses of a block are joined on the block number -- one row
+    per block on each side, so no key can be hot -- and the rest happens
+    inside the joined row with higher-order functions: receipts sorted by
+    (hash, position) keep the last per hash (the dict build), a hash ->
+    receipt map matches every transaction, and the block fails as a whole
+    when any transaction has no receipt (or the receipts response is
+    missing). No per-transaction shuffle; extra receipts are ignored. Same
+    output as ``merge_tx_receipts``. Assumes one landed response per block
+    and side (deduplicate repeated landings first)."""
+    j = _block_side(blocks, body).join(_receipt_side(receipts, body, receipt_key), "_block", "left")
+    j = j.select("_block", "block_ts_hex", F.transform("_txs", lambda t: F.struct(
+        t.alias("t"), F.try_element_at(F.col("_rmap"), t["hash"]).alias("r"))).alias("_m"))
+    j = j.withColumn("_unmatched", F.size(F.filter("_m", lambda x: x["r"].isNull())).cast("bigint"))
+    failed = j.where(F.col("_unmatched") > 0).select(F.col("_block").alias("blockNumber"),
+                                                     F.col("_unmatched").alias("n_unmatched"))
+    rows = j.where(F.col("_unmatched") == 0).select("block_ts_hex", F.explode("_m").alias("x"))
+    t, r = F.col("x.t"), F.col("x.r")
+    dec = fn.hex_to_decimal_text
+    merged = rows.select(
+        t["hash"].alias("transactionHash"), dec(t["transactionIndex"]).alias("transactionIndex"),
+        t["blockHash"].alias("blockHash"), fn.hex_to_long(t["blockNumber"]).cast("string").alias("blockNumber"),
+        t["from"].alias("from"), t["to"].alias("to"), dec(t["value"]).alias("value"), t["input"].alias("input"),
+        dec(t["nonce"]).alias("nonce"), dec(t["gas"]).alias("gas"), dec(t["gasPrice"]).alias("gasPrice"),
+        dec(t["maxFeePerGas"]).alias("maxFeePerGas"), dec(t["maxPriorityFeePerGas"]).alias("maxPriorityFeePerGas"),
+        t["type"].alias("type"), fn.hex_ts_to_kst("block_ts_hex").alias("timestamp"),
+        fn.default_array(t["accessList"], "struct<address:string,storageKeys:array<string>>").alias("accessList"),
+        dec(r["gasUsed"]).alias("gasUsed"), dec(r["cumulativeGasUsed"]).alias("cumulativeGasUsed"),
+        dec(r["effectiveGasPrice"]).alias("effectGasPrice"), r["contractAddress"].alias("contractAddress"),
+        dec(r["status"]).alias("status"), r["logsBloom"].alias("logsBloom"),
+        fn.convert_logs(F.coalesce(r["logs"], F.array().cast(fn.LOG_WIRE_DDL))).alias("logs"),
+    )
+    return merged, failed

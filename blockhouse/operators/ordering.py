@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 
 def sort_block_tx(df: DataFrame, chunk: str = "chunk") -> DataFrame:
-    """SRT-1 for writing: one task per chunk file, rows in (block, index)
-    order inside it; no global sort."""
-    return df.repartition(chunk).sortWithinPartitions(chunk, "blockNumber", "transactionIndex")
+    """SRT-1 for writing: rows clustered by chunk, in (block, index) order
+    inside each output file; no global sort (``rebalance`` lets AQE split an
+    oversized chunk over several sorted files)."""
+    return df.hint("rebalance", chunk).sortWithinPartitions(chunk, "blockNumber", "transactionIndex")
 
 
 def position_in_chunk(df: DataFrame, chunk: str = "chunk") -> DataFrame:

@@ -26,7 +26,7 @@ ADDRESS_SPACE = 1500
 ATTEMPTS = 5
 
 
-LANDING_VERSION = "4"
+LANDING_VERSION = "5"
 
 
 def landed(name: str, partition_by: list[str] | None = None):
@@ -50,8 +50,10 @@ def landed(name: str, partition_by: list[str] | None = None):
             # concurrent or interrupted landings never mix files
             data = f"{base}/data-{uuid.uuid4().hex[:12]}"
             df = build(spark, sf_dir)
-            w = (df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
-                 if partition_by else df.write)
+            if partition_by:
+                w = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+            else:  # landed responses arrive as many files, not one
+                w = df.repartition(max(8, 2 * spark.sparkContext.defaultParallelism)).write
             w.mode("errorifexists").parquet(data)
             spark.createDataFrame([(data,)], "data string").coalesce(1).write.mode("overwrite").parquet(f"{base}/_done")
             return data

@@ -52,7 +52,7 @@ def historical_backfill(spark: SparkSession, blocks: DataFrame, receipts: DataFr
     (SNK-4) -> nested scan (SRC-1) -> typed casts and day keys (PRJ-4/5/7) ->
     day partitions (SNK-3) -> historical projection (PRJ-1b) inserted where
     absent (SNK-12). Returns the blocks to retry (JOIN-6 input)."""
-    merged, failed = jn.merge_tx_receipts(lsrc.flatten_rpc_blocks(blocks), lsrc.flatten_rpc_receipts(receipts))
+    merged, failed = jn.merge_block_responses(blocks, receipts)
     conformed = prj.conform(merged, RAW_23).withColumn("blockNumber", F.col("blockNumber").cast("bigint"))
     conformed = conformed.withColumn("transactionIndex", F.col("transactionIndex").cast("bigint"))
     wr.write_block_chunks(conformed, chunk_dir, chunk_size)

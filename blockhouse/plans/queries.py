@@ -60,10 +60,6 @@ def query(name: str):
     return deco
 
 
-def _s(c: str) -> F.Column:
-    return F.col(c).cast("string").alias(c)
-
-
 def _block_bounds(spark: SparkSession, sf: str) -> tuple[int, int]:
     """[1, max block]: two scalars of a one-row aggregate reach the driver."""
     hi = fx.tx(spark, sf).agg(F.max("blockNumber")).first()[0]
@@ -588,7 +584,7 @@ def filter_time_range(spark, sf):
 
 # ================================================================ 2.4 joins
 def _merge(spark, sf):
-    return jn.merge_tx_receipts(_rpc_txs(spark, sf, stamp=True), _receipts(spark, sf))
+    return jn.merge_block_responses(fx.rpc_block(spark, sf), fx.rpc_receipt(spark, sf))
 
 
 @query("merge_tx_receipts")

@@ -28,10 +28,11 @@ def test_merge_duplicate_receipt_last_wins_and_unmatched_block_fails(spark):
         receipts(1, [("a", "0x1", "0x0"), ("b", "0x2", "0x1"), ("a", "0x3", "0x1"), ("zz", "0x9", "0x1")]),
         receipts(2, [("c", "0x1", "0x1")]),
     ], "blockNumber long, body string")
-    merged, failed = jn.merge_tx_receipts(lsrc.flatten_rpc_blocks(blocks), lsrc.flatten_rpc_receipts(recs))
-    got = {r["transactionHash"]: (r["gasUsed"], r["status"]) for r in merged.collect()}
-    assert got == {"a": ("3", "1"), "b": ("2", "1")}          # last receipt wins, extra ignored
-    assert [(r["blockNumber"], r["n_unmatched"]) for r in failed.collect()] == [(2, 1)]
+    for merged, failed in (jn.merge_tx_receipts(lsrc.flatten_rpc_blocks(blocks), lsrc.flatten_rpc_receipts(recs)),
+                           jn.merge_block_responses(blocks, recs)):
+        got = {r["transactionHash"]: (r["gasUsed"], r["status"]) for r in merged.collect()}
+        assert got == {"a": ("3", "1"), "b": ("2", "1")}          # last receipt wins, extra ignored
+        assert [(r["blockNumber"], r["n_unmatched"]) for r in failed.collect()] == [(2, 1)]
 
 
 def test_rpc_block_non_object_dropped_and_missing_timestamp(spark):
