@@ -21,8 +21,11 @@ def repeated_cursors(items_or_pages: DataFrame, block: str = "block", cursor: st
             .agg(F.count(F.lit(1)).alias("n_seen")).where(F.col("n_seen") > 1))
 
 
-def holder_registry(snapshot: DataFrame, new: DataFrame) -> DataFrame:
+def holder_registry(snapshot: DataFrame, new: DataFrame, detected_at: str) -> DataFrame:
     """SET-4: the top-holder snapshot plus newly detected holders, each row
-    tagged with where it came from."""
+    tagged with where it came from; new rows carry their detection time."""
     return (snapshot.withColumn("note", F.lit("top_holder_snapshot"))
-            .unionByName(new.withColumn("note", F.lit("new_holder_detected")), allowMissingColumns=True))
+            .withColumn("detected_at", F.lit(None).cast("timestamp_ntz"))
+            .unionByName(new.withColumn("note", F.lit("new_holder_detected"))
+                         .withColumn("detected_at", F.lit(detected_at).cast("timestamp_ntz")),
+                         allowMissingColumns=True))

@@ -39,11 +39,14 @@ def hourly_batch(spark: SparkSession, pages: DataFrame, start: datetime, end: da
                        F.col("value").try_cast("decimal(38,0)").alias("value"),
                        F.lit(None).cast("string").alias("status"), "ts", "timestamp", *fn.kst_hour_keys("ts"))
     wr.write_hour_partitions(rows, lake)
-    touched = rows.select(*HOUR_KEYS).distinct()
+    # the hours of [start, end) select the partitions to rebuild: a predicate
+    # over the partition keys only, so the re-read is pruned at listing
+    hour = fn.hour_key_ts("year", "month", "day", "hour")
     landed = (spark.read.option("basePath", lake).parquet(lake)
-              .join(touched, HOUR_KEYS, "left_semi"))
+              .where((hour >= F.date_trunc("hour", F.lit(start)).cast("timestamp_ntz"))
+                     & (hour < F.lit(end).cast("timestamp_ntz"))))
     tb.load_replace_partition(prj.tx_project_hourly(landed), warehouse, WAREHOUSE_KEYS)
-    return touched
+    return landed.select(*HOUR_KEYS).distinct()
 
 
 def historical_backfill(spark: SparkSession, blocks: DataFrame, receipts: DataFrame, chunk_size: int,

@@ -441,10 +441,12 @@ SELECT blockNumber AS block,
 FROM p GROUP BY 1, 2 HAVING count(*) > 1"""
 
 SQL["holder_registry"] = W(TX, _PROFILE, HOLDER) + """
-SELECT address, 'top_holder_snapshot' AS note, CAST(NULL AS BIGINT) AS first_seen_block, CAST(NULL AS BIGINT) AS total_tx_count
+SELECT address, 'top_holder_snapshot' AS note, CAST(NULL AS TIMESTAMP) AS detected_at,
+  CAST(NULL AS BIGINT) AS first_seen_block, CAST(NULL AS BIGINT) AS total_tx_count
 FROM hr WHERE c_custkey % 3 <> 0
 UNION ALL
-SELECT address, 'new_holder_detected', first_seen_block, total_tx_count FROM prof WHERE ck % 3 = 0"""
+SELECT address, 'new_holder_detected', TIMESTAMP '2025-07-01 00:00:00', first_seen_block, total_tx_count
+FROM prof WHERE ck % 3 = 0"""
 
 # ----------------------------------------------------------------- scalars
 SQL["hex_to_decimal"] = W(TX) + "SELECT transactionHash, value, CAST(gasPrice AS VARCHAR) AS gasPrice FROM tx"

@@ -789,8 +789,8 @@ def repeated_cursors(spark, sf):
 def holder_registry(spark, sf):
     """SET-4: snapshot rows plus new holders, tagged by origin."""
     new = jn.new_holders(_profile(spark, sf), fx.snapshot_old(spark, sf))
-    reg = st.holder_registry(fx.snapshot_old(spark, sf), new)
-    return reg.select("address", "note", "first_seen_block", "total_tx_count")
+    reg = st.holder_registry(fx.snapshot_old(spark, sf), new, RUN_DATE)
+    return reg.select("address", "note", "detected_at", "first_seen_block", "total_tx_count")
 
 
 # ======================================================= 2.9 scalar fns
