@@ -433,3 +433,23 @@ def lake_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.projections import conform
     from ..schemas import RAW_23
     return conform(tx_nested(spark, sf_dir), RAW_23)
+
+
+def realtime_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Realtime staging rows from ``hourly``: epoch-ns time, hex status
+    ('0x1' for purchases)."""
+    h = hourly(spark, sf_dir)
+    ns = (fn.epoch_seconds("ts") * F.lit(1_000_000_000)
+          + (F.unix_micros(F.col("ts").cast("timestamp")) % 1_000_000) * 1000)
+    return h.select("transactionHash", ns.alias("timestamp"), F.col("value").cast("string").alias("value"),
+                    "from", "to", "blockNumber",
+                    F.when(F.col("status") == "purchase", "0x1").otherwise("0x0").alias("status"))
+
+
+@landed("lake_realtime", ["year", "month", "day", "hour"])
+def lake_realtime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An earlier (stale: every status '0') load of the realtime table,
+    hour-partitioned by the KST keys of its time."""
+    from ..operators.projections import tx_project_realtime
+    p = tx_project_realtime(realtime_staging(spark, sf_dir)).withColumn("status", F.lit("0"))
+    return p.select("*", *fn.kst_hour_keys("timestamp"))

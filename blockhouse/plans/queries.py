@@ -77,12 +77,7 @@ def _typed_tx(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _staging(spark: SparkSession, sf: str) -> DataFrame:
-    """Realtime staging rows: epoch-ns time, hex status for purchases."""
-    h = fx.hourly(spark, sf)
-    ns = fn.epoch_seconds("ts") * F.lit(1_000_000_000) + (F.unix_micros(F.col("ts").cast("timestamp")) % 1_000_000) * 1000
-    return h.select("transactionHash", ns.alias("timestamp"), F.col("value").cast("string").alias("value"),
-                    "from", "to", "blockNumber",
-                    F.when(F.col("status") == "purchase", "0x1").otherwise("0x0").alias("status"))
+    return fx.realtime_staging(spark, sf)
 
 
 def _hour_range(spark: SparkSession, sf: str) -> DataFrame:
@@ -352,13 +347,20 @@ def _realtime_out(df: DataFrame) -> DataFrame:
 
 @query("load_replace_range")
 def load_replace_range(spark, sf):
-    """SNK-9: [2024-01-10, 2024-01-12) replaced via a new committed version."""
-    t = tb.VersionedTable(spark, scratch_path(spark, "realtime"))
+    """SNK-9: [2024-01-10, 2024-01-12) replaced; only the hour partitions of
+    that range are rebuilt and repointed (replayed once)."""
+    import uuid
+    loc = scratch_path(spark, "realtime")
     proj = prj.tx_project_realtime(_staging(spark, sf))
-    t.commit(proj.withColumn("status", F.lit("0")))          # stale earlier load
-    tb.load_replace_range(t, proj, "timestamp", *REPLACE_RANGE)
-    tb.load_replace_range(t, proj, "timestamp", *REPLACE_RANGE)  # replay
-    return _realtime_out(t.read())
+    name = f"realtime_transaction_{uuid.uuid4().hex[:8]}"
+    # the earlier load is a landed table; replacing repoints catalog
+    # partitions to new folders and never modifies its files
+    tb.register_table(spark, name, "`timestamp` timestamp_ntz, value decimal(38,0), `from` string, `to` string, "
+                      "blockNumber bigint, status string, year string, month string, day string, hour string",
+                      fx.lake_realtime.path(spark, sf), src.HOUR_KEYS)
+    for _ in range(2):
+        tb.load_replace_range_partitioned(spark, name, proj, "timestamp", *REPLACE_RANGE, loc)
+    return _realtime_out(spark.table(name))
 
 
 def _daily_price(spark, sf):

@@ -190,3 +190,52 @@ def append_failed_blocks(path: str, failed: DataFrame, strict: bool = False) ->
     failed.write.mode("append").parquet(path)
     if strict and not failed.isEmpty():
         raise RuntimeError(f"blocks still missing after recovery; see {path}")
+
+
+def _spec(row, keys: list[str]) -> str:
+    return ", ".join(f"{k}='{row[k]}'" for k in keys)
+
+
+def load_replace_range_partitioned(spark: SparkSession, name: str, incoming: DataFrame, ts: str,
+                                   start, end, location: str) -> int:
+    """SNK-9 for an hour-partitioned catalog table (text KST hour keys).
+
+    Only the hour partitions overlapping [start, end) are rebuilt: their rows
+    outside the range are kept, the incoming rows of exactly that range are
+    added (D10), and the result is written to a fresh folder. The catalog
+    partitions are then pointed at it (a metadata change per touched hour)
+    and hours left empty are dropped. Nothing is read and overwritten at one
+    path, untouched partitions are never rewritten, and a replay yields the
+    same table. Returns the number of hours replaced."""
+    import uuid
+    keys = HOUR_KEYS
+    lo = F.lit(start).cast("timestamp_ntz")
+    hi = F.lit(end).cast("timestamp_ntz")
+    hour = fn.hour_key_ts(*keys)
+    touched_pred = (hour >= F.date_trunc("hour", lo).cast("timestamp_ntz")) & (hour < hi)
+    in_range = (F.col(ts) >= lo) & (F.col(ts) < hi)
+    cur = spark.table(name)
+    kept = cur.where(touched_pred).where(~in_range | F.col(ts).isNull())       # pruned to touched hours
+    new = incoming.where(in_range).select(*[F.col(c) for c in cur.columns if c not in keys], *fn.kst_hour_keys(ts))
+    content = kept.unionByName(new)
+    folder = f"{location.rstrip('/')}/_v{uuid.uuid4().hex[:12]}"
+    content.hint("rebalance", *keys).write.partitionBy(*keys).mode("errorifexists").parquet(folder)
+    out = try_read(spark, folder)                                          # None: every touched hour emptied
+    written = [] if out is None else out.select(*keys).distinct().collect()  # bounded by the range
+    have = {_spec(r, keys) for r in partitions(spark, name, keys).where(touched_pred).collect()}  # bounded
+    done, fresh = set(), []
+    for r in written:
+        spec = _spec(r, keys)
+        loc = f"{folder}/" + "/".join(f"{k}={r[k]}" for k in keys)
+        if spec in have:      # swap one existing partition at a time: readers never see it missing
+            spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{loc}'")
+        else:
+            fresh.append(f"PARTITION ({spec}) LOCATION '{loc}'")
+        done.add(spec)
+    if fresh:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(fresh))
+    emptied = [p for p in have if p not in done]
+    if emptied:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(f"PARTITION ({s})" for s in emptied))
+    spark.catalog.refreshTable(name)
+    return len(done) + len(emptied)

@@ -130,3 +130,24 @@ def test_source_status_strict_raises_on_missing_hour(spark):
     assert got == {"09": "empty", "10": "missing"}
     with pytest.raises(Exception):
         source_status(exp, man, strict=True).collect()
+
+
+def test_partitioned_range_replace_touches_only_the_range(spark):
+    import uuid
+    from blockhouse import functions as fn
+    name = f"rt_{uuid.uuid4().hex[:6]}"
+    loc = scratch_path(spark, "t-rt")
+    rows = hourly_rows(spark).select("*", *fn.kst_hour_keys("ts"))
+    wr.write_hour_partitions(rows, f"{loc}/base")
+    tb.register_table(spark, name, "transactionHash string, ts timestamp_ntz, status string, year string, "
+                      "month string, day string, hour string", f"{loc}/base", src.HOUR_KEYS)
+    incoming = hourly_rows(spark).where("transactionHash <> 'b'").withColumn("status", F.lit("new"))
+    for _ in range(2):
+        tb.load_replace_range_partitioned(spark, name, incoming, "ts", dt.datetime(2025, 7, 1, 0, 40),
+                                          dt.datetime(2025, 7, 1, 1, 10), loc)
+    got = {r["transactionHash"]: r["status"] for r in spark.table(name).collect()}
+    # a (00:30) kept, b (00:45, in range) deleted and not re-sent, c (01:05) replaced, d untouched
+    assert got == {"a": "ok", "c": "new", "d": "ok"}
+    tb.load_replace_range_partitioned(spark, name, incoming.where("false"), "ts", dt.datetime(2025, 7, 1, 15),
+                                      dt.datetime(2025, 7, 1, 16), loc)
+    assert {r["transactionHash"] for r in spark.table(name).collect()} == {"a", "c"}   # emptied hour dropped
