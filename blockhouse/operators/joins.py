@@ -130,13 +130,14 @@ def new_holders(profile: DataFrame, snapshot: DataFrame, key: str = "address") -
     return profile.join(snapshot.select(key), key, "left_anti")
 
 
-def _block_side(blocks: DataFrame, body: str) -> DataFrame:
+def _block_side(blocks: DataFrame, body: str, key: str) -> DataFrame:
     from ..sources.landed import RPC_BLOCK_DDL, RPC_TX_DDL
-    parsed = blocks.select(F.from_json(F.col(body), RPC_BLOCK_DDL)["result"].alias("_r"))  # parsed once
+    landing_key = [F.col(key).cast("bigint").alias("_key")] if key in blocks.columns else [F.lit(None).cast("bigint").alias("_key")]
+    parsed = blocks.select(*landing_key, F.from_json(F.col(body), RPC_BLOCK_DDL)["result"].alias("_r"))  # parsed once
     p = F.col("_r")
     objects = F.filter(p["transactions"], lambda e: F.ltrim(e).startswith("{"))          # FLT-7
     return parsed.select(
-        fn.hex_to_long(p["number"]).alias("_block"),
+        F.coalesce(F.col("_key"), fn.hex_to_long(p["number"])).alias("_block"),
         F.coalesce(p["timestamp"], F.lit("0x0")).alias("block_ts_hex"),
         F.transform(objects, lambda e: F.from_json(e, RPC_TX_DDL)).alias("_txs"))
 
@@ -164,15 +165,19 @@ def merge_block_responses(blocks: DataFrame, receipts: DataFrame, body: str = "b
     (hash, position) keep the last per hash (the dict build), a hash ->
     receipt map matches every transaction, and the block fails as a whole
     when any transaction has no receipt (or the receipts response is
-    missing). No per-transaction shuffle; extra receipts are ignored. Same
-    output as ``merge_tx_receipts``. Assumes one landed response per block
-    and side (deduplicate repeated landings first)."""
-    j = _block_side(blocks, body).join(_receipt_side(receipts, body, receipt_key), "_block", "left")
+    missing, or the block response itself has no result). No
+    per-transaction shuffle; extra receipts are ignored. Same output as
+    ``merge_tx_receipts``. Both sides are keyed by the landing key column
+    (``receipt_key``, the requested block) where present. Assumes one landed
+    response per block and side (deduplicate repeated landings first)."""
+    j = _block_side(blocks, body, receipt_key).join(_receipt_side(receipts, body, receipt_key), "_block", "left")
     j = j.select("_block", "block_ts_hex", F.transform("_txs", lambda t: F.struct(
         t.alias("t"), F.try_element_at(F.col("_rmap"), t["hash"]).alias("r"))).alias("_m"))
     j = j.withColumn("_unmatched", F.size(F.filter("_m", lambda x: x["r"].isNull())).cast("bigint"))
-    failed = j.where(F.col("_unmatched") > 0).select(F.col("_block").alias("blockNumber"),
-                                                     F.col("_unmatched").alias("n_unmatched"))
+    # a block response without a result (failed fetch) fails the block too
+    # (n_unmatched is null: its transactions are unknown)
+    failed = j.where((F.col("_unmatched") > 0) | F.col("_m").isNull()).select(
+        F.col("_block").alias("blockNumber"), F.when(F.col("_m").isNotNull(), F.col("_unmatched")).alias("n_unmatched"))
     rows = j.where(F.col("_unmatched") == 0).select("block_ts_hex", F.explode("_m").alias("x"))
     t, r = F.col("x.t"), F.col("x.r")
     dec = fn.hex_to_decimal_text

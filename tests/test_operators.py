@@ -35,6 +35,16 @@ def test_merge_duplicate_receipt_last_wins_and_unmatched_block_fails(spark):
         assert [(r["blockNumber"], r["n_unmatched"]) for r in failed.collect()] == [(2, 1)]
 
 
+def test_envelope_merge_failed_fetch_is_a_failed_block(spark):
+    blocks = spark.createDataFrame([(7, '{"error": "timeout"}'),
+                                    (8, json.dumps({"result": {"number": "0x8", "transactions": []}}))],
+                                   "blockNumber long, body string")
+    recs = spark.createDataFrame([(8, '{"result": []}')], "blockNumber long, body string")
+    merged, failed = jn.merge_block_responses(blocks, recs)
+    assert merged.count() == 0
+    assert [(r["blockNumber"], r["n_unmatched"]) for r in failed.collect()] == [(7, None)]
+
+
 def test_rpc_block_non_object_dropped_and_missing_timestamp(spark):
     body = json.dumps({"result": {"number": "0x5", "transactions": [{"hash": "x", "blockNumber": "0x5"}, "0xdead"]}})
     df = lsrc.flatten_rpc_blocks(spark.createDataFrame([(body,)], "body string"), stamp=True)
