@@ -26,10 +26,10 @@ ADDRESS_SPACE = 1500
 ATTEMPTS = 5
 
 
-LANDING_VERSION = "5"
+LANDING_VERSION = "6"
 
 
-def landed(name: str, partition_by: list[str] | None = None):
+def landed(name: str, partition_by: list[str] | None = None, fmt: str = "parquet", **options: str):
     """Land a derived table once per driver-table folder: written as Parquet
     under the shared ``spark.checkpoint.dir`` (a marker is committed after the
     data, so a half-written landing is never read) and read back by every
@@ -54,13 +54,13 @@ def landed(name: str, partition_by: list[str] | None = None):
                 w = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
             else:  # landed responses arrive as many files, not one
                 w = df.repartition(max(8, 2 * spark.sparkContext.defaultParallelism)).write
-            w.mode("errorifexists").parquet(data)
+            w.mode("errorifexists").options(**options).format(fmt).save(data)
             spark.createDataFrame([(data,)], "data string").coalesce(1).write.mode("overwrite").parquet(f"{base}/_done")
             return data
 
         @functools.wraps(build)
         def get(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return spark.read.parquet(path(spark, sf_dir))
+            return spark.read.format(fmt).load(path(spark, sf_dir))
         get.build = build
         get.path = path
         return get
@@ -453,3 +453,14 @@ def lake_realtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.projections import tx_project_realtime
     p = tx_project_realtime(realtime_staging(spark, sf_dir)).withColumn("status", F.lit("0"))
     return p.select("*", *fn.kst_hour_keys("timestamp"))
+
+
+@landed("lake_jsonl", ["chunk"], fmt="json", compression="gzip")
+def lake_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gzip JSON-lines chunks of flat text rows (one tx per line), one folder
+    per 100-block chunk, as the descending collector lands them."""
+    r = tx_raw(spark, sf_dir)
+    start = F.expr(f"(cast(blockNumber as bigint) div 100) * 100")
+    rows = r.select("transactionHash", "blockNumber", "transactionIndex", "from", "to", "value", "status",
+                    "timestamp")
+    return rows.withColumn("chunk", fn.chunk_label(start, start + 99))

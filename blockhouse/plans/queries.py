@@ -151,10 +151,7 @@ def _jsonl_rows(df: DataFrame) -> DataFrame:
 @query("scan_jsonl_gz")
 def scan_jsonl_gz(spark, sf):
     """SRC-5: gzip JSON-lines chunks read back with a declared schema."""
-    path = scratch_path(spark, "jsonl")
-    rows = wr.with_chunk(_jsonl_rows(fx.tx_raw(spark, sf)), FILE_CHUNK, "blockNumber")
-    rows.repartition("chunk").write.option("compression", "gzip").partitionBy("chunk").json(path)
-    return src.scan_jsonl_gz(spark, path)
+    return src.scan_jsonl_gz(spark, fx.lake_jsonl.path(spark, sf))
 
 
 @query("flatten_tx_pages")
