@@ -154,8 +154,15 @@ def _receipt_side(receipts: DataFrame, body: str, key: str) -> DataFrame:
     return s.select("_block", F.map_from_entries(F.transform(last, lambda x: F.struct(x["h"], x["r"]))).alias("_rmap"))
 
 
+def latest_landing(responses: DataFrame, key: str, order: str) -> DataFrame:
+    """Keep the latest landed response per block (by ``order``, e.g. the
+    landing time); a partial aggregate, so repeats reduce map-side."""
+    return last_per_key(responses, [key], order)
+
+
 def merge_block_responses(blocks: DataFrame, receipts: DataFrame, body: str = "body",
-                          receipt_key: str = "blockNumber") -> tuple[DataFrame, DataFrame]:
+                          receipt_key: str = "blockNumber",
+                          landing_order: str | None = None) -> tuple[DataFrame, DataFrame]:
     """JOIN-1 on landed per-block responses (one block response and one
     receipts response per block).
 
@@ -168,8 +175,12 @@ def merge_block_responses(blocks: DataFrame, receipts: DataFrame, body: str = "b
     missing, or the block response itself has no result). No
     per-transaction shuffle; extra receipts are ignored. Same output as
     ``merge_tx_receipts``. Both sides are keyed by the landing key column
-    (``receipt_key``, the requested block) where present. Assumes one landed
-    response per block and side (deduplicate repeated landings first)."""
+    (``receipt_key``, the requested block) where present. With
+    ``landing_order`` a block landed several times keeps its latest response
+    on each side; without it one response per block and side is assumed."""
+    if landing_order:
+        blocks = latest_landing(blocks, receipt_key, landing_order)
+        receipts = latest_landing(receipts, receipt_key, landing_order)
     j = _block_side(blocks, body, receipt_key).join(_receipt_side(receipts, body, receipt_key), "_block", "left")
     j = j.select("_block", "block_ts_hex", F.transform("_txs", lambda t: F.struct(
         t.alias("t"), F.try_element_at(F.col("_rmap"), t["hash"]).alias("r"))).alias("_m"))

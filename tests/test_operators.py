@@ -45,6 +45,16 @@ def test_envelope_merge_failed_fetch_is_a_failed_block(spark):
     assert [(r["blockNumber"], r["n_unmatched"]) for r in failed.collect()] == [(7, None)]
 
 
+def test_envelope_merge_keeps_latest_landing(spark):
+    blk = lambda hs: json.dumps({"result": {"number": "0x9", "timestamp": "0x1",
+                                            "transactions": [{"hash": h, "blockNumber": "0x9"} for h in hs]}})
+    rcp = lambda hs: json.dumps({"result": [{"transactionHash": h, "gasUsed": "0x1", "status": "0x1"} for h in hs]})
+    blocks = spark.createDataFrame([(9, 1, blk(["x"])), (9, 2, blk(["x", "y"]))], "blockNumber long, landed long, body string")
+    recs = spark.createDataFrame([(9, 1, rcp(["x"])), (9, 2, rcp(["x", "y"]))], "blockNumber long, landed long, body string")
+    merged, failed = jn.merge_block_responses(blocks, recs, landing_order="landed")
+    assert sorted(r["transactionHash"] for r in merged.collect()) == ["x", "y"] and failed.count() == 0
+
+
 def test_rpc_block_non_object_dropped_and_missing_timestamp(spark):
     body = json.dumps({"result": {"number": "0x5", "transactions": [{"hash": "x", "blockNumber": "0x5"}, "0xdead"]}})
     df = lsrc.flatten_rpc_blocks(spark.createDataFrame([(body,)], "body string"), stamp=True)
