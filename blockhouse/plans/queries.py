@@ -349,7 +349,7 @@ def load_replace_range(spark, sf):
     import uuid
     loc = scratch_path(spark, "realtime")
     proj = prj.tx_project_realtime(_staging(spark, sf))
-    name = f"realtime_transaction_{uuid.uuid4().hex[:8]}"
+    name = f"realtime_tx_{uuid.uuid4().hex[:8]}"
     # the earlier load is a landed table; replacing repoints catalog
     # partitions to new folders and never modifies its files
     tb.register_table(spark, name, "`timestamp` timestamp_ntz, value decimal(38,0), `from` string, `to` string, "
@@ -381,7 +381,7 @@ def load_truncate(spark, sf):
     """SNK-11 + SNK-18 + FLT-9: holders table replaced by today's snapshot."""
     import uuid
     path = scratch_path(spark, "holders-table")
-    name = f"eth_top_holders_{uuid.uuid4().hex[:8]}"
+    name = f"top_holders_{uuid.uuid4().hex[:8]}"
     tb.create_table_if_absent(spark, name, "address string, eth_balance string, percentage string, "
                               "inserted_at timestamp_ntz", path)
     tb.create_table_if_absent(spark, name, "address string, eth_balance string, percentage string, "
@@ -417,7 +417,7 @@ def load_insert_absent(spark, sf):
 def _registered_hourly(spark, sf):
     import uuid
     path = fx.lake_hours.path(spark, sf)
-    name = f"tb_eth_batch_{uuid.uuid4().hex[:8]}"
+    name = f"batch_tx_{uuid.uuid4().hex[:8]}"
     tb.register_table(spark, name, "transactionHash string, blockNumber bigint, transactionIndex bigint, "
                       "`from` string, `to` string, value decimal(38,0), status string, ts timestamp_ntz, "
                       "timestamp string, year string, month string, day string, hour string",

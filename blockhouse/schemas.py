@@ -52,7 +52,7 @@ RAW_26 = StructType([
     StructField("authorizationList", AUTH_LIST), StructField("logs", ArrayType(LOG_26)),
 ])
 
-# PRJ-4 casts (GLUE): column -> type applied on the 23-column rows.
+# PRJ-4 casts: column -> type applied on the 23-column rows.
 TYPED_CASTS = {
     "transactionIndex": "int", "blockNumber": "bigint", "nonce": "int", "gas": "bigint",
     "gasPrice": "bigint", "gasUsed": "bigint", "cumulativeGasUsed": "bigint",
