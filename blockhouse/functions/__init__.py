@@ -4,7 +4,7 @@ from .hexcodec import (  # noqa: F401
 )
 from .misc import (  # noqa: F401
     LOG_WIRE_DDL, chunk_label, convert_logs, default_array, empty_array_to_null,
-    grid_chunk_end, json_path, pad_block_label, price_krw, price_usd, shard_lane,
+    grid_chunk_end, json_path, logs_quality, pad_block_label, price_krw, price_usd, shard_lane,
     status_flag, strip_leading_zero, strip_tags, to_json_text,
 )
 from .timefmt import (  # noqa: F401

@@ -77,6 +77,13 @@ def empty_array_to_null(c) -> Column:
     return F.when(F.size(_col(c)) == 0, F.lit(None)).otherwise(_col(c))
 
 
+def logs_quality(c) -> Column:
+    """D14 data-quality flag: null logs (not delivered, e.g. on follow-up
+    pages) are not the same as an empty log list."""
+    return (F.when(_col(c).isNull(), F.lit("missing"))
+            .when(F.size(_col(c)) == 0, F.lit("empty")).otherwise(F.lit("present")))
+
+
 def default_array(c, element_type: str) -> Column:
     """PRJ-8: missing array -> []."""
     return F.coalesce(_col(c), F.array().cast(f"array<{element_type}>"))

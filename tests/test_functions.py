@@ -78,3 +78,8 @@ def test_convert_logs_defaults(spark):
     assert logs[0]["contractAddress"] == "0xa" and logs[0]["removed"] is False and logs[0]["topics"] == []
     assert logs[0]["logIndex"] == 2 and logs[0]["blockNumber"] == 16
     assert logs[1]["removed"] is True and logs[1]["topics"] == ["t"]
+
+
+def test_logs_quality_flag(spark):
+    df = spark.createDataFrame([(None,), ([],), (["x"],)], "l array<string>")
+    assert [r[0] for r in df.select(fn.logs_quality("l")).collect()] == ["missing", "empty", "present"]
