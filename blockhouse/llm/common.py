@@ -171,3 +171,18 @@ def connected(spark: SparkSession, edges: DataFrame) -> DataFrame:
 def _edge_mark(edges: DataFrame) -> tuple:
     r = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     return r[0], r[1]
+
+
+def text_volume(texts: DataFrame) -> int:
+    """Bytes of all texts (one aggregate; only sizes work units, never a result)."""
+    return int(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+
+
+def split_sorted(keys: np.ndarray, *rest: np.ndarray) -> Iterator[tuple]:
+    """Runs of equal values of ``keys``: (value, slice of each array), by value."""
+    order = np.argsort(keys, kind="stable")
+    k = keys[order]
+    cut = np.flatnonzero(k[1:] != k[:-1]) + 1
+    parts = [np.split(a[order], cut) for a in rest]
+    for i, at in enumerate(np.concatenate([[0], cut]) if len(k) else []):
+        yield k[at].item(), *(p[i] for p in parts)
