@@ -20,9 +20,10 @@ in the set size; a set indexes its own level and, if a partner could be on it,
 the next.  A prefix that would pass the end of its set stops there and indexes
 every frequent token singly too.
 
-Verification.  In every index key all nodes are compared to one hub (exact
-intersection of the fingerprint sets), links are merged into components, and
-only keys that still hold several components go on: three hub rounds, then all
+Verification.  In every index key all nodes are compared to one hub: a parity
+sketch drops pairs that provably differ too much, the rest are intersected
+exactly.  Links are merged into components, and
+only keys that still hold several components go on: two hub rounds, then all
 pairs of nodes of *different* components that still share a key.  Thus a group
 of thousands of copies costs rows in proportion to the group, and no link is
 lost: components equal those of all pairs with Jaccard >= t.
@@ -256,6 +257,36 @@ def _shared_rare(t: pa.Table) -> pa.Table:
     return pa.table({"key": ks[keep], "node": vs[keep]})
 
 
+def parity_sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the tokens that fall on each of B bits, B the power of two >= n.
+
+    Tokens that two sets share cancel in the xor, so its bit count never exceeds
+    the size of the symmetric difference; a longer sketch folds onto a shorter
+    one by xor of its halves."""
+    bits = max(64, 1 << (len(s) - 1).bit_length())
+    odd = np.bincount((mix(s) % _U(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def _may_link(pct: int):
+    """Drops pairs whose sketches prove a Jaccard similarity below the threshold."""
+    def run(batches):
+        for b in batches:
+            a, c, n, m, sa, sc = (b.column(i).to_pylist() for i in range(6))
+            keep = []
+            for i in range(len(a)):
+                x, y = np.frombuffer(sa[i], dtype=np.uint64), np.frombuffer(sc[i], dtype=np.uint64)
+                while len(x) > len(y):
+                    x = x[:len(x) // 2] ^ x[len(x) // 2:]
+                while len(y) > len(x):
+                    y = y[:len(y) // 2] ^ y[len(y) // 2:]
+                # |x ^ y| = n + m - 2 both, and a link has (100 + pct) both >= pct (n + m)
+                if (100 + pct) * int(np.bitwise_count(x ^ y).sum()) <= (100 - pct) * (n[i] + m[i]):
+                    keep.append(i)
+            yield pa.record_batch([b.column(0).take(pa.array(keep, pa.int64())), b.column(1).take(pa.array(keep, pa.int64()))], names=["a", "b"])
+    return run
+
+
 def _verify(pct: int):
     def run(batches):
         for b in batches:
@@ -276,7 +307,8 @@ def _sets(k: int):
         for ids, texts in doc_chunks(batches):
             sets = list(shingle_sets(texts, k))
             yield pa.record_batch([pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                                   pa.array([packed(s) for s in sets], pa.binary())], names=["node", "n", "tokens"])
+                                   pa.array([packed(parity_sketch(s)) for s in sets], pa.binary()),
+                                   pa.array([packed(s) for s in sets], pa.binary())], names=["node", "n", "sketch", "tokens"])
     return run
 
 
@@ -299,12 +331,12 @@ def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "do
     wanted = entries.select("node").distinct()
     one = stored(nodes.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id"), "ngram-wanted")
     one = F.broadcast(one) if one.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else one
-    sets = stored(texts.join(one, "doc_id", "left_semi").mapInArrow(_sets(k), "node bigint, n bigint, tokens binary"), "ngram-sets")
+    sets = stored(texts.join(one, "doc_id", "left_semi").mapInArrow(_sets(k), "node bigint, n bigint, sketch binary, tokens binary"), "ngram-sets")
 
     labels = None
     sizes = sets.select("node", "n")
     sized = stored(entries.join(sizes, "node").select("key", "node", "n"), "ngram-sized")
-    for hub_round in range(4):
+    for hub_round in range(3):
         open_ = sized
         if labels is not None:
             marked = sized.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -312,7 +344,7 @@ def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "do
             sized = open_ = stored(marked.join(keys, "key").select("key", "node", "n", "component"), "ngram-open")
             if open_.isEmpty():
                 break
-        if hub_round < 3:
+        if hub_round < 2:
             # a different node of the key each round; from round two on the nodes
             # are those of components that have not met yet
             turn = F.xxhash64("node", F.lit(hub_round))
@@ -327,9 +359,12 @@ def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "do
             cand = open_.join(o, "key").where("component < oc").select("node", "n", "other", "m")
         near = (F.least("n", "m") * 100 >= F.greatest("n", "m") * pct)
         cand = cand.where(near).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-        right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
-        found = cand.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(_verify(pct), "a bigint, b bigint")
+        side = lambda name, what: sets.select(F.col("node").alias(name), *[F.col(c).alias(c + name) for c in what])
+        cand = (cand.join(side("a", ["n", "sketch"]), "a").join(side("b", ["n", "sketch"]), "b")
+                .select("a", "b", "na", "nb", "sketcha", "sketchb").mapInArrow(_may_link(pct), "a bigint, b bigint"))
+        cand = stored(cand, "ngram-candidates")
+        found = (cand.join(side("a", ["tokens"]), "a").join(side("b", ["tokens"]), "b")
+                 .select("a", "b", "tokensa", "tokensb").mapInArrow(_verify(pct), "a bigint, b bigint"))
         found = stored(found, "ngram-links")
         # components so far: stars of the last round plus the new links
         if labels is not None:
