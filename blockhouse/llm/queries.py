@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ngram_join, quality
+from . import mixing, ngram_join, packing, quality, substring, training_order, vector_dedup
 from .common import table
 
 
@@ -11,15 +11,32 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.training_order(table(spark, sf_dir, "documents"))
+
+
 Q = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op4_quality_rules, op7_mix_sources,
+    op1_ngram_jaccard_join, op3_vector_dedup, op4_quality_rules, op5_substring_dedup, op7_mix_sources,
+    op8_best_fit_packing, op9_training_order,
 )}
