@@ -30,6 +30,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, functions as F
 
 from .common import chunk_words, doc_chunks, packed, shuffle_parts, split_sorted, text_bytes, text_volume, window_hashes
@@ -63,6 +64,9 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _rows(group: np.ndarray, keys, ids, places) -> list[tuple]:
+    """One packed row per group; ``keys`` may be left out (empty)."""
+    if not len(keys):
+        return [(g, b"", packed(i), packed(p)) for g, i, p in split_sorted(group, ids, places)]
     return [(g, packed(k), packed(i), packed(p)) for g, k, i, p in split_sorted(group, keys, ids, places)]
 
 
@@ -86,6 +90,10 @@ class _Leaders:
         keys, ids, places = (np.concatenate(x) for x in zip(*self.parts))
         self.parts, self.size = [], 0
         first, settled = _first_and_settled(keys, ids, places, self.whole)
+        by_doc = np.lexsort((first[2], first[1]))  # runs of one id compress well
+        first = tuple(x[by_doc] for x in first)
+        if self.whole:
+            settled = (settled[0][:0], *settled[1:])  # places of anchors are all that is needed
         out = _rows(_bucket(first[0], self.buckets), *first)
         return out + _rows(-1 - _block(settled[1], self.blocks), *settled)
 
@@ -111,13 +119,21 @@ def _arrays(t: pa.Table):
 
 
 def _settle(blocks: int, whole: bool):
-    """One bucket: leaders of all flushes -> settled entries by document block."""
-    def run(t: pa.Table) -> pa.Table:
-        bucket = t.column("bucket")[0].as_py()
-        if bucket < 0:  # settled before; on to its block
-            return t.set_column(0, "bucket", pa.array([-1 - bucket] * len(t), pa.int32()))
-        _, settled = _first_and_settled(*_arrays(t), whole)
-        return pa.Table.from_batches([_batch(_rows(_block(settled[1], blocks), *settled))])
+    """The partition of one bucket: leaders of all flushes -> settled entries by
+    document block.  Entries settled before pass through."""
+    def run(batches):
+        parts = []
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            before = pa.compute.less(t.column("bucket"), 0)
+            done = t.filter(before)
+            if len(done):
+                block = pa.compute.subtract(pa.scalar(-1, pa.int32()), done.column("bucket"))
+                yield from done.set_column(0, "bucket", block).to_batches()
+            parts.append(t.filter(pa.compute.invert(before)))
+        if parts and any(len(t) for t in parts):
+            _, (keys, ids, places) = _first_and_settled(*_arrays(pa.concat_tables(parts)), whole)
+            yield _batch(_rows(_block(ids, blocks), keys[:0] if whole else keys, ids, places))
     return run
 
 
@@ -145,6 +161,7 @@ def _anchors(buckets: int, blocks: int, length: int):
 def _chosen(found: pa.Table):
     """Entries of a block by document: id -> (places, keys)."""
     keys, ids, places = _arrays(found)
+    keys = keys if len(keys) else np.zeros(len(ids), np.uint64)
     return {i: (p, k) for i, p, k in split_sorted(ids, places, keys)}
 
 
@@ -215,13 +232,17 @@ def _marked(texts: DataFrame, length: int):
     """(blocked documents, windows to remove packed by block)."""
     spark = texts.sparkSession
     volume = text_volume(texts)
-    blocks = _prime(max(2 * shuffle_parts(spark), math.ceil(volume / BLOCK_BYTES)))
-    buckets = max(2 * shuffle_parts(spark), math.ceil(volume / 16 / BUCKET_ENTRIES))
-    hashed = texts.select("doc_id", "text").mapInArrow(_anchors(buckets, blocks, length), _PACKED)
-    anchors = hashed.groupBy("bucket").applyInArrow(_settle(blocks, True), _PACKED)
+    parts = shuffle_parts(spark)
+    blocks = _prime(max(parts, math.ceil(volume / BLOCK_BYTES)))
+    buckets = max(parts, math.ceil(volume / 16 / BUCKET_ENTRIES))
+
+    def settled(packed_rows: DataFrame, whole: bool) -> DataFrame:
+        return packed_rows.repartitionById(buckets, F.pmod("bucket", F.lit(buckets))).mapInArrow(_settle(blocks, whole), _PACKED)
+
+    anchors = settled(texts.select("doc_id", "text").mapInArrow(_anchors(buckets, blocks, length), _PACKED), True)
     docs = texts.withColumn("block", F.pmod("doc_id", F.lit(blocks)).cast("int"))
     around = docs.groupBy("block").cogroup(anchors.groupBy("bucket")).applyInArrow(_windows(buckets, blocks, length), _PACKED)
-    return docs, around.groupBy("bucket").applyInArrow(_settle(blocks, False), _PACKED)
+    return docs, settled(around, False)
 
 
 def repeated_passages(docs: DataFrame, length: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
