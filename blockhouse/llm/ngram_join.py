@@ -167,84 +167,105 @@ def index_keys(s: np.ndarray, grades: np.ndarray, pct: int) -> tuple[np.ndarray,
 
 
 def _index(buckets: int, grades, k: int, pct: int):
-    """Arrow map: documents -> packed rows (kind, bucket, keys, nodes, ids).
+    """Arrow map: documents -> packed rows, each for one of ``buckets`` partitions.
 
-    kind 0: doc ids with their nodes and sizes; 1: rare entries of one bucket;
-    2: frequent-pair entries.  Equal entries of one flush are sent once.
+    kind 0: doc ids with their nodes, sizes and sketches; 1: rare entries;
+    2: frequent-pair entries.  Nodes are numbered within a flush, so an entry
+    takes a key and a small number; equal entries of one flush are sent once.
     """
+    edges = np.arange(1, buckets, dtype=np.uint64) * _U((1 << 64) // buckets)
+
     def run(batches):
-        table = grades.value
-        rare_k, rare_v, pair_k, pair_v, size = [], [], [], [], 0
+        table, turn = grades.value, 0
+        held = {1: ([], []), 2: ([], [])}
+        size, names = 0, []
 
         def flush():
-            rows = []
-            for kind, ks, vs in ((1, rare_k, rare_v), (2, pair_k, pair_v)):
+            rows, all_names = [], np.array(names, dtype=np.int64)
+            for kind, (ks, vs) in held.items():
                 if not ks:
                     continue
                 keys = np.concatenate(ks)
-                nodes = np.repeat(np.array([v for v, _ in vs], dtype=np.int64), [c for _, c in vs])
-                order = np.lexsort((nodes, keys))
-                keys, nodes = keys[order], nodes[order]
-                new = np.ones(len(keys), dtype=bool)
-                new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
-                keys, nodes = keys[new], nodes[new]
-                cut = np.searchsorted(keys, (np.arange(1, buckets, dtype=np.uint64) * _U((1 << 64) // buckets)))
-                for i, (kk, vv) in enumerate(zip(np.split(keys, cut), np.split(nodes, cut))):
-                    if len(kk):
-                        rows.append((kind, i, packed(kk), packed(vv)))
-            for x in (rare_k, rare_v, pair_k, pair_v):
-                x.clear()
+                local = np.repeat(np.array([v for v, _ in vs], dtype=np.int64), [c for _, c in vs])
+                bucket = np.searchsorted(edges, keys, side="right")
+                order = np.lexsort((local, bucket))
+                keys, local = keys[order], local[order]
+                cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                for i in np.flatnonzero(np.diff(cut)):
+                    kk, vv = keys[cut[i]:cut[i + 1]], local[cut[i]:cut[i + 1]]
+                    used, vv = np.unique(vv, return_inverse=True)
+                    rows.append((kind, int(i), packed(kk), packed(all_names[used]), packed(vv.astype(np.uint32)), None, None))
+                ks.clear()
+                vs.clear()
+            names.clear()
             return rows
 
         for ids, texts in doc_chunks(batches):
-            nodes, sizes = [], []
+            nodes, sizes, sketches, seen = [], [], [], {}
             for s in shingle_sets(texts, k):
                 v = node_of(s)
                 nodes.append(v)
                 sizes.append(len(s))
-                if len(s):
-                    rare, pair = index_keys(s, table, pct)
-                    if len(rare):
-                        rare_k.append(rare)
-                        rare_v.append((v, len(rare)))
-                    if len(pair):
-                        pair_k.append(pair)
-                        pair_v.append((v, len(pair)))
-                    size += 16 * (len(rare) + len(pair))
-            rows = [(0, 0, packed(np.array(sizes, dtype=np.int64)), packed(np.array(nodes, dtype=np.int64)), ids)]
+                sketches.append(packed(parity_sketch(s)) if len(s) else b"")
+                if len(s) and v not in seen:
+                    seen[v] = True
+                    for kind, keys in zip((1, 2), index_keys(s, table, pct)):
+                        if len(keys):
+                            held[kind][0].append(keys)
+                            held[kind][1].append((len(names), len(keys)))
+                            size += 16 * len(keys)
+                    names.append(v)
+            turn = (turn + 1 + abs(nodes[0])) % buckets
+            rows = [(0, turn, packed(np.array(sizes, dtype=np.int64)), packed(np.array(nodes, dtype=np.int64)), None, ids, sketches)]
             if size > FLUSH_BYTES:
-                rows += [(*r, None) for r in flush()]
+                rows += flush()
                 size = 0
             yield _rows(rows)
-        rows = flush()
-        if rows:
-            yield _rows([(*r, None) for r in rows])
+        if rows := flush():
+            yield _rows(rows)
     return run
 
 
-_INDEX_SCHEMA = "kind int, bucket int, keys binary, nodes binary, ids array<bigint>"
+_INDEX_SCHEMA = "kind int, bucket int, keys binary, nodes binary, which binary, ids array<bigint>, sketches array<binary>"
+_ENTRY_SCHEMA = "kind int, key bigint, node bigint, n bigint, doc_id bigint, sketch binary"
 
 
 def _rows(rows):
     c = list(zip(*rows))
-    return pa.record_batch([pa.array(c[0], pa.int32()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.binary()),
-                            pa.array(c[3], pa.binary()), pa.array(c[4], pa.list_(pa.int64()))],
-                           names=["kind", "bucket", "keys", "nodes", "ids"])
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.binary())]
+    return pa.record_batch([pa.array(x, t) for x, t in zip(c, kinds)], names=["kind", "bucket", "keys", "nodes", "which", "ids", "sketches"])
 
 
-def _unpack(batches):
-    """Packed (keys, nodes) rows -> one row per entry."""
-    for b in batches:
-        for ks, vs in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            yield pa.record_batch([pa.array(np.frombuffer(ks, dtype=np.int64)), pa.array(np.frombuffer(vs, dtype=np.int64))],
-                                  names=["key", "node"])
+def _entries(kind: int, keys=None, nodes=None, sizes=None, ids=None, sketches=None):
+    n = len(nodes)
+    none = lambda t: pa.nulls(n, t)
+    return pa.record_batch([pa.array([kind] * n, pa.int32()), none(pa.int64()) if keys is None else pa.array(keys.view(np.int64)),
+                            pa.array(nodes), none(pa.int64()) if sizes is None else pa.array(sizes),
+                            none(pa.int64()) if ids is None else pa.array(ids, pa.int64()),
+                            none(pa.binary()) if sketches is None else pa.array(sketches, pa.binary())],
+                           names=["kind", "key", "node", "n", "doc_id", "sketch"])
 
 
-def _shared_rare(t: pa.Table) -> pa.Table:
-    """Entries of a bucket whose key is held by two nodes or more.  A rare key has
-    few nodes by its slot count, so a bucket stays near its planned size."""
-    ks = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in t.column("keys").to_pylist()])
-    vs = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in t.column("nodes").to_pylist()])
+def _settle(batches):
+    """One bucket: documents and pair entries pass, of the rare entries those whose
+    key is held by two nodes or more.  A rare key has few nodes by its slot count,
+    so a bucket stays near its planned size."""
+    ks, vs = [], []
+    for b in batches:
+        for kind, _, keys, nodes, which, ids, sketches in zip(*(b.column(i).to_pylist() for i in range(7))):
+            nodes = np.frombuffer(nodes, dtype=np.int64)
+            if kind == 0:
+                yield _entries(0, None, nodes, np.frombuffer(keys, dtype=np.int64), ids, sketches)
+                continue
+            keys, nodes = np.frombuffer(keys, dtype=np.uint64), nodes[np.frombuffer(which, dtype=np.uint32)]
+            if kind == 2:
+                yield _entries(2, keys, nodes)
+            else:
+                ks.append(keys)
+                vs.append(nodes)
+    if not ks:
+        return
+    ks, vs = np.concatenate(ks), np.concatenate(vs)
     order = np.lexsort((vs, ks))
     ks, vs = ks[order], vs[order]
     new = np.ones(len(ks), dtype=bool)
@@ -254,7 +275,7 @@ def _shared_rare(t: pa.Table) -> pa.Table:
     keep = np.zeros(len(ks), dtype=bool)
     keep[1:] |= again
     keep[:-1] |= again
-    return pa.table({"key": ks[keep], "node": vs[keep]})
+    yield _entries(1, ks[keep], vs[keep])
 
 
 def parity_sketch(s: np.ndarray) -> np.ndarray:
@@ -306,9 +327,8 @@ def _sets(k: int):
     def run(batches):
         for ids, texts in doc_chunks(batches):
             sets = list(shingle_sets(texts, k))
-            yield pa.record_batch([pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                                   pa.array([packed(parity_sketch(s)) for s in sets], pa.binary()),
-                                   pa.array([packed(s) for s in sets], pa.binary())], names=["node", "n", "sketch", "tokens"])
+            yield pa.record_batch([pa.array([node_of(s) for s in sets], pa.int64()), pa.array([packed(s) for s in sets], pa.binary())],
+                                  names=["node", "tokens"])
     return run
 
 
@@ -318,24 +338,20 @@ def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "do
     texts = text_bytes(docs, id_col=id_col, text_col=text_col).where("doc_id IS NOT NULL")
     counts = count_slots(texts, k)
     grades = spark.sparkContext.broadcast(frequency_grades(counts))
-    buckets = max(4, math.ceil(int(counts.sum()) * (100 - pct) / 100 / BUCKET_ROWS))
-    index = stored(texts.mapInArrow(_index(buckets, grades, k, pct), _INDEX_SCHEMA), "ngram-index")
-
-    nodes = stored(index.where("kind = 0").select("ids", "keys", "nodes").mapInArrow(_doc_rows, "doc_id bigint, n bigint, node bigint"), "ngram-docs")
-    rare = (index.where("kind = 1").groupBy("bucket").applyInArrow(_shared_rare, "key bigint, node bigint"))
-    pairs = index.where("kind = 2").select("keys", "nodes").mapInArrow(_unpack, "key bigint, node bigint")
+    buckets = max(shuffle_parts(spark), math.ceil(int(counts.sum()) * (100 - pct) / 100 / BUCKET_ROWS))
+    index = stored(texts.mapInArrow(_index(buckets, grades, k, pct), _INDEX_SCHEMA)
+                   .repartitionById(buckets, F.col("bucket")).mapInArrow(_settle, _ENTRY_SCHEMA), "ngram-index")
+    nodes = index.where("kind = 0").select("doc_id", "n", "node", "sketch")
+    pairs = index.where("kind = 2").select("key", "node")
     span = pairs.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
-    entries = stored(rare.union(pairs.join(span, "key").distinct()), "ngram-entries")
+    entries = index.where("kind = 1").select("key", "node").union(pairs.join(span, "key").distinct())
 
-    # one text of each node that shares a key with another node
-    wanted = entries.select("node").distinct()
-    one = stored(nodes.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id"), "ngram-wanted")
-    one = F.broadcast(one) if one.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else one
-    sets = stored(texts.join(one, "doc_id", "left_semi").mapInArrow(_sets(k), "node bigint, n bigint, sketch binary, tokens binary"), "ngram-sets")
+    # size and sketch of each node, and one document that has its text
+    known = nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    known = stored(known.join(entries.select("node").distinct(), "node"), "ngram-nodes")
 
     labels = None
-    sizes = sets.select("node", "n")
-    sized = stored(entries.join(sizes, "node").select("key", "node", "n"), "ngram-sized")
+    sized = stored(entries.join(known.select("node", "n"), "node").select("key", "node", "n"), "ngram-sized")
     for hub_round in range(3):
         open_ = sized
         if labels is not None:
@@ -359,11 +375,16 @@ def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "do
             cand = open_.join(o, "key").where("component < oc").select("node", "n", "other", "m")
         near = (F.least("n", "m") * 100 >= F.greatest("n", "m") * pct)
         cand = cand.where(near).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        side = lambda name, what: sets.select(F.col("node").alias(name), *[F.col(c).alias(c + name) for c in what])
-        cand = (cand.join(side("a", ["n", "sketch"]), "a").join(side("b", ["n", "sketch"]), "b")
+        side = lambda of, name, what: of.select(F.col("node").alias(name), *[F.col(c).alias(c + name) for c in what])
+        cand = (cand.join(side(known, "a", ["n", "sketch"]), "a").join(side(known, "b", ["n", "sketch"]), "b")
                 .select("a", "b", "na", "nb", "sketcha", "sketchb").mapInArrow(_may_link(pct), "a bigint, b bigint"))
         cand = stored(cand, "ngram-candidates")
-        found = (cand.join(side("a", ["tokens"]), "a").join(side("b", ["tokens"]), "b")
+        wanted = stored(cand.select(F.col("a").alias("node")).union(cand.select("b")).distinct()
+                        .join(known.select("node", "doc_id"), "node").select("doc_id"), "ngram-wanted")
+        few = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+        sets = stored(texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
+                      .mapInArrow(_sets(k), "node bigint, tokens binary"), "ngram-sets")
+        found = (cand.join(side(sets, "a", ["tokens"]), "a").join(side(sets, "b", ["tokens"]), "b")
                  .select("a", "b", "tokensa", "tokensb").mapInArrow(_verify(pct), "a bigint, b bigint"))
         found = stored(found, "ngram-links")
         # components so far: stars of the last round plus the new links
@@ -380,13 +401,6 @@ def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "do
     return out.union(named.where("n = 0").select("doc_id", F.col("n"), F.col("doc_id")))
 
 
-def _doc_rows(batches):
-    for b in batches:
-        for ids, ns, vs in zip(*(b.column(i).to_pylist() for i in range(3))):
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(np.frombuffer(ns, dtype=np.int64)),
-                                   pa.array(np.frombuffer(vs, dtype=np.int64))], names=["doc_id", "n", "node"])
-
-
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents, of each linked group only the one with the smallest id.
 
