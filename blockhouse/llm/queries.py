@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ngram_join, packing, quality, substring, training_order, vector_dedup
+from . import chat, language, mixing, ngram_join, packing, quality, substring, toxicity, training_order, vector_dedup
 from .common import table
 
 
@@ -11,6 +11,13 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = r"\### Assistant: </turn> ok"  # the contract's conversation -7
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id bigint, turn bigint, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_turns(rows.union(extra)))
+
+
 def op3_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -24,6 +31,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -36,7 +47,11 @@ def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.training_order(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 Q = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op3_vector_dedup, op4_quality_rules, op5_substring_dedup, op7_mix_sources,
-    op8_best_fit_packing, op9_training_order,
+    op1_ngram_jaccard_join, op2_chat_format, op3_vector_dedup, op4_quality_rules, op5_substring_dedup,
+    op6_language_id, op7_mix_sources, op8_best_fit_packing, op9_training_order, op10_toxicity,
 )}
