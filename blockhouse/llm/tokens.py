@@ -3,16 +3,17 @@
 A word-boundary cache makes long corpora cheap: the pre-tokeniser never lets a
 token cross from a non-space character into a following space, so a text is the
 concatenation of its pieces between such places, and equal pieces have equal
-ids.  The cache is bounded; a miss is encoded by the tokenizer itself.
+ids.  The cache is bounded (two generations of ``CACHE_PIECES``).
 """
 from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
-import numpy as np
 
-CACHE_PIECES = 200_000
+CACHE_PIECES = 300_000
 _NO_CUT = re.compile(r"\s ")           # a space after white space: the plain split would be wrong
 _CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -23,25 +24,61 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _byte_letters() -> dict[str, int]:
+    """The printable character that a byte-level vocabulary writes for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def _packed(ids: list[int]) -> bytes:
+    a = array("I", ids)
+    if sys.byteorder == "big":
+        a.byteswap()
+    return a.tobytes()
+
+
 class Encoder:
-    """text -> little-endian unsigned 32-bit ids (no special tokens)."""
+    """text -> little-endian unsigned 32-bit ids (no special tokens).
+
+    Reads the vocabulary file of ``tokenizers``.  Its ids are in merge order, so
+    they are the ranks that tiktoken's faster merge loop needs; the two give the
+    same ids (a probe is compared here, whole texts in the tests), and a
+    vocabulary for which they differ is encoded by ``tokenizers`` itself.
+    Special-token strings in a text are ordinary text.
+    """
+
+    PROBE = "It's a probe: caf\u00e9 12,345 \n\n  na\u00efve\u2014words!! \u4e2d\u6587 \U0001f600 don't"
 
     def __init__(self, vocabulary: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self._tok = Tokenizer.from_file(vocabulary)
-        self._tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        tok = Tokenizer.from_file(vocabulary)
+        tok.encode_special_tokens = True
+        letters = _byte_letters()
+        ranks = {bytes(letters[c] for c in t): i for t, i in tok.get_vocab(with_added_tokens=False).items() if all(c in letters for c in t)}
+        try:
+            fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            same = fast.encode_ordinary(self.PROBE) == tok.encode(self.PROBE, add_special_tokens=False).ids
+        except KeyError:  # a byte without a token
+            same = False
+        self._encode = fast.encode_ordinary if same else lambda t: tok.encode(t, add_special_tokens=False).ids
         self._head: dict[str, bytes] = {}
         self._rest: dict[str, bytes] = {}
-
-    def _learn(self, cache: dict, pieces, lead: str) -> None:
-        new = [p for p in pieces if p not in cache]
-        if len(cache) + len(new) > CACHE_PIECES:
-            cache.clear()
-            new = list(pieces)
-        for p, e in zip(new, self._tok.encode_batch([lead + p for p in new], add_special_tokens=False)):
-            cache[p] = np.array(e.ids, dtype="<u4").tobytes()
+        self._older: dict[str, bytes] = {}
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Every piece into the cache of pieces that follow a space.  A full cache
+        becomes the older generation; pieces still in use come back from it."""
+        new = [p for p in pieces if p not in self._rest]
+        if len(self._rest) + len(new) > CACHE_PIECES:
+            self._older, self._rest, new = self._rest, {}, pieces
+        for p in new:
+            ids = self._older.get(p)
+            self._rest[p] = _packed(self._encode(" " + p)) if ids is None else ids
 
     def ids(self, text: str) -> bytes:
         if _NO_CUT.search(text):
@@ -49,11 +86,15 @@ class Encoder:
             first, rest = parts[0], [p[1:] for p in parts[1:]]
         else:
             first, *rest = text.split(" ")
-        self._learn(self._head, {first}, "")
+        head = self._head.get(first)
+        if head is None:
+            if len(self._head) >= CACHE_PIECES // 4:
+                self._head.clear()
+            head = self._head[first] = _packed(self._encode(first))
         if not rest:
-            return self._head[first]
-        self._learn(self._rest, set(rest), " ")
-        return self._head[first] + b"".join(map(self._rest.__getitem__, rest))
+            return head
+        self._learn(set(rest))
+        return head + b"".join(map(self._rest.__getitem__, rest))
 
 
 _encoders: dict[str, Encoder] = {}
