@@ -31,7 +31,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import chunk_words, doc_chunks, packed, shuffle_parts, split_sorted, text_bytes, text_volume, window_hashes
 
@@ -261,8 +261,8 @@ def without_repeats(docs: DataFrame, length: int = 20, id_col: str = "doc_id", t
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     texts = text_bytes(docs, row.alias("row"), id_col=id_col, text_col=text_col)
     blocked, gone = _marked(texts.where("doc_id IS NOT NULL").withColumn("row", F.col("row").dropFields(text_col)), length)
-    kind = blocked.schema["row"].dataType.simpleString()
+    kind = T.StructType.fromDDL("doc_id bigint, n_words bigint, n_removed bigint, kept binary").add("row", blocked.schema["row"].dataType)
     out = (blocked.groupBy("block").cogroup(gone.groupBy("bucket"))
-           .applyInArrow(_cut(length, True), f"doc_id bigint, n_words bigint, n_removed bigint, kept binary, row {kind}"))
+           .applyInArrow(_cut(length, True), kind))
     named = out.select(*[F.col("kept").cast("string").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
     return named.union(docs.where(F.col(id_col).isNull()))

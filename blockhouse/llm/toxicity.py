@@ -28,7 +28,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import doc_chunks, packed, text_bytes
 from .language import fold
@@ -317,5 +317,5 @@ def without_toxic(docs: DataFrame, labels: DataFrame, parts: int = 3, held: int
     shared = docs.sparkSession.sparkContext.broadcast((units, model))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     d = docs.select(row, F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("_scored_text"))
-    kind = d.schema["row"].dataType.simpleString()
-    return d.mapInArrow(_rejected(shared, [float(x) for x in w], threshold), f"row {kind}").select("row.*")
+    kind = T.StructType().add("row", d.schema["row"].dataType)
+    return d.mapInArrow(_rejected(shared, [float(x) for x in w], threshold), kind).select("row.*")
