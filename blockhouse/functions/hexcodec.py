@@ -41,9 +41,37 @@ def hex_to_decimal(c) -> Column:
     return F.when(ok, acc).cast(DEC)
 
 
+def _wide_text(digits: Column) -> Column:
+    """Base-10 text of hex digits of any length: 24-bit pieces are folded into
+    base-10^9 limbs (least significant first), every product fits a bigint."""
+    base, piece = F.lit(10 ** 9).cast("bigint"), F.lit(1 << 24).cast("bigint")
+    padded = F.concat(F.repeat(F.lit("0"), F.pmod(-F.length(digits), F.lit(6))), digits)
+    pieces = F.transform(F.regexp_extract_all(padded, F.lit("[0-9a-f]{6}"), 0), lambda h: F.conv(h, 16, 10).cast("bigint"))
+    none = F.array().cast("array<bigint>")
+
+    def fold(limbs: Column, add: Column) -> Column:
+        def step(s: Column, x: Column) -> Column:
+            v = x * piece + s["carry"]
+            return F.struct(F.concat(s["out"], F.array(v % base)).alias("out"), F.floor(v / base).cast("bigint").alias("carry"))
+        start = F.struct(none.alias("out"), add.alias("carry"))
+        return F.aggregate(limbs, start, step, lambda s: F.when(s["carry"] > 0, F.concat(s["out"], F.array(s["carry"]))).otherwise(s["out"]))
+
+    limbs = F.reverse(F.aggregate(pieces, none, fold))
+    text = F.array_join(F.transform(limbs, lambda x: F.lpad(x.cast("string"), 9, "0")), "")
+    return F.regexp_replace(text, "^0+(?=.)", "")
+
+
+def hex_quality(c) -> Column:
+    """Quality flag beside the typed form: missing | bad | wide (text form only) | ok."""
+    d = _hex_digits(c)
+    return (F.when(_col(c).isNull() | (F.trim(_col(c)) == ""), F.lit("missing")).when(d == "", F.lit("bad"))
+            .when(hex_to_decimal(c).isNull(), F.lit("wide")).otherwise(F.lit("ok")))
+
+
 def hex_to_decimal_text(c, blank_as_empty: bool = True) -> Column:
-    """Raw-schema form: base-10 text; missing input stays '' (or null)."""
-    txt = hex_to_decimal(c).cast("string")
+    """Raw-schema form: base-10 text of any width; missing input stays '' (or null)."""
+    d = _hex_digits(c)
+    txt = F.coalesce(hex_to_decimal(c).cast("string"), F.when(F.length(d) > 31, _wide_text(d)))
     if blank_as_empty:
         missing = _col(c).isNull() | (F.trim(_col(c)) == "")
         return F.when(missing, F.lit("")).otherwise(txt)

@@ -12,8 +12,10 @@ def _col(c) -> Column:
 
 
 def pad_block_label(n, width: int = 8) -> Column:
-    """FN-8: zero-padded block label."""
-    return F.lpad(_col(n).cast("string"), width, "0")
+    """FN-8: zero-padded block label; a longer number is kept whole (``lpad``
+    alone would cut it)."""
+    s = _col(n).cast("string")
+    return F.when(F.length(s) >= width, s).otherwise(F.lpad(s, width, "0"))
 
 
 def strip_leading_zero(c) -> Column:
@@ -35,8 +37,9 @@ def price_usd(usd, digits: int = 4) -> Column:
     return F.round(_col(usd), digits)
 
 
-def to_json_text(c, keep_nulls: bool = False) -> Column:
-    """FN-12: serialise to JSON; Spark keeps non-ASCII characters as is."""
+def to_json_text(c, keep_nulls: bool = True) -> Column:
+    """FN-12: serialise to JSON with null fields; Spark keeps non-ASCII
+    characters as is."""
     opts = {"ignoreNullFields": "false"} if keep_nulls else {}
     return F.to_json(_col(c), opts)
 
@@ -89,19 +92,26 @@ def default_array(c, element_type: str) -> Column:
     return F.coalesce(_col(c), F.array().cast(f"array<{element_type}>"))
 
 
-def grid_chunk_end(start, size: int, end_limit) -> Column:
-    """FN-16 / D15: end of the grid chunk holding ``start`` = min(ceil(start/C)*C, END)."""
-    return F.least(F.ceil(_col(start) / F.lit(size)).cast("bigint") * F.lit(size), _col(end_limit))
-
-
 def shard_lane(block, attempt, lanes: int) -> Column:
     """FN-17: (block + attempt) mod lanes."""
     return F.pmod(_col(block) + _col(attempt), F.lit(lanes))
 
 
+# The entities that occur in cell text (ampersand last).
+_ENTITIES = (("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+
+
+def strip_text(c) -> Column:
+    """Leading and trailing white space of any kind, no-break spaces included."""
+    return F.regexp_replace(_col(c), r"^[\s\u00a0]+|[\s\u00a0]+$", "")
+
+
 def strip_tags(c) -> Column:
-    """FN-18: cell text = tags removed, then trimmed."""
-    return F.trim(F.regexp_replace(_col(c), r"<[^>]*>", ""))
+    """FN-18: cell text = tags removed, entities decoded, then stripped."""
+    out = F.regexp_replace(_col(c), r"<[^>]*>", "")
+    for entity, text in _ENTITIES:
+        out = F.replace(out, F.lit(entity), F.lit(text))
+    return strip_text(out)
 
 
 def json_path(c, path: str) -> Column:

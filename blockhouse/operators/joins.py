@@ -148,6 +148,7 @@ def _receipt_side(receipts: DataFrame, body: str, key: str) -> DataFrame:
     tagged = F.transform(arr, lambda r, i: F.struct(r["transactionHash"].alias("h"), i.alias("pos"), r.alias("r")))
     # the sorted array is a column of its own: a lambda that referenced the
     # expression would re-evaluate it per element
+    tagged = F.filter(tagged, lambda x: x["h"].isNotNull())  # a receipt without a hash matches nothing
     s = receipts.select(F.col(key).alias("_block"), F.array_sort(tagged).alias("_s"))
     c = F.col("_s")
     last = F.filter(c, lambda x, i: (i == F.size(c) - 1) | (F.element_at(c, i + 2)["h"] != x["h"]))

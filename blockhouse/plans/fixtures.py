@@ -26,11 +26,24 @@ ADDRESS_SPACE = 1500
 ATTEMPTS = 5
 
 
-LANDING_VERSION = "6"
+LANDING_VERSION = "7"
+LANDED_FROM = ("orders", "lineitem", "events", "customer", "pages")
+
+
+def input_identity(spark: SparkSession, sf_dir: str) -> str:
+    """Changes when any file of the tables that landings derive from is added,
+    removed or rewritten: one sum over (path, size, modification time). Only the
+    listing is read, no content."""
+    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in LANDED_FROM]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    r = files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+    return f"{r[0]}|{r[1]}"
 
 
 def landed(name: str, partition_by: list[str] | None = None, fmt: str = "parquet", **options: str):
-    """Land a derived table once per driver-table folder: written as Parquet
+    """Land a derived table once per state of the driver tables (their files' names,
+    sizes and modification times are part of the key, so a table that grew is
+    landed anew): written as Parquet
     under the shared ``spark.checkpoint.dir`` (a marker is committed after the
     data, so a half-written landing is never read) and read back by every
     later query. This is the landing step of the provider responses and of
@@ -41,7 +54,7 @@ def landed(name: str, partition_by: list[str] | None = None, fmt: str = "parquet
         def path(spark: SparkSession, sf_dir: str) -> str:
             import uuid
             from ..sinks.tables import try_read
-            key = hashlib.sha1(f"{LANDING_VERSION}|{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
+            key = hashlib.sha1(f"{LANDING_VERSION}|{sf_dir.rstrip('/')}|{input_identity(spark, sf_dir)}".encode()).hexdigest()[:16]
             base = f"{shared_root(spark)}/blockhouse/landed/{key}/{name}"
             marker = try_read(spark, f"{base}/_done")
             if marker is not None:

@@ -91,9 +91,13 @@ def W(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
+def _label(expr: str) -> str:
+    """Zero-padded to 8 digits, never cut."""
+    return f"printf('%08d', {expr})"
+
+
 def _chunk(expr: str, size: int) -> str:
-    return (f"lpad(CAST(({expr} // {size}) * {size} AS VARCHAR), 8, '0') || '_' || "
-            f"lpad(CAST(({expr} // {size}) * {size} + {size - 1} AS VARCHAR), 8, '0')")
+    return (f"{_label(f'({expr} // {size}) * {size}')} || '_' || {_label(f'({expr} // {size}) * {size} + {size - 1}')}")
 
 
 def _kst_text(ts: str) -> str:
@@ -245,7 +249,7 @@ SQL["failed_blocks"] = "SELECT DISTINCT o_orderkey // 50 AS block FROM orders WH
 
 SQL["compact_chunks"] = W(TX, HI, PRESENT, MISSING) + """
 SELECT transactionHash,
-  lpad(CAST((blockNumber // 10) * 10 + 9 AS VARCHAR), 8, '0') || '_' || lpad(CAST((blockNumber // 10) * 10 AS VARCHAR), 8, '0') AS chunk
+  printf('%08d', (blockNumber // 10) * 10 + 9) || '_' || printf('%08d', (blockNumber // 10) * 10) AS chunk
 FROM tx, hi
 WHERE blockNumber BETWEEN 1 AND hi.hi
   AND blockNumber // 10 NOT IN (SELECT block // 10 FROM missing)"""
@@ -465,7 +469,7 @@ SQL["epoch_to_kst"] = W(TX) + f"SELECT transactionHash, {_kst_text('ts')} AS tim
 SQL["epoch_ns_to_ts"] = W(H) + "SELECT transactionHash, date_trunc('second', ts) AS timestamp FROM h"
 
 SQL["pad_block_label"] = W(TX) + """
-SELECT transactionHash, lpad(CAST(blockNumber AS VARCHAR), 8, '0') AS label,
+SELECT transactionHash, printf('%08d', blockNumber) AS label,
   CAST(month(ts + INTERVAL 9 HOUR) AS VARCHAR) AS month, CAST(day(ts + INTERVAL 9 HOUR) AS VARCHAR) AS day FROM tx"""
 
 SQL["align_hour"] = W(H) + """

@@ -7,6 +7,7 @@ way everywhere.
 """
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -53,13 +54,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (local tests) a
-    private folder is created and registered as the checkpoint directory.
+    Read from the session. Only a local session (tests, bench) that has none gets
+    a private folder, registered as the checkpoint directory; on a cluster the
+    setting is required, because executors don't share local folders.
     """
     root = spark.conf.get(_CKPT_KEY, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {_CKPT_KEY} to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="blockhouse-ckpt-")
         spark.conf.set(_CKPT_KEY, root)
     if not spark.sparkContext.getCheckpointDir():

@@ -14,6 +14,8 @@ job. Two mechanisms cover every load mode:
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -53,13 +55,19 @@ class VersionedTable:
         return log.agg(F.max("version")).first()[0]
 
     def read(self, schema: StructType | None = None) -> DataFrame | None:
-        v = self.current_version()
-        return None if v is None else try_read(self.spark, f"{self.base}/v={v}", schema)
+        log = try_read(self.spark, f"{self.base}/_commits")
+        last = log.agg(F.max_by("folder", "version")).first()[0] if log is not None else None
+        return None if last is None else try_read(self.spark, f"{self.base}/{last}", schema)
 
     def commit(self, df: DataFrame) -> int:
+        """Each attempt writes a folder of its own, which only its commit row
+        names; what a crashed attempt left is never read or written again.
+        Older versions stay until the table folder is cleaned."""
         v = (self.current_version() or 0) + 1
-        df.write.mode("errorifexists").parquet(f"{self.base}/v={v}")
-        self.spark.createDataFrame([(v,)], "version bigint").write.mode("append").parquet(f"{self.base}/_commits")
+        folder = f"v={v}-{uuid.uuid4().hex[:12]}"
+        df.write.mode("errorifexists").parquet(f"{self.base}/{folder}")
+        (self.spark.createDataFrame([(v, folder)], "version bigint, folder string")
+         .write.mode("append").parquet(f"{self.base}/_commits"))
         return v
 
 

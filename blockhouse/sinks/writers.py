@@ -46,10 +46,11 @@ def with_chunk(df: DataFrame, size: int, block: str = "blockNumber", name: str =
 
 def write_block_chunks(df: DataFrame, path: str, size: int, block: str = "blockNumber") -> None:
     """SNK-4: one folder per block-range chunk, rows in block order inside
-    each file (AQE may split a very large chunk into several sorted files)."""
+    each file (AQE may split a very large chunk into several sorted files). Only
+    the chunks present in ``df`` are replaced; earlier chunks stay."""
     c = with_chunk(df, size, block)
     (c.hint("rebalance", "chunk").sortWithinPartitions("chunk", block, "transactionIndex")
-     .write.mode("overwrite").partitionBy("chunk").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chunk").parquet(path))
 
 
 def manifest(expected: DataFrame, counts: DataFrame, keys: list[str], n: str = "n_rows") -> DataFrame:
@@ -70,18 +71,21 @@ def write_manifest(spark, m: DataFrame, path: str, keys: list[str]) -> int:
 
 def write_holders_csv(df: DataFrame, path: str, inserted_at: str) -> None:
     """SNK-6: header, no index, plus ``inserted_at`` = run date."""
-    (df.withColumn("inserted_at", F.lit(inserted_at).cast("timestamp_ntz")).coalesce(1)
+    (df.withColumn("inserted_at", F.lit(inserted_at).cast("timestamp_ntz"))
      .write.mode("overwrite").option("header", True)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
 
 
 def compact_chunks(blocks_df: DataFrame, complete: DataFrame, path: str, size: int,
                    block: str = "blockNumber") -> None:
-    """SNK-16: rows of complete chunks only -> one gzip JSON-lines file per
-    chunk, named end_start (``complete``: chunk_id of complete chunks)."""
+    """SNK-16: rows of complete chunks only -> gzip JSON-lines, one folder per
+    chunk, named end_start (``complete``: chunk_id of complete chunks); AQE may
+    split a very large chunk into several files, each in (block, index) order as
+    numbers. Other chunks of an earlier call stay."""
     c = blocks_df.withColumn("chunk_id", F.expr(f"{block} div {size}"))
     c = c.join(complete.select("chunk_id"), "chunk_id", "left_semi")
     start = F.col("chunk_id") * size
     c = c.withColumn("chunk", fn.chunk_label(start + size - 1, start)).drop("chunk_id")
-    (c.hint("rebalance", "chunk").sortWithinPartitions("chunk", block, "transactionIndex")
-     .write.mode("overwrite").option("compression", "gzip").partitionBy("chunk").json(path))
+    order = [F.col(k).cast("bigint") for k in (block, "transactionIndex")]
+    (c.hint("rebalance", "chunk").sortWithinPartitions("chunk", *order)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "gzip").partitionBy("chunk").json(path))

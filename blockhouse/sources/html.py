@@ -14,7 +14,7 @@ from .. import functions as fn
 _TABLE = r"(?is)<table\b.*?</table>"
 _ROW = r"(?is)<tr\b[^>]*>(.*?)</tr>"
 _CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
-_SPAN_TARGET = r'(?is)<span\b[^>]*\bdata-highlight-target\s*=\s*"([^"]*)"'
+_SPAN_TARGET = r"""(?is)<span\b[^>]*\bdata-highlight-target\s*=\s*["']?([^"'\s>]*)"""
 
 
 def holder_cells(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -37,7 +37,7 @@ def parse_holder_cells(rows: DataFrame, filtered: bool = True) -> DataFrame:
         out = out.where(F.size(c) >= 5)
         out = out.where(~F.lower(c[2]).contains("<img"))
         out = out.where(fn.strip_tags(c[2]) == "")
-    addr = F.trim(F.regexp_extract(c[1], _SPAN_TARGET, 1))
+    addr = fn.strip_text(F.regexp_extract(c[1], _SPAN_TARGET, 1))
     keep = [x for x in rows.columns if x != "cells"]
     return out.select(
         *keep,

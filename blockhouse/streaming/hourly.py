@@ -8,12 +8,15 @@ so a replayed micro-batch rewrites the same partitions (exactly once).
 """
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import functions as fn
 from ..operators.projections import tx_project_hourly
+from ..sinks.tables import try_read
 
 HOUR_KEYS = ["year", "month", "day", "hour"]
 WAREHOUSE_KEYS = ["key_year", "key_month", "key_day", "key_hour"]
@@ -49,7 +52,7 @@ def stream_hourly_load(spark: SparkSession, landing: str, schema: StructType, ta
                 .where((F.col("ts") >= F.timestamp_add("HOUR", F.lit(-1), lo))
                        & (F.col("ts") <= F.timestamp_add("HOUR", F.lit(1), hi)))
                 .select("*", *fn.kst_hour_keys("ts"))
-                .join(F.broadcast(touched), HOUR_KEYS, "left_semi"))  # touched hours of one batch: bounded
+                .join(touched, HOUR_KEYS, "left_semi").dropDuplicates(["transactionHash"]))  # a file landed twice counts once
         (tx_project_hourly(full).hint("rebalance", *WAREHOUSE_KEYS)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*WAREHOUSE_KEYS).parquet(target))
@@ -57,22 +60,29 @@ def stream_hourly_load(spark: SparkSession, landing: str, schema: StructType, ta
     _run(file_stream(spark, landing, schema, max_files).writeStream.foreachBatch(load), checkpoint)
 
 
+def _batch_label(checkpoint: str, epoch: int) -> str:
+    """Names the output of one micro-batch: a retry of the batch replaces it."""
+    return f"{hashlib.sha1(checkpoint.encode()).hexdigest()[:10]}-{epoch}"
+
+
 def stream_hour_counts(spark: SparkSession, landing: str, schema: StructType, target: str,
-                       checkpoint: str, watermark: str = "2 hours", max_files: int | None = None) -> None:
-    """STR-2: tumbling one-hour windows. Update mode emits a window's running
-    count each batch; the batch writer replaces that hour's partition, so the
-    stored count is always the latest one (the watermark bounds the state)."""
-    s = file_stream(spark, landing, schema, max_files).withColumn("_ts", F.col("ts").cast("timestamp"))
-    counts = (s.withWatermark("_ts", watermark).groupBy(F.window("_ts", "1 hour").alias("w"))
-              .agg(F.count(F.lit(1)).alias("n_rows")))
+                       checkpoint: str, max_files: int | None = None) -> None:
+    """STR-2: tumbling one-hour counts. Each micro-batch stores its own counts per
+    hour under its batch label (replaced on retry); ``read_hour_counts`` adds them
+    up. There is no watermark, so a row that arrives late, in any batch, counts."""
 
     def write(batch: DataFrame, epoch: int) -> None:
-        out = batch.select(F.date_format(F.col("w.start"), "yyyy-MM-dd HH").alias("slot"),
-                           F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n_rows")
-        (out.hint("rebalance", "slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("slot").parquet(target))
+        counts = batch.groupBy(F.window(F.col("ts").cast("timestamp"), "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n_rows"))
+        (counts.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n_rows")
+         .withColumn("batch", F.lit(_batch_label(checkpoint, epoch)))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(target))
+
+    _run(file_stream(spark, landing, schema, max_files).writeStream.foreachBatch(write), checkpoint)
 
-    _run(counts.writeStream.outputMode("update").foreachBatch(write), checkpoint)
+
+def read_hour_counts(spark: SparkSession, target: str) -> DataFrame:
+    """window_start, n_rows over all micro-batches."""
+    return spark.read.parquet(target).groupBy("window_start").agg(F.sum("n_rows").alias("n_rows"))
 
 
 def late_rows_split(df: DataFrame, slot: str = "slot_start", ts: str = "ts") -> DataFrame:
@@ -83,12 +93,24 @@ def late_rows_split(df: DataFrame, slot: str = "slot_start", ts: str = "ts") ->
 
 
 def stream_dedupe(spark: SparkSession, landing: str, schema: StructType, target: str, checkpoint: str,
-                  key: str = "transactionHash", watermark: str = "2 hours", max_files: int | None = None) -> None:
-    """STR-4: a replayed file must not duplicate rows; duplicates are dropped
-    within the watermark (state per key lives until the watermark passes)."""
-    s = file_stream(spark, landing, schema, max_files).withColumn("_ts", F.col("ts").cast("timestamp"))
-    d = s.withWatermark("_ts", watermark).dropDuplicatesWithinWatermark([key]).drop("_ts")
-    _run(d.writeStream.foreachBatch(lambda b, i: b.write.mode("append").parquet(target)), checkpoint)
+                  key: str = "transactionHash", max_files: int | None = None) -> None:
+    """STR-4: a replayed file must not duplicate rows, however late it comes, and no
+    row is lost. A batch adds the keys that its hours don't hold yet (a key always
+    falls into one hour, so only the touched hour partitions are read) under its
+    batch label; a retry replaces exactly what the failed attempt wrote."""
+
+    def load(batch: DataFrame, epoch: int) -> None:
+        label = _batch_label(checkpoint, epoch)
+        new = batch.dropDuplicates([key]).select("*", *fn.kst_hour_keys("ts"))
+        held = StructType(schema.fields + [StructField(k, StringType()) for k in [*HOUR_KEYS, "batch"]])
+        old = try_read(spark, target, held)
+        if old is not None:
+            old = old.where(F.col("batch") != label).join(new.select(*HOUR_KEYS).distinct(), HOUR_KEYS, "left_semi")
+            new = new.join(old.select(key, *HOUR_KEYS), [key, *HOUR_KEYS], "left_anti")
+        (new.withColumn("batch", F.lit(label)).hint("rebalance", *HOUR_KEYS)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*HOUR_KEYS, "batch").parquet(target))
+
+    _run(file_stream(spark, landing, schema, max_files).writeStream.foreachBatch(load), checkpoint)
 
 
 def stream_append(spark: SparkSession, landing: str, schema: StructType, target: str, checkpoint: str) -> None:
