@@ -64,10 +64,9 @@ class Reader:
     def feed(self, text: str) -> list[tuple[str, str]]:
         s, at, turns = self._rest + text, 0, []
         while at < len(s):
-            turn = self._turn(s, at)
-            if turn is None:
+            if s.find(END, at) < 0:  # only the end of a turn holds this string: wait for it
                 break
-            role, body, at = turn
+            role, body, at = self._turn(s, at)
             turns.append((role, unescape(body)))
         self._rest = s[at:]
         return turns
@@ -97,7 +96,7 @@ class Reader:
             if m[2] == "###" or not s.startswith(END, m.start() - 1) or m.start() - 1 < at:
                 raise NotWellFormed("control string inside a body")
             return role, s[at:m.start() - 1], m.start() - 1 + len(END)
-        return None
+        raise NotWellFormed("turn end expected")
 
 
 def _reads_as(segment: str, role: str, text: str) -> bool:
