@@ -23,7 +23,7 @@ every frequent token singly too.
 Verification.  In every index key all nodes are compared to one hub: a parity
 sketch drops pairs that provably differ too much, the rest are intersected
 exactly.  Links are merged into components, and
-only keys that still hold several components go on: two hub rounds, then all
+only keys that still hold several components go on: four hub rounds, then all
 pairs of nodes of *different* components that still share a key.  Thus a group
 of thousands of copies costs rows in proportion to the group, and no link is
 lost: components equal those of all pairs with Jaccard >= t.
@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import (_MULT, chunk_words, connected, doc_chunks, mix, packed, shuffle_parts, stored, text_bytes,
                      window_hashes)
 
-SLOT_BITS = 20              # fixed size of the count table: 2**20 counters
+SLOT_BITS = 22              # fixed size of the count table: 2**22 counters
 SLICES = 64                 # the table travels in 64 slices
 BUCKET_ROWS = 1 << 19       # rare index entries per bucket, about
 BROADCAST_IDS = 1_000_000   # ids are broadcast only up to this count
@@ -109,7 +109,7 @@ def count_slots(texts: DataFrame, k: int) -> np.ndarray:
     schema = "slice int, salt int, counts binary"
     parts = shuffle_parts(texts.sparkSession)
     level1 = texts.mapInArrow(tally, schema).repartition(parts, "slice", "salt").mapInArrow(add, schema)
-    rows = level1.withColumn("salt", F.lit(0)).repartition(min(parts, SLICES), "slice").mapInArrow(add, schema).collect()  # <= 8 MB
+    rows = level1.withColumn("salt", F.lit(0)).repartition(min(parts, SLICES), "slice").mapInArrow(add, schema).collect()  # 32 MB at any size
     out = np.zeros((SLICES, per), dtype=np.int64)
     for r in rows:
         out[r[0]] += np.frombuffer(r[2], dtype=np.int64)
@@ -119,7 +119,7 @@ def count_slots(texts: DataFrame, k: int) -> np.ndarray:
 def frequency_grades(counts: np.ndarray) -> np.ndarray:
     """0: rare; g: frequent, g grows with the count's power of two (one byte a slot)."""
     mean = counts.sum() / len(counts)
-    least = max(64.0, mean + 8 * math.sqrt(mean))
+    least = max(32.0, mean + 5 * math.sqrt(mean))
     return np.where(counts >= least, 1 + np.floor(np.log2(np.maximum(counts, 1) / least)), 0).clip(0, 60).astype(np.uint8)
 
 
@@ -352,7 +352,7 @@ def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "do
 
     labels = None
     sized = stored(entries.join(known.select("node", "n"), "node").select("key", "node", "n"), "ngram-sized")
-    for hub_round in range(3):
+    for hub_round in range(5):
         open_ = sized
         if labels is not None:
             marked = sized.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -360,10 +360,11 @@ def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "do
             sized = open_ = stored(marked.join(keys, "key").select("key", "node", "n", "component"), "ngram-open")
             if open_.isEmpty():
                 break
-        if hub_round < 2:
-            # a different node of the key each round; from round two on the nodes
-            # are those of components that have not met yet
-            turn = F.xxhash64("node", F.lit(hub_round))
+        if hub_round < 4:
+            # the first round's hub is the same node for all keys of a group (few
+            # pairs); later rounds draw one per key, for nodes still outside the
+            # hub's component, so an outlier meets as many hubs as it has keys
+            turn = F.xxhash64("node", F.lit(hub_round), *([F.col("key")] if hub_round else []))
             extra = ["component"] if labels is not None else []
             hubs = open_.groupBy("key").agg(F.min_by(F.struct("node", "n", *extra), turn).alias("h"))
             cand = open_.join(hubs, "key").where("node <> h.node")

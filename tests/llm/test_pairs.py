@@ -57,7 +57,7 @@ def test_ngram_join_frequent_tokens_and_thresholds(spark, monkeypatch):
 def test_index_keys_share_a_key_at_the_threshold(seed, n, jaccard, kind):
     """Any two sets with Jaccard >= 0.8 have an index key in common."""
     rng = np.random.default_rng(seed)
-    grades = [np.zeros(1 << 20), np.ones(1 << 20), rng.integers(0, 2, 1 << 20), rng.integers(0, 4, 1 << 20)][kind].astype(np.uint8)
+    grades = [np.zeros(1 << 22, np.uint8), np.ones(1 << 22, np.uint8), rng.integers(0, 2, 1 << 22, dtype=np.uint8), rng.integers(0, 4, 1 << 22, dtype=np.uint8)][kind].astype(np.uint8)
     pool = np.unique(rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64))
     both = math.ceil(jaccard * n)
     extra = rng.integers(0, n - both + 1)
