@@ -23,8 +23,9 @@ every frequent token singly too.
 Verification.  In every index key all nodes are compared to one hub: a parity
 sketch drops pairs that provably differ too much, the rest are intersected
 exactly.  Links are merged into components, and
-only keys that still hold several components go on: four hub rounds, then all
-pairs of nodes of *different* components that still share a key.  Thus a group
+only keys that still hold several components go on: three hub rounds, then all
+pairs of nodes of *different* components that still share a key, compared by
+their sketches in units of bounded size that return only pairs to verify.  Thus a group
 of thousands of copies costs rows in proportion to the group, and no link is
 lost: components equal those of all pairs with Jaccard >= t.
 
@@ -52,6 +53,7 @@ SLICES = 64                 # the table travels in 64 slices
 BUCKET_ROWS = 1 << 19       # rare index entries per bucket, about
 BROADCAST_IDS = 1_000_000   # ids are broadcast only up to this count
 FLUSH_BYTES = 24 << 20
+UNIT = 1024                 # nodes of a key that are compared in one unit
 _U = np.uint64
 
 
@@ -84,16 +86,16 @@ def count_slots(texts: DataFrame, k: int) -> np.ndarray:
     per = (1 << SLOT_BITS) // SLICES
 
     def tally(batches):
-        counts = np.zeros(1 << SLOT_BITS, dtype=np.int64)
+        counts = np.zeros(1 << SLOT_BITS, dtype=np.int32)
         some, salt = False, 0
         for ids, chunk in doc_chunks(batches):
             sets = [s for s in shingle_sets(chunk, k) if len(s)]
             if sets:
                 some, salt = True, (salt + int(sets[0][0] >> _U(7))) % 16
-                counts += np.bincount(_slots(np.concatenate(sets)), minlength=1 << SLOT_BITS)
+                np.add.at(counts, _slots(np.concatenate(sets)), 1)
         if some:
             yield pa.record_batch([pa.array(range(SLICES), pa.int32()), pa.array([salt] * SLICES, pa.int32()),
-                                   pa.array([packed(c) for c in counts.reshape(SLICES, per)], pa.binary())],
+                                   pa.array([packed(c.astype(np.int64)) for c in counts.reshape(SLICES, per)], pa.binary())],
                                   names=["slice", "salt", "counts"])
 
     def add(batches):
@@ -289,25 +291,95 @@ def parity_sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
+def _fold(x: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (in the last axis) folded onto ``words`` 64-bit words."""
+    while x.shape[-1] > words:
+        half = x.shape[-1] // 2
+        x = x[..., :half] ^ x[..., half:]
+    return x
+
+
+def _possible(x: np.ndarray, y: np.ndarray, n, m, pct: int):
+    """Whether sketches of equal length leave room for a link: |x ^ y| is at least
+    their bit count, |x ^ y| = n + m - 2 both, and a link has (100 + pct) both >=
+    pct (n + m)."""
+    return (100 + pct) * np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64) <= (100 - pct) * (n + m)
+
+
 def _may_link(pct: int):
     """Drops pairs whose sketches prove a Jaccard similarity below the threshold."""
     def run(batches):
         for b in batches:
-            a, c, n, m, sa, sc = (b.column(i).to_pylist() for i in range(6))
+            n, m, sa, sc = (b.column(i).to_pylist() for i in range(2, 6))
             keep = []
-            for i in range(len(a)):
+            for i in range(len(n)):
                 x, y = np.frombuffer(sa[i], dtype=np.uint64), np.frombuffer(sc[i], dtype=np.uint64)
-                while len(x) > len(y):
-                    x = x[:len(x) // 2] ^ x[len(x) // 2:]
-                while len(y) > len(x):
-                    y = y[:len(y) // 2] ^ y[len(y) // 2:]
-                # |x ^ y| = n + m - 2 both, and a link has (100 + pct) both >= pct (n + m)
-                if (100 + pct) * int(np.bitwise_count(x ^ y).sum()) <= (100 - pct) * (n[i] + m[i]):
+                words = min(len(x), len(y))
+                if _possible(_fold(x, words), _fold(y, words), n[i], m[i], pct):
                     keep.append(i)
             yield pa.record_batch([b.column(0).take(pa.array(keep, pa.int64())), b.column(1).take(pa.array(keep, pa.int64()))], names=["a", "b"])
     return run
 
 
+def _unit_pairs(block, node, component, n, sketches, pct: int) -> Iterator[tuple]:
+    """Pairs of one unit whose components differ and whose sketches leave room for
+    a link; in a unit of two blocks only pairs across the blocks."""
+    across = block.min() != block.max()
+    words = np.array([len(s) // 8 for s in sketches])
+    for size in np.unique(words):
+        i = np.flatnonzero(words == size)
+        x = np.frombuffer(b"".join(sketches[k] for k in i), dtype=np.uint64).reshape(len(i), size)
+        for other in (size, 2 * size):  # partners differ by a quarter at most: equal or twice the length
+            j = i if other == size else np.flatnonzero(words == other)
+            if not len(j):
+                continue
+            y = x if other == size else _fold(np.frombuffer(b"".join(sketches[k] for k in j), dtype=np.uint64).reshape(len(j), other), size)
+            step = max(1, (1 << 20) // (len(j) * int(size)))
+            for at in range(0, len(i), step):
+                k = i[at:at + step]
+                u, v = np.nonzero((component[k][:, None] != component[j][None])
+                                  & (100 * np.minimum(n[k][:, None], n[j][None]) >= pct * np.maximum(n[k][:, None], n[j][None])))
+                ok = _possible(x[at + u], y[v], n[k[u]], n[j[v]], pct) if len(u) <= 1 << 16 else np.concatenate(
+                    [_possible(x[at + u[q:q + (1 << 16)]], y[v[q:q + (1 << 16)]], n[k[u[q:q + (1 << 16)]]], n[j[v[q:q + (1 << 16)]]], pct)
+                     for q in range(0, len(u), 1 << 16)])
+                u, v = k[u[ok]], j[v[ok]]
+                if across:
+                    differ = block[u] != block[v]
+                    u, v = u[differ], v[differ]
+                yield from zip(np.minimum(node[u], node[v]).tolist(), np.maximum(node[u], node[v]).tolist())
+
+
+def _meet(pct: int):
+    """Entries sorted by unit -> pairs to verify. One unit is held at a time; a pair
+    that several keys of a task yield is sent once."""
+    def run(batches):
+        held, seen, last = [], set(), None
+
+        def finish():
+            t = pa.concat_batches(held)
+            held.clear()
+            c = [t.column(i).to_numpy() for i in range(3, 7)]
+            new = [p for p in _unit_pairs(*c, t.column(7).to_pylist(), pct) if p not in seen and not seen.add(p)]
+            a, b = zip(*new) if new else ((), ())
+            if len(seen) > 1 << 20:
+                seen.clear()
+            return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for b in batches:
+            unit = np.stack([b.column(i).to_numpy().astype(np.int64) for i in range(3)], axis=1)
+            cut = np.flatnonzero((unit[1:] != unit[:-1]).any(axis=1)) + 1
+            for lo, hi in zip([0, *cut], [*cut, len(unit)]):
+                if lo == hi:
+                    continue
+                if held and tuple(unit[lo]) != last:
+                    yield finish()
+                last = tuple(unit[lo])
+                held.append(b.slice(lo, hi - lo))
+        if held:
+            yield finish()
+    return run
+
+
 def _verify(pct: int):
     def run(batches):
         for b in batches:
@@ -332,6 +404,26 @@ def _sets(k: int):
     return run
 
 
+def _remaining(entries: DataFrame, known: DataFrame, pct: int) -> DataFrame:
+    """All pairs of nodes of different components that share a key, as far as their
+    sketches leave room for a link.
+
+    Keys with the same nodes (equal counts and 128-bit sums of node hashes) are one.
+    A key with more than ``UNIT`` nodes is dealt into blocks, and a unit is a pair of
+    blocks; comparisons stay inside a unit and only pairs to verify leave it."""
+    wide = lambda seed: F.sum(F.xxhash64("node", F.lit(seed)).cast("decimal(38,0)"))
+    alike = entries.groupBy("key").agg(F.count("*").alias("c"), wide(1).alias("s"), wide(2).alias("t"))
+    keys = alike.groupBy("c", "s", "t").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("c") / UNIT).cast("int").alias("blocks"))
+    e = (entries.join(keys, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+         .select("key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "component", "n"))
+    e = e.join(known.select("node", "sketch"), "node")
+    cols = ["key", "i", "j", "block", "node", "component", "n", "sketch"]
+    parts = shuffle_parts(entries.sparkSession)
+    return (e.select(*cols).repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+            .mapInArrow(_meet(pct), "a bigint, b bigint").distinct())
+
+
 def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
     spark = docs.sparkSession
@@ -350,9 +442,10 @@ def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "do
     known = nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
     known = stored(known.join(entries.select("node").distinct(), "node"), "ngram-nodes")
 
+    side = lambda of, name, what: of.select(F.col("node").alias(name), *[F.col(c).alias(c + name) for c in what])
     labels = None
     sized = stored(entries.join(known.select("node", "n"), "node").select("key", "node", "n"), "ngram-sized")
-    for hub_round in range(5):
+    for hub_round in range(4):
         open_ = sized
         if labels is not None:
             marked = sized.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -360,7 +453,7 @@ def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "do
             sized = open_ = stored(marked.join(keys, "key").select("key", "node", "n", "component"), "ngram-open")
             if open_.isEmpty():
                 break
-        if hub_round < 4:
+        if hub_round < 3:
             # the first round's hub is the same node for all keys of a group (few
             # pairs); later rounds draw one per key, for nodes still outside the
             # hub's component, so an outlier meets as many hubs as it has keys
@@ -371,14 +464,12 @@ def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "do
             if labels is not None:
                 cand = cand.where("component <> h.component")
             cand = cand.select("node", "n", F.col("h.node").alias("other"), F.col("h.n").alias("m"))
+            near = (F.least("n", "m") * 100 >= F.greatest("n", "m") * pct)
+            cand = cand.where(near).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+            cand = (cand.join(side(known, "a", ["n", "sketch"]), "a").join(side(known, "b", ["n", "sketch"]), "b")
+                    .select("a", "b", "na", "nb", "sketcha", "sketchb").mapInArrow(_may_link(pct), "a bigint, b bigint"))
         else:
-            o = open_.select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("component").alias("oc"))
-            cand = open_.join(o, "key").where("component < oc").select("node", "n", "other", "m")
-        near = (F.least("n", "m") * 100 >= F.greatest("n", "m") * pct)
-        cand = cand.where(near).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        side = lambda of, name, what: of.select(F.col("node").alias(name), *[F.col(c).alias(c + name) for c in what])
-        cand = (cand.join(side(known, "a", ["n", "sketch"]), "a").join(side(known, "b", ["n", "sketch"]), "b")
-                .select("a", "b", "na", "nb", "sketcha", "sketchb").mapInArrow(_may_link(pct), "a bigint, b bigint"))
+            cand = _remaining(open_, known, pct)
         cand = stored(cand, "ngram-candidates")
         wanted = stored(cand.select(F.col("a").alias("node")).union(cand.select("b")).distinct()
                         .join(known.select("node", "doc_id"), "node").select("doc_id"), "ngram-wanted")
