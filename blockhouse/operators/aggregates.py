@@ -79,18 +79,23 @@ def chunk_completeness(spark: SparkSession, present: DataFrame, low: int, high:
         (F.coalesce("n_present", F.lit(0)) == end - start + 1).alias("is_complete"))
 
 
-def page_reconcile(items: DataFrame, page_size: int) -> DataFrame:
-    """AGG-4: provider total vs rows received per block; pages = ceil(count /
-    rpp); a mismatch flags a silently truncated block (D13)."""
+def page_reconcile(items: DataFrame, page_size: int, expected: DataFrame | None = None) -> DataFrame:
+    """AGG-4: provider total vs distinct transactions received per block; pages =
+    ceil(count / rpp); a mismatch flags a silently truncated block (D13). Pages
+    without items count as received pages, and a transaction that came twice
+    counts once. With ``expected`` (column ``block``) a block of which nothing
+    arrived is reported too (nothing received, total unknown)."""
     g = items.groupBy("block").agg(
-        F.max("count").alias("reported"), F.count(F.lit(1)).alias("received"),
+        F.max("count").alias("reported"), F.count_distinct("transactionHash").alias("received"),
         F.count_distinct("page").alias("pages_received"))
+    if expected is not None:
+        g = expected.select("block").distinct().join(g, "block", "left").fillna(0, ["received", "pages_received"])
     return g.select(
         F.col("block").cast("bigint").alias("block"), F.col("reported").cast("bigint").alias("reported"),
         F.col("received").cast("bigint").alias("received"),
         F.ceil(F.col("reported") / F.lit(page_size)).cast("bigint").alias("pages_expected"),
         F.col("pages_received").cast("bigint").alias("pages_received"),
-        (F.col("received") != F.col("reported")).alias("mismatch"))
+        F.coalesce(F.col("received") != F.col("reported"), F.lit(True)).alias("mismatch"))
 
 
 def chunk_throughput(manifest: DataFrame, size: int, key: str = "block") -> DataFrame:

@@ -702,7 +702,7 @@ def chunk_completeness(spark, sf):
 @query("page_reconcile")
 def page_reconcile(spark, sf):
     """AGG-4: reported count vs rows and pages received per block."""
-    return agg.page_reconcile(lsrc.flatten_tx_pages(fx.tx_pages(spark, sf)), fx.TX_PAGE_SIZE)
+    return agg.page_reconcile(lsrc.flatten_tx_pages(fx.tx_pages(spark, sf), keep_empty=True), fx.TX_PAGE_SIZE)
 
 
 @query("last_per_key")

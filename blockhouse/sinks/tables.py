@@ -22,6 +22,7 @@ from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
 from .. import functions as fn
+from ..session import scratch_path
 
 HOUR_KEYS = ["year", "month", "day", "hour"]
 
@@ -124,11 +125,15 @@ def create_table_if_absent(spark: SparkSession, name: str, ddl: str, path: str)
 
 
 def load_truncate(spark: SparkSession, name: str, snapshot: DataFrame) -> None:
-    """SNK-11 + FLT-9: the table is replaced by the snapshot; an empty snapshot
-    fails before anything is touched."""
-    if snapshot.isEmpty():
+    """SNK-11 + FLT-9: the table is replaced by the snapshot. The snapshot is
+    computed once, into a folder of its own; when that fails or holds no row, the
+    table is left unchanged."""
+    aside = scratch_path(spark, "snapshot")
+    snapshot.write.parquet(aside)
+    ready = spark.read.schema(snapshot.schema).parquet(aside)
+    if ready.isEmpty():
         raise ValueError(f"snapshot for {name} is empty; table left unchanged")
-    snapshot.write.mode("overwrite").insertInto(name, overwrite=True)
+    ready.write.mode("overwrite").insertInto(name, overwrite=True)
 
 
 # ----------------------------------------------------------------- SNK-12

@@ -28,18 +28,19 @@ RPC_RECEIPT_DDL = (
 )
 
 
-def flatten_tx_pages(pages: DataFrame, body: str = "body") -> DataFrame:
+def flatten_tx_pages(pages: DataFrame, body: str = "body", keep_empty: bool = False) -> DataFrame:
     """SRC-6 + PRJ-9: one row per item. The block time of a page is its first
     item's ``timestamp``, carried beside the explode and stamped on every item
     as KST text. Keeps the landing keys (``block``, ``page``) and the page's
-    ``count`` / cursors for reconciliation."""
+    ``count`` / cursors for reconciliation. With ``keep_empty`` a page without
+    items gives one row without a transaction."""
     p = pages.withColumn("_p", F.from_json(F.col(body), PAGE_DDL))
     p = p.withColumn("_block_ts", F.element_at(F.col("_p.items"), 1)["timestamp"])
     rows = p.select(
         *[c for c in pages.columns if c != body],
         F.col("_p.count").alias("count"),
         F.coalesce(F.col("_p.nextCursor"), F.col("_p.cursor")).alias("nextCursor"),
-        "_block_ts", F.explode("_p.items").alias("it"))
+        "_block_ts", (F.explode_outer if keep_empty else F.explode)("_p.items").alias("it"))
     return rows.select(
         *[c for c in rows.columns if c not in ("it", "_block_ts")],
         F.col("it.transactionHash").alias("transactionHash"),

@@ -6,12 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from blockhouse import functions as fn
+from blockhouse.operators import aggregates as agg
+from blockhouse.operators import joins as jn
 from blockhouse.plans import fixtures as fx
 from blockhouse.session import scratch_path
 from blockhouse.sinks import tables as tb
 from blockhouse.sinks import writers as wr
 from blockhouse.sources import files as src
 from blockhouse.sources import html as hsrc
+from blockhouse.sources import landed as lsrc
 from blockhouse.streaming import hourly as stream
 from tests.conftest import SF_SMALL
 
@@ -117,3 +120,20 @@ def test_holder_cells_with_other_white_space(spark):
     page = "<table><tr><th>h</th></tr>" + row("\n  ", '"0xa"', "1 ETH\n") + row(" &nbsp; ", "'0xb'", "\t2 ETH") + row("Name", "0xc", "3") + "</table>"
     got = hsrc.extract_holder_rows(spark.createDataFrame([(page,)], "html string")).select("address", "eth_balance").collect()
     assert [tuple(r) for r in got] == [("0xa", "1 ETH"), ("0xb", "2 ETH")]
+
+
+def test_reconcile_empty_pages_repeats_and_lost_blocks(spark):
+    page = lambda b, p, items, n: (b, p, f'{{"items":[{",".join(items)}],"count":{n}}}')
+    item = lambda h: f'{{"transactionHash":"{h}","timestamp":1700000000}}'
+    rows = [page(1, 1, [], 50), page(2, 1, [item("a"), item("a")], 2), page(3, 1, [item("b"), item("c")], 2)]
+    items = lsrc.flatten_tx_pages(spark.createDataFrame(rows, "block bigint, page bigint, body string"), keep_empty=True)
+    got = agg.page_reconcile(items, 20, spark.range(1, 5).select(F.col("id").alias("block")))
+    assert {r["block"]: (r["received"], r["mismatch"]) for r in got.collect()} == {1: (0, True), 2: (1, True), 3: (2, False), 4: (0, True)}
+
+
+def test_receipt_without_a_hash_fails_its_block_only(spark):
+    block = lambda n, h: (n, f'{{"result":{{"number":"0x{n:x}","timestamp":"0x10","transactions":[{{"hash":"{h}"}}]}}}}')
+    blocks = spark.createDataFrame([block(1, "a"), block(2, "b")], "blockNumber bigint, body string")
+    receipts = spark.createDataFrame([(1, '{"result":[{"transactionHash":"a","status":"0x1"}]}'), (2, '{"result":[{"status":"0x1"}]}')], "blockNumber bigint, body string")
+    merged, failed = jn.merge_block_responses(blocks, receipts)
+    assert [r["transactionHash"] for r in merged.collect()] == ["a"] and [r["blockNumber"] for r in failed.collect()] == [2]
