@@ -80,9 +80,9 @@ def _slots(s: np.ndarray) -> np.ndarray:
     return (s >> _U(64 - SLOT_BITS)).astype(np.int64)
 
 
-def count_slots(texts: DataFrame, k: int) -> np.ndarray:
+def count_slots(texts: DataFrame, k: int) -> DataFrame:
     """Documents per hashed shingle slot, summed over all documents: a fixed
-    2**20 table, added up slice by slice in streaming tasks (two levels)."""
+    table in slices (slice, counts, total), added up in streaming tasks (two levels)."""
     per = (1 << SLOT_BITS) // SLICES
 
     def tally(batches):
@@ -111,18 +111,34 @@ def count_slots(texts: DataFrame, k: int) -> np.ndarray:
     schema = "slice int, salt int, counts binary"
     parts = shuffle_parts(texts.sparkSession)
     level1 = texts.mapInArrow(tally, schema).repartition(parts, "slice", "salt").mapInArrow(add, schema)
-    rows = level1.withColumn("salt", F.lit(0)).repartition(min(parts, SLICES), "slice").mapInArrow(add, schema).collect()  # 32 MB at any size
-    out = np.zeros((SLICES, per), dtype=np.int64)
-    for r in rows:
-        out[r[0]] += np.frombuffer(r[2], dtype=np.int64)
-    return out.ravel()
+    total = lambda batches: (b.append_column("total", pa.array([int(np.frombuffer(c, dtype=np.int64).sum()) for c in b.column(2).to_pylist()], pa.int64()))
+                             for b in add(batches))
+    return stored(level1.withColumn("salt", F.lit(0)).repartition(min(parts, SLICES), "slice")
+                  .mapInArrow(total, schema + ", total bigint"), "ngram-slots")
 
 
-def frequency_grades(counts: np.ndarray) -> np.ndarray:
+def frequency_grades(counts: np.ndarray, least: float) -> np.ndarray:
     """0: rare; g: frequent, g grows with the count's power of two (one byte a slot)."""
-    mean = counts.sum() / len(counts)
-    least = max(32.0, mean + 5 * math.sqrt(mean))
-    return np.where(counts >= least, 1 + np.floor(np.log2(np.maximum(counts, 1) / least)), 0).clip(0, 60).astype(np.uint8)
+    out = np.zeros(len(counts), dtype=np.uint8)
+    often = np.flatnonzero(counts >= least)
+    out[often] = (1 + np.floor(np.log2(counts[often] / least))).clip(1, 60)
+    return out
+
+
+def grade_table(slots: DataFrame, shingles: int) -> np.ndarray:
+    """Grades of all slots: frequent ones lie five deviations above the mean load."""
+    mean = shingles / (1 << SLOT_BITS)
+    least, grade = max(32.0, mean + 5 * math.sqrt(mean)), frequency_grades
+
+    def run(batches):
+        for b in batches:
+            grades = [packed(grade(np.frombuffer(c, dtype=np.int64), least)) for c in b.column(1).to_pylist()]
+            yield pa.record_batch([b.column(0), pa.array(grades, pa.binary())], names=["slice", "grades"])
+
+    table = np.zeros((SLICES, (1 << SLOT_BITS) // SLICES), dtype=np.uint8)
+    for i, g in slots.select("slice", "counts").mapInArrow(run, "slice int, grades binary").collect():  # 4 MB at any size
+        table[i] = np.frombuffer(g, dtype=np.uint8)
+    return table.ravel()
 
 
 def size_level(n: int) -> int:
@@ -428,9 +444,10 @@ def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "do
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
     spark = docs.sparkSession
     texts = text_bytes(docs, id_col=id_col, text_col=text_col).where("doc_id IS NOT NULL")
-    counts = count_slots(texts, k)
-    grades = spark.sparkContext.broadcast(frequency_grades(counts))
-    buckets = max(shuffle_parts(spark), math.ceil(int(counts.sum()) * (100 - pct) / 100 / BUCKET_ROWS))
+    slots = count_slots(texts, k)
+    shingles = int(slots.agg(F.sum("total")).first()[0] or 0)
+    grades = spark.sparkContext.broadcast(grade_table(slots, shingles))  # 4 MB
+    buckets = max(shuffle_parts(spark), math.ceil(shingles * (100 - pct) / 100 / BUCKET_ROWS))
     index = stored(texts.mapInArrow(_index(buckets, grades, k, pct), _INDEX_SCHEMA)
                    .repartitionById(buckets, F.col("bucket")).mapInArrow(_settle, _ENTRY_SCHEMA), "ngram-index")
     nodes = index.where("kind = 0").select("doc_id", "n", "node", "sketch")

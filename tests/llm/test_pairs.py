@@ -43,7 +43,7 @@ def test_ngram_join_frequent_tokens_and_thresholds(spark, monkeypatch):
     """Everything frequent: pairs of sub-classes carry the join; sizes cross levels;
     keys of more nodes than a unit are split."""
     monkeypatch.setattr(ngram_join, "UNIT", 3)
-    monkeypatch.setattr(ngram_join, "frequency_grades", lambda c: np.where(c >= 2, 1 + (c > 5), 0).astype(np.uint8))
+    monkeypatch.setattr(ngram_join, "frequency_grades", lambda c, least: np.where(c >= 2, 1 + (c > 5), 0).astype(np.uint8))
     rng = random.Random(5)
     docs = []
     for length in (5, 6, 8, 9, 10, 20, 60, 70, 260, 300):
