@@ -143,13 +143,12 @@ def connected(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """Components of undirected ``edges(a, b)`` -> (node, component = smallest node).
 
     Alternating large-star and small-star steps over distinct edges; each round
-    is written to the shared folder, and the loop ends when a round changes
-    nothing.  Rounds grow with the logarithm of the longest chain.  A hub with
-    very many edges is reduced by map-side minima and split by the skew join.
+    is written to the shared folder, and the loop ends when the edges are stars.
+    Rounds grow with the logarithm of the longest chain.  A hub with very many
+    edges is reduced by map-side minima and split by the skew join.
     """
     cur = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "cc")
-    mark = _edge_mark(cur)
-    while mark[0]:
+    while not _are_stars(cur):
         both = cur.select(F.col("a").alias("u"), F.col("b").alias("v")).union(cur.select(F.col("b"), F.col("a")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # large star: neighbours above u move to the minimum around u
@@ -160,17 +159,17 @@ def connected(spark: SparkSession, edges: DataFrame) -> DataFrame:
         small = (down.join(least, "u").where("v <> m").select(F.col("m").alias("a"), F.col("v").alias("b"))
                  .union(least.select(F.col("m").alias("a"), F.col("u").alias("b"))).distinct())
         cur = stored(small, "cc")
-        new = _edge_mark(cur)
-        if new == mark:
-            break
-        mark = new
     return (cur.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
             .union(cur.select("a", "a").distinct()))
 
 
-def _edge_mark(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return r[0], r[1]
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node of distinct ``edges(a < b)`` is either a centre (only
+    ``a``) or the end of one edge: then the centres name the components."""
+    ends = (edges.select(F.col("a").alias("node"), F.lit(0).alias("end"), F.lit(1).alias("centre"))
+            .union(edges.select("b", F.lit(1), F.lit(0))))
+    roles = ends.groupBy("node").agg(F.sum("end").alias("ends"), F.max("centre").alias("centre"))
+    return roles.where("ends + centre > 1").isEmpty()
 
 
 def text_volume(texts: DataFrame) -> int:

@@ -455,13 +455,14 @@ def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "do
     span = pairs.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     entries = index.where("kind = 1").select("key", "node").union(pairs.join(span, "key").distinct())
 
+    sizes = nodes.groupBy("node").agg(F.min("n").alias("n"))
+    sized = stored(entries.join(sizes, "node").select("key", "node", "n"), "ngram-sized")
     # size and sketch of each node, and one document that has its text
     known = nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
-    known = stored(known.join(entries.select("node").distinct(), "node"), "ngram-nodes")
+    known = stored(known.join(sized.select("node").distinct(), "node"), "ngram-nodes")
 
     side = lambda of, name, what: of.select(F.col("node").alias(name), *[F.col(c).alias(c + name) for c in what])
     labels = None
-    sized = stored(entries.join(known.select("node", "n"), "node").select("key", "node", "n"), "ngram-sized")
     for hub_round in range(4):
         open_ = sized
         if labels is not None:
