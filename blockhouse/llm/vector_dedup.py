@@ -3,26 +3,26 @@
 Coarse lists and residual subspace codebooks are fitted on a bounded sample
 (``SAMPLE`` distinct vectors with the smallest hashes); every vector is indexed.
 
-* Sufficient probes: for unit vectors cosine >= t means a distance of at most
-  r = sqrt(2 - 2t).  The number of probes is fitted on the sample: each sample
-  vector is turned by exactly that angle in a random direction, and the probes
-  cover the nearest list of 99.9 % of the turned vectors (16 at least).  Closer
-  pairs are covered more often still.  Of the probes, lists that provably hold no
-  partner are left out: x lies at least (|x-c'|^2 - |x-c|^2) / (2 |c-c'|) away
-  from the cell of c' when c is its nearest centroid.
-* Asymmetric distances: within a list the query's distance to each code comes
-  from lookup tables.  The coding error e of every vector is stored, and
-  |x - y| >= |x - code(y)| - e, so pairs with |x - code(y)| > r + e are dropped.
+* Exact probes: for unit vectors cosine >= t means a distance of at most
+  r = sqrt(2 - 2t).  x lies at least (|x-c'|^2 - |x-c|^2) / (2 |c-c'|) away from
+  the cell of c' when c is its nearest centroid; every list that this does not
+  rule out is probed.
+* Asymmetric distances: |x - code(y)| is summed from one table per subspace (the
+  code of y is its list's centroid plus its codewords).  The coding error e of
+  every vector is stored, and |x - y| >= |x - code(y)| - e, so pairs with
+  |x - code(y)| > r + e are dropped.
 * The rest is reranked with exact cosines in double precision.
 
-Only the number of probes can lose a link; with up to 16 lists nothing can.
-Recall against brute force was 1.0 on every table and test it was measured on.
+Every bound is exact: no step can lose a link.  The price is that vectors spread
+evenly over many dimensions leave few lists to rule out, so that work and shuffle
+then grow with the square of the vectors; the lower the rank, the fewer lists.
 The number of lists grows with the vectors, up to ``MAX_LISTS``.
 
-Equal vectors are one node with a count.  A list is cut into blocks of index
-rows and blocks of queries; a task meets one pair of blocks, so a list that
-holds a third of all vectors is spread out.  A task returns per query the number
-of links and a spanning forest of the links found, never the pairs.
+Equal vectors are one node with a count.  Neighbouring lists share a block of
+``BLOCK`` rows at most, and a longer list is cut into several.  A task meets two
+blocks, each with only those of its vectors that probe a list of the other, so a
+list that holds a third of all vectors is spread out.  A task returns per vector
+the number of links and a spanning forest of the links found, never the pairs.
 
 Defined results: vectors that are null, zero, of another dimension than most,
 or that hold null or non-finite components link with nothing; repeated ids are
@@ -35,16 +35,21 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from .common import connected, stored
 
 SAMPLE = 16_384
-BLOCK = 2_048
+BATCH = 2_048
+BLOCK = 8_192
+BLOCK_VALUES = 1 << 21
+MIN_BLOCKS = 8
+MIN_BLOCK = 256
 CODES = 256
 LIST_ROWS = 64
 MAX_LISTS = 2_048
-MIN_PROBES = 16
 EPS = 1e-6
+TABLE_EPS = 1e-5  # rounding of the tables' single precision
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -68,27 +73,44 @@ def _kmeans(x: np.ndarray, k: int, rounds: int, rng) -> np.ndarray:
     return c
 
 
-def _probes(x: np.ndarray, coarse: np.ndarray, cosine: float, rng) -> int:
-    """Rank of the list that covers 99.9 % of vectors at exactly the threshold."""
-    x = x[rng.choice(len(x), min(len(x), 8192), replace=False)]
-    away = rng.normal(size=x.shape)
-    away -= np.einsum("ij,ij->i", away, x)[:, None] * x
-    away /= np.maximum(np.sqrt(np.einsum("ij,ij->i", away, away)), 1e-12)[:, None]
-    d = _sq_dist(x, coarse)
-    own = _sq_dist(cosine * x + math.sqrt(max(0.0, 1 - cosine * cosine)) * away, coarse).argmin(1)
-    rank = (d < d[np.arange(len(x)), own][:, None]).sum(1)
-    return max(MIN_PROBES, int(np.ceil(np.quantile(rank, 0.999))) + 1)
+def _in_order(c: np.ndarray) -> list[int]:
+    """Centroids in an order that keeps neighbours together: halved along the widest direction."""
+    def halves(i):
+        if len(i) < 3:
+            return i.tolist()
+        x = c[i] - c[i].mean(0)
+        i = i[np.argsort(x @ np.linalg.eigh(x.T @ x)[1][:, -1], kind="stable")]
+        return halves(i[:len(i) // 2]) + halves(i[len(i) // 2:])
+    return halves(np.arange(len(c)))
 
 
-def fit(sample: np.ndarray, lists: int, cosine: float, parts: int = 8) -> dict:
-    """Coarse centroids, one residual codebook for each run of dimensions, probes."""
+def _blocks(coarse: np.ndarray, size: dict, rows: int) -> dict:
+    """Blocks of ``rows`` rows at most: the parts of each list (``slots``), their lists and blocks."""
+    parts, first, slot_list, slot_block, block, held = np.ones(len(coarse), np.int64), np.zeros(len(coarse), np.int64), [], [], 0, 0
+    for at in _in_order(coarse):
+        n = size.get(at, 0)
+        parts[at], first[at] = max(1, -(-n // rows)), len(slot_list)
+        for _ in range(parts[at]):
+            share = -(-n // int(parts[at]))
+            if held and held + share > rows:
+                block, held = block + 1, 0
+            held += share
+            slot_list.append(at)
+            slot_block.append(block)
+    slot_block = np.array(slot_block)
+    return {"parts": parts, "first": first, "slot_list": np.array(slot_list), "slot_block": slot_block,
+            "starts": np.flatnonzero(np.diff(slot_block, prepend=-1))}
+
+
+def fit(sample: np.ndarray, lists: int, parts: int = 8) -> dict:
+    """Coarse centroids, one residual codebook for each run of dimensions."""
     rng = np.random.default_rng(11)
     x = _unit(sample.astype(np.float64))
     coarse = _kmeans(x, lists, 8, rng)
     rest = x - coarse[_sq_dist(x, coarse).argmin(1)]
     cuts = np.linspace(0, x.shape[1], min(parts, x.shape[1]) + 1).astype(int)
     books = [_kmeans(rest[:, a:b], CODES, 6, rng) for a, b in zip(cuts[:-1], cuts[1:])]
-    return {"coarse": coarse, "cuts": cuts, "books": books, "probes": _probes(x, coarse, cosine, rng)}
+    return {"coarse": coarse, "cuts": cuts, "books": books}
 
 
 def _matrix(column, dim: int) -> np.ndarray:
@@ -97,14 +119,14 @@ def _matrix(column, dim: int) -> np.ndarray:
 
 
 def _assign(model, radius: float):
-    """node, copies, vec -> + list, codes, error, probes."""
+    """node, copies, vec -> + list, codes, error, probes (one bit a list)."""
     def run(batches):
         m = model.value
         coarse, cuts, books = m["coarse"], m["cuts"], m["books"]
-        probes = min(m["probes"], len(coarse))
+        gap = np.sqrt(_sq_dist(coarse, coarse))
         for b in batches:
-            for at in range(0, b.num_rows, BLOCK):
-                part = b.slice(at, BLOCK)
+            for at in range(0, b.num_rows, BATCH):
+                part = b.slice(at, BATCH)
                 x = _unit(_matrix(part.column(2), coarse.shape[1]))
                 d = _sq_dist(x, coarse)
                 own = d.argmin(1)
@@ -116,66 +138,85 @@ def _assign(model, radius: float):
                     codes[:, j] = dist.argmin(1)
                     err += ((rest[:, lo:hi] - book[codes[:, j]]) ** 2).sum(1)
                 away = d - d[np.arange(len(x)), own][:, None]
-                near = np.argpartition(d, probes - 1, axis=1)[:, :probes]
-                rows = np.arange(len(x))[:, None]
-                gap = np.sqrt(((coarse[own][:, None] - coarse[near]) ** 2).sum(2))
-                possible = (away[rows, near] <= 2 * gap * (radius + EPS) + EPS) | (near == own[:, None])
+                possible = away <= 2 * gap[own] * (radius + EPS) + EPS
                 yield pa.record_batch([
                     part.column(0), part.column(1), part.column(2), pa.array(own, pa.int32()),
                     pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(np.sqrt(err)),
-                    pa.array([v[ok].astype(np.int32) for v, ok in zip(near, possible)], pa.list_(pa.int32()))],
+                    pa.array([p.tobytes() for p in np.packbits(possible, axis=1)], pa.binary())],
                     names=["node", "copies", "vec", "list", "codes", "err", "probes"])
     return run
 
 
+def _deal(blocks):
+    """probes -> block of the vector, blocks that hold a probed list."""
+    def run(batches):
+        k = blocks.value
+        for b in batches:
+            for at in range(0, b.num_rows, BATCH):
+                part = b.slice(at, BATCH)
+                node, own = part.column(0).to_numpy(), part.column(3).to_numpy()
+                bits = np.frombuffer(b"".join(part.column(6).to_pylist()), dtype=np.uint8).reshape(len(node), -1)
+                possible = np.unpackbits(bits, axis=1, count=len(k["parts"])).astype(bool)
+                block = k["slot_block"][k["first"][own] + (node.view(np.uint64) % k["parts"][own].astype(np.uint64)).astype(np.int64)]
+                met = np.logical_or.reduceat(possible[:, k["slot_list"]], k["starts"], axis=1)
+                yield pa.record_batch([*part.columns[:6], pa.array(block, pa.int32()),
+                                       pa.array([np.flatnonzero(v).astype(np.int32) for v in met], pa.list_(pa.int32()))],
+                                      names=["node", "copies", "vec", "list", "codes", "err", "block", "met"])
+    return run
+
+
+def _join(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Smallest row reached when the links u-v are added, with pointer jumping."""
+    while True:
+        low = np.minimum(root[u], root[v])
+        new = root.copy()
+        np.minimum.at(new, u, low)
+        np.minimum.at(new, v, low)
+        np.minimum.at(new, root[u], low)
+        np.minimum.at(new, root[v], low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def _unit_links(model, cosine: float, radius: float):
-    """One (index block, query block) of one list -> links per query, forest of links."""
+    """Two blocks (or one with itself) -> links per vector, forest of links."""
     def run(t: pa.Table) -> pa.Table:
         m = model.value
         coarse, cuts, books = m["coarse"], m["cuts"], m["books"]
         t = t.combine_chunks()
-        is_query = t.column("query").to_numpy(zero_copy_only=False).astype(bool)
         node, copies = t.column("node").to_numpy(), t.column("copies").to_numpy()
+        block, one, two = t.column("block").to_numpy(), t.column("a")[0].as_py(), t.column("b")[0].as_py()
         x = _matrix(t.column("vec"), coarse.shape[1])
         unit = _unit(x)
-        qi, yi = np.flatnonzero(is_query), np.flatnonzero(~is_query)
+        qi, yi = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        links, root = np.zeros(len(node), dtype=np.int64), np.arange(len(node))
         codes = np.frombuffer(b"".join(t.column("codes").take(pa.array(yi)).to_pylist()), dtype=np.uint8).reshape(len(yi), len(books))
-        limit = (radius + EPS + t.column("err").to_numpy(zero_copy_only=False)[yi].astype(np.float64)) ** 2 + EPS
-        centre = coarse[t.column("list")[0].as_py()] if len(t) else None
-        links, left, right = np.zeros(len(node), dtype=np.int64), [], []
+        limit = (radius + EPS + t.column("err").to_numpy()[yi]) ** 2 + EPS + TABLE_EPS
+        held, nth = np.unique(t.column("list").to_numpy()[yi], return_inverse=True)
+        decoded = coarse[held][nth] + np.concatenate([book[codes[:, j]] for j, book in enumerate(books)], axis=1)
+        # |x - code|^2 <= limit, as x . centroid + sum of x . codeword >= need
+        need = ((1 + np.einsum("ij,ij->i", decoded, decoded) - limit) / 2).astype(np.float32)
         for at in range(0, len(qi) if len(yi) else 0, 256):
             q = qi[at:at + 256]
-            rest = unit[q] - centre
-            adc = np.zeros((len(q), len(yi)), dtype=np.float64)
+            dot = (unit[q] @ coarse[held].T).astype(np.float32)[:, nth]
             for j, (book, lo, hi) in enumerate(zip(books, cuts[:-1], cuts[1:])):
-                adc += _sq_dist(rest[:, lo:hi], book)[:, codes[:, j]]
-            a, c = np.nonzero(adc <= limit[None])
+                dot += np.take((unit[q, lo:hi] @ book.T).astype(np.float32), codes[:, j], axis=1)
+            a, c = np.nonzero(dot >= need[None])
             a, c = q[a], yi[c]
-            other = node[a] != node[c]
-            a, c = a[other], c[other]
+            if one == two:
+                a, c = a[a < c], c[a < c]
             for k in range(0, len(a), 1 << 16):
                 u, v = a[k:k + (1 << 16)], c[k:k + (1 << 16)]
                 s = x[u] / np.abs(x[u]).max(1, keepdims=True)
                 w = x[v] / np.abs(x[v]).max(1, keepdims=True)
                 cos = np.einsum("ij,ij->i", s, w) / np.sqrt(np.einsum("ij,ij->i", s, s) * np.einsum("ij,ij->i", w, w))
-                ok = cos >= cosine
-                np.add.at(links, u[ok], copies[v[ok]])
-                left.append(u[ok])
-                right.append(v[ok])
-        root = np.arange(len(node))
-        if left:
-            u, v = np.concatenate(left), np.concatenate(right)
-            while True:  # smallest row reached, with pointer jumping
-                low = np.minimum(root[u], root[v])
-                new = root.copy()
-                np.minimum.at(new, u, low)
-                np.minimum.at(new, v, low)
-                np.minimum.at(new, root[u], low)
-                np.minimum.at(new, root[v], low)
-                new = new[new]
-                if (new == root).all():
-                    break
-                root = new
+                u, v = u[cos >= cosine], v[cos >= cosine]
+                np.add.at(links, u, copies[v])
+                np.add.at(links, v, copies[u])
+                new = root[u] != root[v]
+                root = _join(root, u[new], v[new])
         keep = np.flatnonzero((links > 0) | (root != np.arange(len(node))))
         return pa.table({"node": node[keep], "links": links[keep], "root": node[root[keep]]})
     return run
@@ -186,7 +227,9 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
     """vec_id, n_links, component_id (smallest vec_id reachable), kept."""
     spark = vectors.sparkSession
     radius = math.sqrt(2 - 2 * cosine)
-    v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec")).where("vec_id IS NOT NULL")
+    given = vectors.schema[vec_col].dataType
+    kind = "array<float>" if isinstance(given, ArrayType) and isinstance(given.elementType, FloatType) else "array<double>"  # as given: half the shuffle
+    v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(kind).alias("vec")).where("vec_id IS NOT NULL")
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     usable = F.coalesce(F.col("vec").isNotNull() & (F.size("vec") > 0) & finite & F.exists("vec", lambda x: x != 0), F.lit(False))
     dims = v.where(usable).groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
@@ -198,24 +241,18 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
     nodes = stored(named.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"), F.first("vec").alias("vec")), "pq-nodes")
     n = nodes.count()
     sample = np.array([r[0] for r in nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vec").collect()], dtype=np.float64)
-    model = spark.sparkContext.broadcast(fit(sample, lists or min(MAX_LISTS, max(1, n // LIST_ROWS)), cosine))  # <= 2,048 centroids
+    model = spark.sparkContext.broadcast(fit(sample, lists or min(MAX_LISTS, max(1, n // LIST_ROWS))))  # <= 2,048 centroids
     rows = stored(nodes.select("node", "copies", "vec").mapInArrow(
-        _assign(model, radius), "node bigint, copies bigint, vec array<double>, list int, codes binary, err double, probes array<int>"), "pq-index")
+        _assign(model, radius), f"node bigint, copies bigint, vec {kind}, list int, codes binary, err double, probes binary"), "pq-index")
 
-    # blocks per list: at most MAX_LISTS rows on the driver
+    # rows per list: at most MAX_LISTS rows on the driver
     size = {r[0]: r[1] for r in rows.groupBy("list").count().collect()}
-    asked = {r[0]: r[1] for r in rows.select(F.explode("probes").alias("list")).groupBy("list").count().collect()}
-    blocks = lambda c: F.coalesce(F.element_at(F.create_map(*[F.lit(x) for k, n_ in c.items() for x in (k, -(-n_ // BLOCK))]), F.col("list")), F.lit(0))
-    deal = lambda n_, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.greatest(n_, F.lit(1))).cast("int")
-    spread = lambda n_: F.explode(F.when(n_ > 0, F.sequence(F.lit(0), n_ - 1)).otherwise(F.array().cast("array<int>")))
-    index = (rows.select("list", "node", "copies", "vec", "codes", "err", F.lit(False).alias("query"))
-             .withColumn("i", deal(blocks(size), 1)).withColumn("j", spread(blocks(asked))))
-    queries = (rows.select(F.explode("probes").alias("list"), "node", "copies", "vec", F.lit(None).cast("binary").alias("codes"),
-                           F.lit(0.0).alias("err"), F.lit(True).alias("query"))
-               .withColumn("j", deal(blocks(asked), 2)).withColumn("i", spread(blocks(size))))
-    cols = ["list", "i", "j", "node", "copies", "vec", "codes", "err", "query"]
-    found = stored(index.select(*cols).union(queries.select(*cols)).groupBy("list", "i", "j")
-                   .applyInArrow(_unit_links(model, cosine, radius), "node bigint, links bigint, root bigint"), "pq-links")
+    most = min(BLOCK, max(MIN_BLOCK, BLOCK_VALUES // dim), max(MIN_BLOCK, -(-n // MIN_BLOCKS)))
+    blocks = spark.sparkContext.broadcast(_blocks(model.value["coarse"], size, most))
+    found = stored(rows.mapInArrow(_deal(blocks), f"node bigint, copies bigint, vec {kind}, list int, codes binary, err double, block int, met array<int>")
+                   .select("node", "copies", "vec", "list", "codes", "err", "block", F.explode("met").alias("other"))
+                   .select("node", "copies", "vec", "list", "codes", "err", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
+                   .groupBy("a", "b").applyInArrow(_unit_links(model, cosine, radius), "node bigint, links bigint, root bigint"), "pq-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     groups = connected(spark, found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     per_node = stored(nodes.select("node", "copies").join(links, "node", "left").join(groups, "node", "left")

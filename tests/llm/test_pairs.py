@@ -158,6 +158,14 @@ def test_vectors_split_blocks(spark, monkeypatch):
     assert got == _links([(r[0], r[1]) for r in df.collect()])
 
 
+def test_vectors_of_low_rank_in_many_lists(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4096, 6)) @ rng.normal(size=(6, 64))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<float>")
+    got = {r[0]: tuple(r)[1:] for r in vector_dedup.near_vectors(df, lists=2048).collect()}
+    assert got == _links([(r[0], r[1]) for r in df.collect()])
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0, None]),
