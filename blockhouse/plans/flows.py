@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,6 +14,7 @@ from ..operators import joins as jn
 from ..operators import ordering as srt
 from ..operators import projections as prj
 from ..schemas import HOLDERS, RAW_23
+from ..session import scratch_path
 from ..sinks import tables as tb
 from ..sinks import writers as wr
 from ..sources import files as src
@@ -28,27 +29,48 @@ WAREHOUSE_KEYS = ["key_year", "key_month", "key_day", "key_hour"]
 def hourly_batch(spark: SparkSession, pages: DataFrame, start: datetime, end: datetime,
                  lake: str, warehouse: str) -> DataFrame:
     """§3.1: landed pages -> tx rows stamped with block time (SRC-6, PRJ-9)
-    -> half-open hour range (FLT-1) -> KST hour partitions (SNK-2, dynamic
+    -> half-open range (FLT-1) -> KST hour partitions (SNK-2, dynamic
     overwrite) -> warehouse projection (PRJ-1) replacing the same hours
-    (SNK-8). Works for any range of hours in one plan; returns the hours
-    loaded."""
+    (SNK-8). Exactly [start, end) is replaced: rows that the first and last hour
+    hold outside it stay, and an hour left without rows is emptied. Works for any
+    range in one plan; returns the hours loaded."""
     items = lsrc.flatten_tx_pages(pages)
     ts = fn.from_epoch_seconds("block_ts")
     rows = prj.filter_time_range(items.withColumn("ts", ts), "ts", start, end)
     rows = rows.select("transactionHash", "blockNumber", "transactionIndex", "from", "to",
                        F.col("value").try_cast("decimal(38,0)").alias("value"),
                        F.lit(None).cast("string").alias("status"), "ts", "timestamp", *fn.kst_hour_keys("ts"))
-    wr.write_hour_partitions(rows, lake)
-    # the hours of [start, end) select the partitions to rebuild: a predicate
-    # over the partition keys only, so the re-read is pruned at listing
-    hour = fn.hour_key_ts("year", "month", "day", "hour")
-    landed = (spark.read.option("basePath", lake).parquet(lake)
-              .where((hour >= F.date_trunc("hour", F.lit(start)).cast("timestamp_ntz"))
-                     & (hour < F.lit(end).cast("timestamp_ntz"))))
-    tb.load_replace_partition(prj.tx_project_hourly(landed), warehouse, WAREHOUSE_KEYS)
+    lo, hi = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+    # predicates over the partition keys only, so reads are pruned at listing
+    first = F.date_trunc("hour", F.lit(start)).cast("timestamp_ntz")
+    hour, there = fn.hour_key_ts(*HOUR_KEYS), fn.hour_key_ts(*WAREHOUSE_KEYS)
+    touched = (hour >= first) & (hour < hi)
+    cut = touched & ((hour < lo) | (hour + F.expr("INTERVAL 1 HOUR") > hi))
+    held = tb.try_read(spark, lake, rows.schema)
+    if held is not None:
+        rows = rows.unionByName(held.where(cut & ~((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end)))))
+    aside = scratch_path(spark, "hours")     # the lake is read before it is overwritten
+    rows.write.parquet(aside)
+    ready = spark.read.schema(rows.schema).parquet(aside)
+    wr.write_hour_partitions(ready, lake)
+    _empty_hours(spark, lake, ready, touched, HOUR_KEYS)
+    landed = spark.read.schema(rows.schema).option("basePath", lake).parquet(lake).where(touched)
+    loaded = prj.tx_project_hourly(landed)
+    tb.load_replace_partition(loaded, warehouse, WAREHOUSE_KEYS)
+    _empty_hours(spark, warehouse, loaded, (there >= first) & (there < hi), WAREHOUSE_KEYS)
     return landed.select(*HOUR_KEYS).distinct()
 
 
+def _empty_hours(spark: SparkSession, path: str, rows: DataFrame, touched: Column, keys: list[str]) -> None:
+    """Touched hours with rows at ``path`` but none in ``rows`` are overwritten by
+    no rows (partition keys of the range only reach the driver)."""
+    gone = (spark.read.schema(rows.schema).parquet(path).where(touched).select(*keys).distinct()
+            .join(rows.select(*keys).distinct(), keys, "left_anti"))
+    for r in gone.collect():
+        folder = "/".join(f"{k}={r[k]}" for k in keys)
+        rows.drop(*keys).limit(0).write.mode("overwrite").parquet(f"{path}/{folder}")
+
+
 def historical_backfill(spark: SparkSession, blocks: DataFrame, receipts: DataFrame, chunk_size: int,
                         chunk_dir: str, day_dir: str, target: str, days: tuple[date, date]) -> DataFrame:
     """§3.2: RPC blocks x receipts (SRC-7, SRC-8, JOIN-1) -> block chunk files

@@ -27,6 +27,30 @@ def test_hourly_batch_loads_exactly_the_range_and_replays(spark):
     assert got.exceptAll(expected).count() == 0
 
 
+def _page(block, time):
+    at = int(dt.datetime.fromisoformat(time).replace(tzinfo=dt.timezone.utc).timestamp())
+    return (block, 0, f'{{"items":[{{"transactionHash":"0x{block}","blockNumber":{block},"transactionIndex":0,"from":"a","to":"b",'
+                      f'"value":"1","timestamp":{at}}}],"count":1}}')
+
+
+def test_hourly_batch_replaces_exactly_an_unaligned_range(spark):
+    pages = lambda *p: spark.createDataFrame(p, "block bigint, page bigint, body string")
+    lake, wh = scratch_path(spark, "f-lake"), scratch_path(spark, "f-wh")
+    at = lambda h, m=0: dt.datetime(2024, 3, 1, h, m)
+    stored = lambda: (sorted(r[0] for r in spark.read.parquet(lake).select("transactionHash").collect()),
+                      sorted(r[0] for r in spark.read.parquet(wh).select("transactionhash").collect()))
+    flows.hourly_batch(spark, pages(_page(1, "2024-03-01T00:10"), _page(2, "2024-03-01T00:40"), _page(3, "2024-03-01T01:20"),
+                                    _page(4, "2024-03-01T02:10"), _page(5, "2024-03-01T02:50"), _page(6, "2024-03-01T03:10")),
+                       at(0), at(4), lake, wh)
+    for _ in range(2):  # 00:40, 01:20 and 02:10 replaced by 00:50 and 02:20
+        hours = flows.hourly_batch(spark, pages(_page(7, "2024-03-01T00:50"), _page(8, "2024-03-01T02:20"), _page(9, "2024-03-01T02:35")),
+                                   at(0, 30), at(2, 30), lake, wh)
+        assert stored() == (["0x1", "0x5", "0x6", "0x7", "0x8"],) * 2
+        assert sorted(r["hour"] for r in hours.collect()) == ["09", "11"]  # KST
+    flows.hourly_batch(spark, pages(_page(3, "2024-03-01T01:20")), at(0), at(4), lake, wh)
+    assert stored() == (["0x3"],) * 2
+
+
 def test_historical_backfill_matches_merge(spark):
     blocks, receipts = fx.rpc_block(spark, SF_SMALL), fx.rpc_receipt(spark, SF_SMALL)
     target = scratch_path(spark, "f-hist")
