@@ -442,6 +442,11 @@ def _remaining(entries: DataFrame, known: DataFrame, pct: int) -> DataFrame:
 
 def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+    return _grouped(docs, k, pct, id_col, text_col).drop("node")
+
+
+def _grouped(docs: DataFrame, k: int, pct: int, id_col: str, text_col: str) -> DataFrame:
+    """similar_groups with the node (fingerprint of the shingle set) of each row."""
     spark = docs.sparkSession
     texts = text_bytes(docs, id_col=id_col, text_col=text_col).where("doc_id IS NOT NULL")
     slots = count_slots(texts, k)
@@ -507,16 +512,35 @@ def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "do
     named = nodes.join(labels, "node", "left").withColumn("group", F.coalesce("component", "node"))
     linked = named.where("n > 0")
     least = linked.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    out = linked.join(least, "group").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return out.union(named.where("n = 0").select("doc_id", F.col("n"), F.col("doc_id")))
+    out = linked.join(least, "group").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "node")
+    return out.union(named.where("n = 0").select("doc_id", F.col("n"), F.col("doc_id"), "node"))
+
+
+def _nodes(k: int):
+    def run(batches):
+        for ids, texts in doc_chunks(batches):
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array([node_of(s) for s in shingle_sets(texts, k)], pa.int64()),
+                                   pa.array(texts, pa.binary())], names=["doc_id", "node", "text"])
+    return run
 
 
-def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", k: int = 5, pct: int = 80, text_col: str = "text") -> DataFrame:
     """The documents, of each linked group only the one with the smallest id.
 
-    Rows with a null id are kept (they can't be named as copies).
+    Rows with a null id are kept (they can't be named as copies).  Of rows that
+    share an id but not the text, only those whose text is a copy go.
     """
-    g = similar_groups(docs, id_col=id_col, **options).where("doc_id <> component_id").select(F.col("doc_id").alias("_copy_id")).distinct()
-    g = stored(g, "ngram-copies")
-    g = F.broadcast(g) if g.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else g
-    return docs.join(g, docs[id_col] == g["_copy_id"], "left_anti")
+    few = lambda g: F.broadcast(g) if g.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else g
+    groups = stored(_grouped(docs, k, pct, id_col, text_col).select("doc_id", "node", (F.col("doc_id") != F.col("component_id")).alias("copy")), "ngram-groups")
+    copies = stored(groups.where("copy").select("doc_id", "node").distinct(), "ngram-copies")
+    ids = few(copies.select("doc_id").distinct())
+    both = stored(groups.where("NOT copy").join(ids, "doc_id", "left_semi").select("doc_id").distinct(), "ngram-both")
+    gone = few(copies.join(both, "doc_id", "left_anti").select(F.col("doc_id").alias("_copy_id")).distinct())
+    out = docs.join(gone, docs[id_col] == gone["_copy_id"], "left_anti")
+    if both.isEmpty():
+        return out
+    texts = text_bytes(docs, id_col=id_col, text_col=text_col).join(both, "doc_id", "left_semi")
+    named = texts.mapInArrow(_nodes(k), "doc_id bigint, node bigint, text binary").join(copies, ["doc_id", "node"], "left_semi")
+    named = stored(named.select(F.col("doc_id").alias("_copy_id"), F.col("text").alias("_copy_text")).distinct(), "ngram-copy-texts")
+    text = F.coalesce(docs[text_col].cast("string"), F.lit("")).cast("binary")
+    return out.join(named, (docs[id_col] == named["_copy_id"]) & (text == named["_copy_text"]), "left_anti")

@@ -90,6 +90,14 @@ def test_ngram_join_odd_rows(spark, odd_docs, no_docs):
     assert sorted(r[0] for r in kept.collect()) == [1, 4, 5, 6, 7, 9, 11, 12]
 
 
+def test_ngram_join_keeps_clean_rows_of_a_shared_id(spark):
+    text = lambda w: " ".join(f"{w}{i}" for i in range(30))
+    rows = [(1, text("a")), (2, text("a")), (2, text("b")), (3, text("c")), (3, None), (4, text("c")), (5, text("b"))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = ngram_join.one_of_each_group(df).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([rows[0], rows[2], rows[3], rows[4]], key=str)
+
+
 def test_connected_chain_and_star(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(8, 30)] + [(300, 299), (299, 300), (5, 5)]
     got = dict(tuple(r) for r in common.connected(spark, spark.createDataFrame(edges, "a bigint, b bigint")).collect())
