@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -34,6 +34,11 @@ def file_stream(spark: SparkSession, landing: str, schema: StructType, max_files
     return r.parquet(landing)
 
 
+def _row_id(key: str, columns: list[str]) -> Column:
+    """What tells rows without a key apart: all their columns (null: the key does)."""
+    return F.when(F.col(key).isNull(), F.struct(*columns))
+
+
 def stream_hourly_load(spark: SparkSession, landing: str, schema: StructType, target: str,
                        checkpoint: str, max_files: int | None = None) -> None:
     """STR-1: every run loads the hours that received files; each touched hour
@@ -52,7 +57,8 @@ def stream_hourly_load(spark: SparkSession, landing: str, schema: StructType, ta
                 .where((F.col("ts") >= F.timestamp_add("HOUR", F.lit(-1), lo))
                        & (F.col("ts") <= F.timestamp_add("HOUR", F.lit(1), hi)))
                 .select("*", *fn.kst_hour_keys("ts"))
-                .join(touched, HOUR_KEYS, "left_semi").dropDuplicates(["transactionHash"]))  # a file landed twice counts once
+                .join(touched, HOUR_KEYS, "left_semi").withColumn("_row", _row_id("transactionHash", schema.names))
+                .dropDuplicates(["transactionHash", "_row"]))  # a file landed twice counts once
         (tx_project_hourly(full).hint("rebalance", *WAREHOUSE_KEYS)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*WAREHOUSE_KEYS).parquet(target))
@@ -97,17 +103,21 @@ def stream_dedupe(spark: SparkSession, landing: str, schema: StructType, target:
     """STR-4: a replayed file must not duplicate rows, however late it comes, and no
     row is lost. A batch adds the keys that its hours don't hold yet (a key always
     falls into one hour, so only the touched hour partitions are read) under its
-    batch label; a retry replaces exactly what the failed attempt wrote."""
+    batch label; a retry replaces exactly what the failed attempt wrote. Rows without
+    a key are repeats only when all their columns are equal."""
 
     def load(batch: DataFrame, epoch: int) -> None:
         label = _batch_label(checkpoint, epoch)
-        new = batch.dropDuplicates([key]).select("*", *fn.kst_hour_keys("ts"))
+        row = _row_id(key, schema.names).alias("_row")
+        new = batch.select("*", row).dropDuplicates([key, "_row"]).select("*", *fn.kst_hour_keys("ts"))
         held = StructType(schema.fields + [StructField(k, StringType()) for k in [*HOUR_KEYS, "batch"]])
         old = try_read(spark, target, held)
         if old is not None:
             old = old.where(F.col("batch") != label).join(new.select(*HOUR_KEYS).distinct(), HOUR_KEYS, "left_semi")
-            new = new.join(old.select(key, *HOUR_KEYS), [key, *HOUR_KEYS], "left_anti")
-        (new.withColumn("batch", F.lit(label)).hint("rebalance", *HOUR_KEYS)
+            keyed = new.where(F.col(key).isNotNull()).join(old.select(key, *HOUR_KEYS), [key, *HOUR_KEYS], "left_anti")
+            bare = new.where(F.col(key).isNull()).join(old.select(row, *HOUR_KEYS).where("_row IS NOT NULL"), ["_row", *HOUR_KEYS], "left_anti")
+            new = keyed.unionByName(bare.select(*new.columns))
+        (new.drop("_row").withColumn("batch", F.lit(label)).hint("rebalance", *HOUR_KEYS)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*HOUR_KEYS, "batch").parquet(target))
 
     _run(file_stream(spark, landing, schema, max_files).writeStream.foreachBatch(load), checkpoint)

@@ -88,6 +88,18 @@ def test_streams_keep_late_rows_over_batches(spark):
     assert out.count() == 90 and out.select("transactionHash").distinct().count() == 90
 
 
+def test_streams_keep_rows_without_a_hash(spark):
+    landing, loaded, dedupe = (scratch_path(spark, n) for n in ("t-land", "t-load", "t-dedupe"))
+    rows = spark.createDataFrame([("h1" if i < 1 else None, i, "a", "b", "1", "1", "2024-01-01 10:10:00") for i in range(5)],
+                                 "transactionHash string, blockNumber bigint, `from` string, `to` string, value string, status string, timestamp string")
+    rows = rows.withColumn("ts", F.col("timestamp").cast("timestamp_ntz"))
+    for _ in range(2):  # the second file repeats the first
+        rows.coalesce(1).write.mode("append").parquet(landing)
+    stream.stream_hourly_load(spark, landing, rows.schema, loaded, scratch_path(spark, "t-ck1"), max_files=1)
+    stream.stream_dedupe(spark, landing, rows.schema, dedupe, scratch_path(spark, "t-ck2"), max_files=1)
+    assert (spark.read.parquet(loaded).count(), spark.read.parquet(dedupe).count()) == (5, 5)
+
+
 def test_dedupe_survives_a_failed_batch(spark, monkeypatch):
     landing, target, ckpt = (scratch_path(spark, n) for n in ("t-land", "t-dedupe", "t-ck"))
     schema = _files(spark, landing).schema
