@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express on whole tables.
 
-Learned scores, tokenizer ids and files (op6, op8, op9, op10, the pipeline) are
+Learned scores, tokenizer ids and files (op6, op8-op11, the pipeline) are
 tested against brute-force versions in tests/llm instead.
 """
 from __future__ import annotations
@@ -128,7 +128,52 @@ SELECT doc_id, r.source, n_tokens, order_key, (order_key >> 30)::BIGINT AS block
 FROM r JOIN f ON f.source = r.source
 """
 
+def _clusters(rounds: int) -> str:
+    """Assignments and floored means, one pair of tables a round."""
+    sql = """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding::DOUBLE[], lambda x: floor(64 * x)::BIGINT) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, e) - 1 AS cluster, e AS c
+  FROM v QUALIFY cluster < 16),
+"""
+    for i in range(rounds + 1):
+        sql += f"""
+a{i} AS (
+  SELECT vec_id, r, e, c, cluster, d FROM (
+    SELECT *, list_sum(list_transform(list_zip(e, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM v, c{i})
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, cluster) = 1),"""
+        if i < rounds:
+            sql += f"""
+m{i} AS (
+  SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c FROM (
+    SELECT cluster, i, sum(x) AS s, count(*) AS n FROM (SELECT cluster, unnest(e) AS x, unnest(range(64)) AS i FROM a{i}) GROUP BY cluster, i)
+  GROUP BY cluster),
+c{i + 1} AS (SELECT cluster, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (cluster)),"""
+    return sql.rstrip(",") + f"""
+SELECT vec_id, cluster::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds}
+"""
+
+
+OP12 = _clusters(3)
+
+OP13 = """
+WITH rules(rule_host, rule_path, v) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+u AS (SELECT page_id, row_number() OVER () AS r, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+p AS (
+  SELECT page_id, r, translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u)
+SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(v, 'allow') AS verdict
+FROM p LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+QUALIFY row_number() OVER (PARTITION BY r ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) = 1
+"""
+
 SQL: dict[str, str] = {
     "op1_ngram_jaccard_join": OP1, "op2_chat_format": OP2, "op3_vector_dedup": OP3, "op4_quality_rules": OP4,
     "op5_substring_dedup": OP5, "op7_mix_sources": OP7,
+    "op12_centroid_clusters": OP12, "op13_url_filter": OP13,
 }

@@ -3,9 +3,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, language, mixing, ngram_join, packing, quality, substring, toxicity, training_order, vector_dedup
+from . import (alignment, centroids, chat, language, mixing, ngram_join, packing, quality, substring, toxicity, training_order, url_filter,
+               vector_dedup)
 from .common import table
 
+# The contract's rules (host, path, verdict).
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(table(spark, sf_dir, "documents"))
@@ -51,7 +55,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))[0]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, url_filter.RULES))
+
+
 Q = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_chat_format, op3_vector_dedup, op4_quality_rules, op5_substring_dedup,
     op6_language_id, op7_mix_sources, op8_best_fit_packing, op9_training_order, op10_toxicity,
+    op11_token_alignment, op12_centroid_clusters, op13_url_filter,
 )}
