@@ -39,7 +39,7 @@ from .tokens import _CUT, _NO_CUT, _byte_letters, default_vocabulary, encoder
 
 CACHE_PIECES = 300_000
 CACHE_TOKENS = 4_000_000
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS = 400_000
 HEAD = 1 << 20
 SPACE = "▁"
 ALIGNED = "row bigint, doc_id bigint, n_a bigint, n_b bigint, a_ids binary, a_last binary, b_ids binary, b_last binary"
@@ -213,7 +213,8 @@ def alignments(docs: DataFrame, vocabulary: str | None = None, model: str | None
 
 
 def _chunks(batches):
-    """Batches cut at about CHUNK_TOKENS tokens: (rows, ids, ends of groups and bounds of documents for A and B)."""
+    """Batches cut at about CHUNK_TOKENS tokens: (rows, ids, ends of groups and bounds of documents for A and B).  The worker's cache of pieces, no longer needed, is freed."""
+    _workers.clear()
     for batch in batches:
         total = np.cumsum(batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy())
         part = total // CHUNK_TOKENS
