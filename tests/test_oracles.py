@@ -1,9 +1,11 @@
-"""Every registered query against its DuckDB oracle on the smallest tables
-(the driver runs the same comparison at sf0.01)."""
+"""Every ledger query against its DuckDB oracle on the smallest tables (the driver
+runs the same comparison at sf0.01); tests/llm does it for the training-data queries."""
 import duckdb
 import pytest
 
 import __spark_entry__ as E
+from blockhouse.plans.oracles import SQL
+from blockhouse.plans.queries import Q
 from scripts.compare import TABLES, digest
 
 from .conftest import SF_SMALL
@@ -18,8 +20,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 85
+    assert set(Q) == set(SQL) and set(Q) <= set(E.queries())
+    assert len(Q) >= 85
 
 
 def test_entry_smoke(spark):
@@ -28,11 +30,11 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(Q))
 def test_query_matches_oracle(spark, con, key):
-    df = E.queries()[key](spark, SF_SMALL)
+    df = Q[key](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    res = con.execute(E.oracle_sql()[key])
+    res = con.execute(SQL[key])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
