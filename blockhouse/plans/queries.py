@@ -39,6 +39,7 @@ TIME_RANGE = (datetime(1996, 1, 1), datetime(1997, 1, 1))  # FLT-1, KST wall tim
 REPLACE_RANGE = (datetime(2024, 1, 10), datetime(2024, 1, 12))  # SNK-9, UTC
 PURGE_RANGE = (datetime(2024, 1, 5), datetime(2024, 1, 6, 23))  # SNK-13 hour starts, UTC
 RUN_DATE = "2025-07-01 00:00:00"
+RUN_TIME = datetime(2024, 1, 31)                       # STR-4: logical time of the run
 NEXT_RUN_DATE = "2025-07-02 00:00:00"
 FILE_CHUNK = 100      # blocks per chunk file (SNK-4, AGG-1, SRT-1)
 GRID_A, GRID_B = 7, 10  # manifest chunk sizes (partial edges on purpose)
@@ -934,10 +935,9 @@ def stream_hourly_load(spark, sf):
     rows = _landing_rows(spark, sf)
     sch = _hourly_schema()
     ev = F.conv(F.substring("transactionHash", 3, 1), 16, 10).cast("int") % 2  # stable split of the rows
-    rows.where(ev == 0).write.mode("append").parquet(landing)
+    stream.land_rows(rows.where(ev == 0), landing)
     stream.stream_hourly_load(spark, landing, sch, target, ckpt)
-    rows.where(ev == 1).write.mode("append").parquet(landing)
-    rows.where(ev == 0).write.mode("append").parquet(landing)  # the first files land again
+    stream.land_rows(rows, landing)  # the first rows land again
     stream.stream_hourly_load(spark, landing, sch, target, ckpt)
     out = spark.read.option("basePath", target).parquet(target)
     return out.select("transactionhash", "blocknumber", "transaction_from", "transaction_to",
@@ -970,8 +970,8 @@ def stream_dedupe(spark, sf):
     rows = _landing_rows(spark, sf)
     rows.repartition(2).write.mode("append").parquet(landing)
     rows.repartition(2).write.mode("append").parquet(landing)  # replay
-    stream.stream_dedupe(spark, landing, _hourly_schema(), target, ckpt, max_files=1)
-    return spark.read.parquet(target).select("transactionHash", "ts")
+    stream.stream_dedupe(spark, landing, _hourly_schema(), target, ckpt, max_files=1, run_time=RUN_TIME)
+    return stream.read_deduped(spark, target, _hourly_schema()).select("transactionHash", "ts")
 
 
 @query("stream_resume")

@@ -3,12 +3,13 @@
 Landed files are read with the file source and ``trigger(availableNow=True)``:
 one run processes everything that arrived since the last run and stops, which
 is what the hourly schedule did, with the checkpoint as the resume point.
-Writers run in ``foreachBatch`` with dynamic partition overwrite keyed by hour,
-so a replayed micro-batch rewrites the same partitions (exactly once).
+Writers run in ``foreachBatch`` and replace the partitions (or the folder) of
+their micro-batch, so a replayed one rewrites the same rows (exactly once).
 """
 from __future__ import annotations
 
 import hashlib
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,11 @@ from ..sinks.tables import try_read
 
 HOUR_KEYS = ["year", "month", "day", "hour"]
 WAREHOUSE_KEYS = ["key_year", "key_month", "key_day", "key_hour"]
+# State in RocksDB; a batch commits its changes instead of whole snapshots.
+_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def _run(writer, checkpoint: str) -> None:
@@ -39,31 +45,44 @@ def _row_id(key: str, columns: list[str]) -> Column:
     return F.when(F.col(key).isNull(), F.struct(*columns))
 
 
+def land_rows(df: DataFrame, landing: str, ts: str = "ts") -> None:
+    """Landing layout of STR-1: rows are appended below the KST hour they belong
+    to, so a late row lands in its own hour whenever it arrives."""
+    (df.select("*", *fn.kst_hour_keys(ts)).hint("rebalance", *HOUR_KEYS)
+     .write.mode("append").partitionBy(*HOUR_KEYS).parquet(landing))
+
+
+def _with_hours(schema: StructType) -> StructType:
+    return StructType([f for f in schema.fields if f.name not in HOUR_KEYS] + [StructField(k, StringType()) for k in HOUR_KEYS])
+
+
+def landed_hours(spark: SparkSession, landing: str, schema: StructType, hours: list) -> DataFrame:
+    """All landed rows of these hours (rows with the four keys): only their folders
+    are listed and opened."""
+    folder = lambda h: "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if h[k] is None else h[k]}" for k in HOUR_KEYS)
+    return (spark.read.schema(_with_hours(schema)).option("pathGlobFilter", "*.parquet").option("basePath", landing)
+            .parquet(*[f"{landing.rstrip('/')}/{folder(h)}" for h in hours]))
+
+
 def stream_hourly_load(spark: SparkSession, landing: str, schema: StructType, target: str,
                        checkpoint: str, max_files: int | None = None) -> None:
-    """STR-1: every run loads the hours that received files; each touched hour
-    is rebuilt from all of its landed rows (semi join on the hour keys, with
-    the batch's time span pushed to the scan) and replaces its partition."""
+    """STR-1: every run loads the hours that received files; each touched hour is
+    rebuilt from all of its landed rows and replaces its partition. The landing is
+    partitioned by hour (``land_rows``): the keys of the new files name the hours
+    (no content is read for that), and only those hours' folders are read, however
+    long the landing has grown. A file landed twice counts once."""
 
     def load(batch: DataFrame, epoch: int) -> None:
-        keyed = batch.select("*", *fn.kst_hour_keys("ts"))
-        touched = keyed.select(*HOUR_KEYS).distinct()
-        span = batch.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
-        if span["a"] is None:
+        hours = batch.select(*HOUR_KEYS).distinct().collect()  # partition keys of the batch's files
+        if not hours:
             return
-        lo = F.lit(span["a"]).cast("timestamp_ntz")
-        hi = F.lit(span["b"]).cast("timestamp_ntz")
-        full = (spark.read.schema(schema).parquet(landing)
-                .where((F.col("ts") >= F.timestamp_add("HOUR", F.lit(-1), lo))
-                       & (F.col("ts") <= F.timestamp_add("HOUR", F.lit(1), hi)))
-                .select("*", *fn.kst_hour_keys("ts"))
-                .join(touched, HOUR_KEYS, "left_semi").withColumn("_row", _row_id("transactionHash", schema.names))
-                .dropDuplicates(["transactionHash", "_row"]))  # a file landed twice counts once
+        full = (landed_hours(spark, landing, schema, hours).withColumn("_row", _row_id("transactionHash", schema.names))
+                .dropDuplicates(["transactionHash", "_row"]))
         (tx_project_hourly(full).hint("rebalance", *WAREHOUSE_KEYS)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*WAREHOUSE_KEYS).parquet(target))
 
-    _run(file_stream(spark, landing, schema, max_files).writeStream.foreachBatch(load), checkpoint)
+    _run(file_stream(spark, landing, _with_hours(schema), max_files).writeStream.foreachBatch(load), checkpoint)
 
 
 def _batch_label(checkpoint: str, epoch: int) -> str:
@@ -98,29 +117,68 @@ def late_rows_split(df: DataFrame, slot: str = "slot_start", ts: str = "ts") ->
     return df.withColumn("in_slot", (t >= s) & (t < F.timestamp_add("HOUR", F.lit(1), s)))
 
 
+def _run_clock(spark: SparkSession, target: str, run_time: datetime | None) -> datetime:
+    """Logical time of this run, never before an earlier run's (one log row a run)."""
+    log = try_read(spark, f"{target}/_runs")
+    last = log.agg(F.max("run_time")).first()[0] if log is not None else None
+    now = run_time or datetime.now(timezone.utc).replace(tzinfo=None)
+    now = now if last is None else max(now, last)
+    (spark.createDataFrame([(now,)], "run_time timestamp_ntz").coalesce(1).write.mode("append").parquet(f"{target}/_runs"))
+    return now
+
+
 def stream_dedupe(spark: SparkSession, landing: str, schema: StructType, target: str, checkpoint: str,
-                  key: str = "transactionHash", max_files: int | None = None) -> None:
-    """STR-4: a replayed file must not duplicate rows, however late it comes, and no
-    row is lost. A batch adds the keys that its hours don't hold yet (a key always
-    falls into one hour, so only the touched hour partitions are read) under its
-    batch label; a retry replaces exactly what the failed attempt wrote. Rows without
-    a key are repeats only when all their columns are equal."""
+                  key: str = "transactionHash", max_files: int | None = None, run_time: datetime | None = None,
+                  retention: str = "30 days", ts: str = "ts") -> None:
+    """STR-4: a replayed file must not duplicate rows, and no row is lost.
+
+    Keys live in Spark's state store (RocksDB, checkpointed with the stream), so no
+    batch reads the target. A run has a logical time: now, or ``run_time`` when a
+    schedule or a backfill names it; it never goes back. The state remembers a key
+    for at least ``retention`` after the run that saw it first. A row whose own time
+    lies more than ``retention`` before the run could be a repeat of a forgotten
+    key; it goes to the output ``late=1`` instead of ``late=0``. So ``late=0`` holds
+    each key once (copies of a row carry the same time), nothing is dropped, and
+    ``read_deduped`` gives either output or both put together. Rows without a key are
+    repeats only when all their columns are equal; rows without a time are never late.
+
+    A batch owns one folder of the target; a retry replaces it as a whole, and the
+    state store returns to the batch's start, so the retry writes the same rows."""
+    clock = F.lit(_run_clock(spark, target, run_time))
+    oldest = clock - F.expr(f"INTERVAL {retention}")
+    rows = (file_stream(spark, landing, schema, max_files)
+            .select("*", *fn.kst_hour_keys(ts), F.coalesce(F.col(ts) < oldest, F.lit(False)).cast("int").alias("late"),
+                    _row_id(key, schema.names).alias("_row"), clock.cast("timestamp").alias("_seen"))
+            .withWatermark("_seen", retention).dropDuplicatesWithinWatermark([key, "_row"]).drop("_row", "_seen"))
 
     def load(batch: DataFrame, epoch: int) -> None:
-        label = _batch_label(checkpoint, epoch)
-        row = _row_id(key, schema.names).alias("_row")
-        new = batch.select("*", row).dropDuplicates([key, "_row"]).select("*", *fn.kst_hour_keys("ts"))
-        held = StructType(schema.fields + [StructField(k, StringType()) for k in [*HOUR_KEYS, "batch"]])
-        old = try_read(spark, target, held)
-        if old is not None:
-            old = old.where(F.col("batch") != label).join(new.select(*HOUR_KEYS).distinct(), HOUR_KEYS, "left_semi")
-            keyed = new.where(F.col(key).isNotNull()).join(old.select(key, *HOUR_KEYS), [key, *HOUR_KEYS], "left_anti")
-            bare = new.where(F.col(key).isNull()).join(old.select(row, *HOUR_KEYS).where("_row IS NOT NULL"), ["_row", *HOUR_KEYS], "left_anti")
-            new = keyed.unionByName(bare.select(*new.columns))
-        (new.drop("_row").withColumn("batch", F.lit(label)).hint("rebalance", *HOUR_KEYS)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*HOUR_KEYS, "batch").parquet(target))
-
-    _run(file_stream(spark, landing, schema, max_files).writeStream.foreachBatch(load), checkpoint)
+        (batch.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("late")
+         .parquet(f"{target}/batch={_batch_label(checkpoint, epoch)}"))
+
+    before = {k: spark.conf.get(k, None) for k in _STATE_CONF}
+    try:
+        for k, v in _STATE_CONF.items():
+            spark.conf.set(k, v)
+        _run(rows.writeStream.foreachBatch(load), checkpoint)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def read_deduped(spark: SparkSession, target: str, schema: StructType, late: bool | None = False,
+                 key: str = "transactionHash") -> DataFrame:
+    """Rows of ``stream_dedupe``: on time (False), late (True), or both (None): late
+    rows are then added unless the rows on time hold their key."""
+    fields = [*_with_hours(schema).fields, StructField("batch", StringType()), StructField("late", StringType())]
+    df = spark.read.schema(StructType(fields)).parquet(target)
+    if late is not None:
+        return df.where(F.col("late") == str(int(late)))
+    on_time, rest = df.where("late = '0'"), df.where("late = '1'")
+    row = _row_id(key, schema.names).alias("_row")
+    once = rest.withColumn("_row", row).dropDuplicates([key, "_row"]).drop("_row")
+    keyed = once.where(F.col(key).isNotNull()).join(on_time.select(key), key, "left_anti")
+    bare = once.where(F.col(key).isNull()).withColumn("_row", row).join(on_time.where(F.col(key).isNull()).select(row), "_row", "left_anti")
+    return on_time.unionByName(keyed).unionByName(bare.drop("_row"))
 
 
 def stream_append(spark: SparkSession, landing: str, schema: StructType, target: str, checkpoint: str) -> None:

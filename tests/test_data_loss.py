@@ -2,6 +2,7 @@
 import os
 import random
 import shutil
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,8 +86,8 @@ def test_streams_keep_late_rows_over_batches(spark):
     want = df.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("window_start")).agg(F.count("*").alias("n_rows"))
     assert got.exceptAll(want).isEmpty() and got.agg(F.sum("n_rows")).first()[0] == 90
     df.write.mode("append").parquet(landing)  # everything lands again
-    stream.stream_dedupe(spark, landing, schema, dedupe, scratch_path(spark, "t-ck2"), max_files=1)
-    out = spark.read.parquet(dedupe)
+    stream.stream_dedupe(spark, landing, schema, dedupe, scratch_path(spark, "t-ck2"), max_files=1, run_time=datetime(2024, 1, 11))
+    out = stream.read_deduped(spark, dedupe, schema)
     assert out.count() == 90 and out.select("transactionHash").distinct().count() == 90
 
 
@@ -97,29 +98,85 @@ def test_streams_keep_rows_without_a_hash(spark):
     rows = rows.withColumn("ts", F.col("timestamp").cast("timestamp_ntz"))
     for _ in range(2):  # the second file repeats the first
         rows.coalesce(1).write.mode("append").parquet(landing)
-    stream.stream_hourly_load(spark, landing, rows.schema, loaded, scratch_path(spark, "t-ck1"), max_files=1)
+        stream.land_rows(rows, f"{landing}-hours")
+    stream.stream_hourly_load(spark, f"{landing}-hours", rows.schema, loaded, scratch_path(spark, "t-ck1"), max_files=1)
     stream.stream_dedupe(spark, landing, rows.schema, dedupe, scratch_path(spark, "t-ck2"), max_files=1)
-    assert (spark.read.parquet(loaded).count(), spark.read.parquet(dedupe).count()) == (5, 5)
+    assert spark.read.parquet(loaded).count() == 5
+    # run at today's time: rows of 2024 are older than the state remembers
+    assert [stream.read_deduped(spark, dedupe, rows.schema, late).count() for late in (False, True, None)] == [0, 5, 5]
 
 
 def test_dedupe_survives_a_failed_batch(spark, monkeypatch):
+    """The second batch fails after it has been written: the retry gives the same rows."""
     landing, target, ckpt = (scratch_path(spark, n) for n in ("t-land", "t-dedupe", "t-ck"))
     schema = _files(spark, landing).schema
-    calls, original = [], stream.try_read
+    run = lambda: stream.stream_dedupe(spark, landing, schema, target, ckpt, max_files=1, run_time=datetime(2024, 1, 11), retention="5 days")
+    calls, original = [], stream._batch_label
 
-    def after_write(*a, **k):
-        calls.append(1)
-        if len(calls) == 2:  # the second batch fails after the first has been written
+    def label(checkpoint, epoch):
+        calls.append(epoch)
+        if calls.count(1) == 1 and epoch == 1:
+            spark.read.parquet(landing).limit(3).write.mode("overwrite").parquet(f"{target}/batch={original(checkpoint, epoch)}/late=0")
             raise RuntimeError("lost")
-        return original(*a, **k)
+        return original(checkpoint, epoch)
 
-    monkeypatch.setattr(stream, "try_read", after_write)
+    monkeypatch.setattr(stream, "_batch_label", label)
     with pytest.raises(Exception):
-        stream.stream_dedupe(spark, landing, schema, target, ckpt, max_files=1)
-    monkeypatch.setattr(stream, "try_read", original)
-    stream.stream_dedupe(spark, landing, schema, target, ckpt, max_files=1)
-    assert spark.read.parquet(target).groupBy("transactionHash").count().where("count > 1").isEmpty()
-    assert spark.read.parquet(target).count() == 90
+        run()
+    run()
+    assert calls.count(1) == 2
+    out = stream.read_deduped(spark, target, schema, None)
+    assert out.count() == 90 and out.select("transactionHash").distinct().count() == 90
+    assert 0 < stream.read_deduped(spark, target, schema, True).count() < 90
+
+
+def test_dedupe_over_runs_and_late_rows(spark):
+    """Replays in a later run are caught; rows older than the state go to the late output."""
+    landing, target, ckpt = (scratch_path(spark, n) for n in ("t-land", "t-dedupe", "t-ck"))
+    row = lambda h, t: (h, datetime.fromisoformat(t))
+    schema = spark.createDataFrame([], "transactionHash string, ts timestamp_ntz").schema
+
+    def run(rows, at):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+        stream.stream_dedupe(spark, landing, schema, target, ckpt, run_time=datetime.fromisoformat(at), retention="2 days")
+
+    run([row("a", "2024-01-10 01:00:00"), row("b", "2024-01-10 02:00:00"), (None, None)], "2024-01-10 03:00:00")
+    run([row("a", "2024-01-10 01:00:00"), row("c", "2024-01-08 00:00:00")], "2024-01-11 03:00:00")   # replay; c is late
+    run([row("a", "2024-01-10 01:00:00"), (None, None)], "2024-01-12 00:30:00")                       # replay within the retention
+    run([row("d", "2024-01-20 00:00:00")], "2024-01-20 01:00:00")
+    run([row("a", "2024-01-10 01:00:00"), row("e", "2024-01-20 00:30:00")], "2024-01-19 00:00:00")   # a run's time never goes back
+    run([row("d", "2024-01-20 00:00:00"), row("c", "2024-01-08 00:00:00"), row("f", "2024-01-09 00:00:00")], "2024-01-20 02:00:00")
+    read = lambda late: sorted(str(r["transactionHash"]) for r in stream.read_deduped(spark, target, schema, late).collect())
+    assert read(False) == ["None", "a", "b", "d", "e"]
+    assert set(read(True)) == {"a", "c", "f"} or set(read(True)) == {"c", "f"}
+    assert read(None) == ["None", "a", "b", "c", "d", "e", "f"]
+
+
+def test_hourly_load_opens_only_new_hours(spark):
+    """A run over one new hour reads that hour's files, late rows of it included."""
+    landing, target, ckpt = (scratch_path(spark, n) for n in ("t-land", "t-load", "t-ck"))
+    ddl = "transactionHash string, blockNumber bigint, `from` string, `to` string, value string, status string, timestamp string, ts timestamp_ntz"
+    row = lambda h, t: (h, 1, "a", "b", "1", "1", t, datetime.fromisoformat(t))
+    rows = lambda *r: spark.createDataFrame([row(*x) for x in r], ddl)
+    schema = rows(("x", "2024-01-01 00:00:00")).schema
+    stream.land_rows(rows(*[(f"h{i}", f"2024-01-01 {i % 20:02d}:10:00") for i in range(60)]), landing)
+    stream.stream_hourly_load(spark, landing, schema, target, ckpt)
+    seen, original = [], stream.landed_hours
+
+    def spy(*a):
+        df = original(*a)
+        seen.append(df.inputFiles())
+        return df
+
+    stream.landed_hours = spy
+    try:
+        stream.land_rows(rows(("late", "2024-01-01 03:50:00"), ("h3", "2024-01-01 03:10:00")), landing)  # 12 h in Seoul
+        stream.stream_hourly_load(spark, landing, schema, target, ckpt)
+    finally:
+        stream.landed_hours = original
+    assert len(seen) == 1 and all("day=01/hour=12/" in f for f in seen[0]) and len(seen[0]) >= 2
+    out = spark.read.option("basePath", target).parquet(target)
+    assert out.count() == 61 and out.where("key_hour = '12' AND key_day = '01'").count() == 4
 
 
 def test_version_commit_after_a_crash(spark):
