@@ -1,4 +1,4 @@
-"""PRJ-*, FLT-1, FLT-9: projections, conformance, casts and filters."""
+"""PRJ-*, FLT-1: projections, conformance, casts and filters."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import functions as fn
-from ..schemas import OPTIONAL_CASTS, TYPED_CASTS
+from ..schemas import DECODED_LOG, OPTIONAL_CASTS, RAW_26, TYPED_CASTS
 
 
 def tx_project_hourly(df: DataFrame) -> DataFrame:
@@ -56,6 +56,18 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
         for f in schema.fields])
 
 
+def as_raw_26(df: DataFrame) -> DataFrame:
+    """PRJ-2 across versions (D19): rows of the 23- or the 26-column form, or any file
+    version of them, in the 26-column form. The form is read off the columns: a log
+    without ``decodedLog`` gets a null one, a text block number becomes a bigint."""
+    logs = dict(df.dtypes).get("logs", "")
+    if logs.startswith("array<struct<") and "decodedLog" not in logs:
+        df = df.withColumn("logs", F.transform("logs", lambda l: l.withField("decodedLog", F.lit(None).cast(DECODED_LOG))))
+    if dict(df.dtypes).get("blockNumber") == "string":
+        df = df.withColumn("blockNumber", F.col("blockNumber").try_cast("bigint"))
+    return conform(df, RAW_26)
+
+
 def fill_text(df: DataFrame) -> DataFrame:
     """PRJ-3: missing text -> '' (string columns only; nested stay null)."""
     return df.fillna("")
@@ -97,10 +109,3 @@ def filter_time_range(df: DataFrame, ts: str, start, end) -> DataFrame:
     """FLT-1: half-open [start, end); a null time is dropped."""
     t = F.col(ts)
     return df.where((t >= F.lit(start)) & (t < F.lit(end)))
-
-
-def require_rows(df: DataFrame, what: str = "snapshot") -> DataFrame:
-    """FLT-9: a zero-row input fails the job (checked with a one-row probe)."""
-    if df.isEmpty():
-        raise ValueError(f"{what} is empty; refusing to load")
-    return df

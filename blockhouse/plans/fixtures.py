@@ -13,8 +13,10 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from .. import functions as fn
+from ..schemas import LOG_26
 from ..session import shared_root
 
 # Fixed binding parameters (FIXTURES.md §3).
@@ -26,7 +28,7 @@ ADDRESS_SPACE = 1500
 ATTEMPTS = 5
 
 
-LANDING_VERSION = "7"
+LANDING_VERSION = "8"
 LANDED_FROM = ("orders", "lineitem", "events", "customer", "pages")
 
 
@@ -275,16 +277,61 @@ def rpc_receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.select("blockNumber", body.alias("body"))
 
 
+def page_item(k: Column, page: Column) -> Column:
+    """JSON text of a page item with the 26 raw columns. What the row does not hold
+    derives from its number ``k``: no functionSelector unless k % 3 = 0, no
+    maxFeePerGas and accessList when k % 4 = 0, an authorizationList when k % 5 = 0,
+    k % 3 logs (every odd one decoded), which pages after the first leave out, and
+    decodedInput an object (k % 3 = 0), "" (k % 6 = 2), null (k % 6 = 5) or missing."""
+    text = lambda c: c.cast("string")
+    gas_price = (k % 50 + 1) * F.lit(1_000_000_000)
+    block_hash = hash_of("blockNumber", "block-")
+    log = lambda i: F.struct(
+        address(k + i).alias("contractAddress"), F.col("transactionHash"), F.col("transactionIndex").cast("bigint").alias("transactionIndex"),
+        block_hash.alias("blockHash"), F.col("blockNumber"), F.concat(F.lit("0x"), F.lower(F.hex(k * i))).alias("data"), i.alias("logIndex"),
+        (i % 2 == 0).alias("removed"), F.array(hash_of(k + i, "topic-")).alias("topics"),
+        F.when(i % 2 == 1, F.struct(
+            F.lit("Transfer").alias("name"), F.lit("event Transfer(address,uint256)").alias("eventFragment"),
+            F.lit("Transfer(address,uint256)").alias("signature"), hash_of(k, "event-").alias("eventHash"),
+            F.array(F.struct(F.lit("to").alias("name"), F.lit("address").alias("type"), F.col("to").alias("value")),
+                    F.struct(F.lit("value").alias("name"), F.lit("uint256").alias("type"), text(k * i).alias("value"))).alias("args"))).alias("decodedLog"))
+    logs = F.when(k % 3 == 0, F.array().cast(ArrayType(LOG_26))).otherwise(F.transform(F.sequence(F.lit(1).cast("bigint"), k % 3), log))
+    j = F.to_json(F.struct(
+        "transactionHash", "transactionIndex", block_hash.alias("blockHash"), "blockNumber", "from", "to", text(F.col("value")).alias("value"),
+        F.lit("0x").alias("input"), F.when(k % 3 == 0, F.lit("0xa9059cbb")).alias("functionSelector"), text(k % 1000).alias("nonce"),
+        text(k % 1000 + 21000).alias("gas"), text(gas_price).alias("gasPrice"),
+        F.when(k % 4 != 0, text(gas_price + 2_000_000_000)).alias("maxFeePerGas"), F.lit("1000000000").alias("maxPriorityFeePerGas"),
+        text(k % 500 + 21000).alias("gasUsed"), text(k * 21000).alias("cumulativeGasUsed"), text(gas_price).alias("effectGasPrice"),
+        F.lit("2").alias("type"), F.when(k % 7 == 0, F.lit("0")).otherwise(F.lit("1")).alias("status"), F.lit("0x00").alias("logsBloom"),
+        fn.epoch_seconds("ts").alias("timestamp"),
+        F.when(k % 4 != 0, F.array(F.struct(F.col("to").alias("address"), F.array(hash_of(k, "slot-")).alias("storageKeys")))).alias("accessList"),
+        F.when(k % 5 == 0, F.array(F.struct(F.lit("0x1").alias("chainId"), text(k % 1000).alias("nonce"), F.col("from").alias("address"),
+                                            F.lit("0x0").alias("yParity"), hash_of(k, "r-").alias("r"), hash_of(k, "s-").alias("s")))).alias("authorizationList"),
+        F.when(page == 0, logs).alias("logs")))
+    sent = F.concat(F.lit('{"method":"transfer","note":"전송 '), text(k), F.lit('","args":[{"name":"to","value":"'), F.col("to"), F.lit('"}]}'))
+    decoded = F.when(k % 3 == 0, sent).when(k % 6 == 2, F.lit('""')).when(k % 6 == 5, F.lit("null"))
+    return F.coalesce(F.concat(F.regexp_replace(j, r"\}$", ""), F.lit(',"decodedInput":'), decoded, F.lit("}")), j)
+
+
+@landed("hour_pages")
+def hour_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(block, page, body): one page of 26-column items per block of ``hourly``; blocks
+    with block % 7 = 0 were fetched again (page 1, the same items without logs)."""
+    k = F.expr(f"blockNumber * {EVENTS_PER_BLOCK} + transactionIndex")
+    h = hourly(spark, sf_dir).withColumn("page", F.explode(F.when(F.col("blockNumber") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    pages = h.groupBy("blockNumber", "page").agg(F.array_sort(F.collect_list(F.struct("transactionIndex", page_item(k, F.col("page")).alias("j")))).alias("its"))
+    body = F.concat(F.lit('{"items":'), _json_array(F.transform("its", lambda x: x["j"])), F.lit(',"count":'), F.size("its").cast("string"), F.lit("}"))
+    return pages.select(F.col("blockNumber").alias("block"), F.col("page").cast("bigint").alias("page"), body.alias("body"))
+
+
 @landed("tx_pages")
 def tx_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(block, page, body): paged getTransactionsInBlock responses, 20 items a
-    page; ``count`` = txs in the block; ``nextCursor`` on every page but the
+    """(block, page, body): paged getTransactionsInBlock responses, 20 items
+    (``page_item``) a page; ``count`` = txs in the block; ``nextCursor`` on every page but the
     last (it repeats inside blocks with block % 4 = 0); pages with
     (block + page) % 17 = 0 were never landed."""
     t = tx(spark, sf_dir).withColumn("page", F.expr(f"transactionIndex div {TX_PAGE_SIZE}"))
-    item = F.to_json(F.struct(
-        "transactionHash", "blockNumber", "transactionIndex", "from", "to",
-        F.col("value").cast("string").alias("value"), fn.epoch_seconds("ts").alias("timestamp")))
+    item = page_item(F.col("o_orderkey"), F.col("page"))
     counts = t.groupBy("blockNumber").agg(F.count(F.lit(1)).alias("n"))
     pages = t.groupBy("blockNumber", "page").agg(
         F.array_sort(F.collect_list(F.struct("transactionIndex", item.alias("j")))).alias("its"))

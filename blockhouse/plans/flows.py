@@ -13,10 +13,11 @@ from .. import functions as fn
 from ..operators import joins as jn
 from ..operators import ordering as srt
 from ..operators import projections as prj
-from ..schemas import HOLDERS, RAW_23
-from ..session import scratch_path
+from ..operators.aggregates import count_per_key, last_per_key
+from ..schemas import HOLDERS, RAW_23, RAW_26, REALTIME, WAREHOUSE
 from ..sinks import tables as tb
 from ..sinks import writers as wr
+from ..sinks.hourmap import HourTable, load_replace_hour_range, range_hours
 from ..sources import files as src
 from ..sources import html as hsrc
 from ..sources import landed as lsrc
@@ -26,49 +27,47 @@ HOUR_KEYS = ["year", "month", "day", "hour"]
 WAREHOUSE_KEYS = ["key_year", "key_month", "key_day", "key_hour"]
 
 
+def lake_table(spark: SparkSession, path: str) -> HourTable:
+    """The hourly lake: the 26 raw columns by KST hour."""
+    return HourTable(spark, path, RAW_26)
+
+
+def warehouse_table(spark: SparkSession, path: str) -> HourTable:
+    """The hourly warehouse table (PRJ-1) by KST hour."""
+    return HourTable(spark, path, WAREHOUSE, WAREHOUSE_KEYS)
+
+
+def kst_text_to_utc(c: str) -> Column:
+    """UTC wall time of a row's KST text."""
+    return F.convert_timezone(F.lit(fn.KST), F.lit("UTC"), fn.text_to_ts(c))
+
+
 def hourly_batch(spark: SparkSession, pages: DataFrame, start: datetime, end: datetime,
-                 lake: str, warehouse: str) -> DataFrame:
-    """§3.1: landed pages -> tx rows stamped with block time (SRC-6, PRJ-9)
-    -> half-open range (FLT-1) -> KST hour partitions (SNK-2, dynamic
-    overwrite) -> warehouse projection (PRJ-1) replacing the same hours
-    (SNK-8). Exactly [start, end) is replaced: rows that the first and last hour
-    hold outside it stay, and an hour left without rows is emptied. Works for any
-    range in one plan; returns the hours loaded."""
+                 lake: str, warehouse: str, manifest: str | None = None) -> DataFrame:
+    """§3.1: landed pages -> 26-column rows stamped with block time (SRC-6, PRJ-9),
+    of which a hash retried in several pages counts once (AGG-5, D13), rows without a
+    hash all -> half-open range (FLT-1) -> KST hours of the lake (SNK-2) and, by the
+    warehouse projection (PRJ-1), of the warehouse (SNK-8). Exactly [start, end) is
+    replaced: rows that the first and last hour hold outside it stay, an hour left
+    without rows is emptied, and all hours of a table change in one commit. With
+    ``manifest`` every hour of the range is recorded with its row count, the empty
+    ones too (SNK-5). Works for any range in one plan; returns the hours loaded."""
     items = lsrc.flatten_tx_pages(pages)
-    ts = fn.from_epoch_seconds("block_ts")
-    rows = prj.filter_time_range(items.withColumn("ts", ts), "ts", start, end)
-    rows = rows.select("transactionHash", "blockNumber", "transactionIndex", "from", "to",
-                       F.col("value").try_cast("decimal(38,0)").alias("value"),
-                       F.lit(None).cast("string").alias("status"), "ts", "timestamp", *fn.kst_hour_keys("ts"))
-    lo, hi = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
-    # predicates over the partition keys only, so reads are pruned at listing
-    first = F.date_trunc("hour", F.lit(start)).cast("timestamp_ntz")
-    hour, there = fn.hour_key_ts(*HOUR_KEYS), fn.hour_key_ts(*WAREHOUSE_KEYS)
-    touched = (hour >= first) & (hour < hi)
-    cut = touched & ((hour < lo) | (hour + F.expr("INTERVAL 1 HOUR") > hi))
-    held = tb.try_read(spark, lake, rows.schema)
-    if held is not None:
-        rows = rows.unionByName(held.where(cut & ~((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end)))))
-    aside = scratch_path(spark, "hours")     # the lake is read before it is overwritten
-    rows.write.parquet(aside)
-    ready = spark.read.schema(rows.schema).parquet(aside)
-    wr.write_hour_partitions(ready, lake)
-    _empty_hours(spark, lake, ready, touched, HOUR_KEYS)
-    landed = spark.read.schema(rows.schema).option("basePath", lake).parquet(lake).where(touched)
-    loaded = prj.tx_project_hourly(landed)
-    tb.load_replace_partition(loaded, warehouse, WAREHOUSE_KEYS)
-    _empty_hours(spark, warehouse, loaded, (there >= first) & (there < hi), WAREHOUSE_KEYS)
-    return landed.select(*HOUR_KEYS).distinct()
-
-
-def _empty_hours(spark: SparkSession, path: str, rows: DataFrame, touched: Column, keys: list[str]) -> None:
-    """Touched hours with rows at ``path`` but none in ``rows`` are overwritten by
-    no rows (partition keys of the range only reach the driver)."""
-    gone = (spark.read.schema(rows.schema).parquet(path).where(touched).select(*keys).distinct()
-            .join(rows.select(*keys).distinct(), keys, "left_anti"))
-    for r in gone.collect():
-        folder = "/".join(f"{k}={r[k]}" for k in keys)
-        rows.drop(*keys).limit(0).write.mode("overwrite").parquet(f"{path}/{folder}")
+    inside = prj.filter_time_range(items.withColumn("_ts", fn.from_epoch_seconds("block_ts")), "_ts", start, end)
+    # of the copies of a hash: one with logs (later pages leave them out), then the latest
+    order = [F.col("logs").isNotNull().alias("l"), F.col("decodedInput").isNotNull().alias("d"), *[c for c in ("block_ts", "block", "page") if c in inside.columns]]
+    keyed = last_per_key(inside.where(F.col("transactionHash").isNotNull()).withColumn("_o", F.struct(*order)), ["transactionHash"], "_o")
+    rows = prj.as_raw_26(keyed.unionByName(inside.where(F.col("transactionHash").isNull()), allowMissingColumns=True))
+    raw, loaded = lake_table(spark, lake), warehouse_table(spark, warehouse)
+    load_replace_hour_range(raw, rows, kst_text_to_utc("timestamp"), start, end)
+    hour = fn.hour_key_ts(*HOUR_KEYS)
+    touched = (hour >= F.date_trunc("hour", F.lit(start)).cast("timestamp_ntz")) & (hour < F.lit(end).cast("timestamp_ntz"))
+    now = raw.read(touched)
+    hours = range_hours(spark, start, end)
+    loaded.replace(prj.tx_project_hourly(now), hours.toDF(*WAREHOUSE_KEYS))
+    if manifest is not None:
+        wr.write_manifest(spark, wr.manifest(hours, count_per_key(now, HOUR_KEYS), HOUR_KEYS), manifest, HOUR_KEYS)
+    return raw.live().where(touched).select(*HOUR_KEYS)
 
 
 def historical_backfill(spark: SparkSession, blocks: DataFrame, receipts: DataFrame, chunk_size: int,
@@ -96,18 +95,23 @@ def _with_chunk_types(schema: StructType) -> StructType:
                        for f in schema.fields])
 
 
-def realtime_replace(spark: SparkSession, staging: DataFrame, table: tb.VersionedTable,
+def realtime_table(spark: SparkSession, path: str) -> HourTable:
+    """The realtime transactions (PRJ-1c) by KST hour of their time."""
+    return HourTable(spark, path, REALTIME)
+
+
+def realtime_replace(spark: SparkSession, staging: DataFrame, table: HourTable,
                      start: datetime, end: datetime, expected: DataFrame | None = None,
                      manifest: DataFrame | None = None) -> int | None:
     """§3.3: availability check (SRC-12) -> staging (SRC-9) -> realtime
-    projection (PRJ-1c) -> replace exactly [start, end) (SNK-9). A source
-    recorded empty is skipped; a missing one raises."""
+    projection (PRJ-1c) -> replace exactly [start, end) (SNK-9), all its hours in one
+    commit. A source recorded empty is skipped; a missing one raises."""
     if expected is not None and manifest is not None:
         st = source_status(expected, manifest, strict=True)
         if st.where(F.col("status") == "ready").isEmpty():
             return None
     proj = prj.tx_project_realtime(src.stage_semistructured(staging))
-    return tb.load_replace_range(table, proj, "timestamp", start, end)
+    return load_replace_hour_range(table, proj, F.col("timestamp"), start, end)
 
 
 def daily_prices(responses: DataFrame, table: tb.VersionedTable) -> int:

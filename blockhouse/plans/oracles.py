@@ -87,6 +87,29 @@ HOURS = """hours AS (
 BLOCK_TS = """bt AS (SELECT event_id // 5 AS block, min(ts) AS ts FROM events GROUP BY 1)"""
 
 
+def _raw26(view: str) -> str:
+    """The 26 columns of the items of ``view`` (k, page, transactionHash, transactionIndex,
+    blockNumber, from, to, value, timestamp), as fixtures.page_item defines them."""
+    addr = lambda e: f"'0x' || lpad(lower(hex({e})), 40, '0')"
+    sha = lambda e, p: f"'0x' || sha256('{p}' || CAST({e} AS VARCHAR))"
+    log = f"""concat_ws(':', {addr('k + i')}, transactionHash, transactionIndex, {sha('blockNumber', 'block-')}, blockNumber,
+      '0x' || lower(hex(k * i)), i, CASE WHEN i % 2 = 0 THEN 'true' ELSE 'false' END, {sha('k + i', 'topic-')},
+      CASE WHEN i % 2 = 1 THEN concat_ws(':', 'Transfer', 'event Transfer(address,uint256)', 'Transfer(address,uint256)', {sha('k', 'event-')},
+        'to/address/' || "to" || ',value/uint256/' || CAST(k * i AS VARCHAR)) END)"""
+    return f"""transactionHash, CAST(transactionIndex AS VARCHAR) AS transactionIndex, {sha('blockNumber', 'block-')} AS blockHash,
+  blockNumber, "from", "to", value, '0x' AS input, CASE WHEN k % 3 = 0 THEN '0xa9059cbb' END AS functionSelector,
+  CAST(k % 1000 AS VARCHAR) AS nonce, CAST(21000 + k % 1000 AS VARCHAR) AS gas, CAST((k % 50 + 1) * 1000000000 AS VARCHAR) AS gasPrice,
+  CASE WHEN k % 4 <> 0 THEN CAST((k % 50 + 1) * 1000000000 + 2000000000 AS VARCHAR) END AS maxFeePerGas,
+  '1000000000' AS maxPriorityFeePerGas, CAST(21000 + k % 500 AS VARCHAR) AS gasUsed, CAST(k * 21000 AS VARCHAR) AS cumulativeGasUsed,
+  CAST((k % 50 + 1) * 1000000000 AS VARCHAR) AS effectGasPrice, CAST(NULL AS VARCHAR) AS contractAddress, '2' AS type,
+  CASE WHEN k % 7 = 0 THEN '0' ELSE '1' END AS status, '0x00' AS logsBloom, timestamp,
+  CASE WHEN k % 3 = 0 THEN '{{"method":"transfer","note":"전송 ' || CAST(k AS VARCHAR) || '","args":[{{"name":"to","value":"' || "to" || '"}}]}}' END AS decodedInput,
+  CASE WHEN k % 4 <> 0 THEN "to" || ':' || {sha('k', 'slot-')} END AS accessList,
+  CASE WHEN k % 5 = 0 THEN concat_ws(':', '0x1', k % 1000, "from", '0x0', {sha('k', 'r-')}, {sha('k', 's-')}) END AS authorizationList,
+  CASE WHEN page = 0 THEN array_to_string(list_transform(range(1, k % 3 + 1), lambda i: {log}), ';') END AS logs
+FROM {view}"""
+
+
 def W(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -142,12 +165,22 @@ SELECT transactionHash, CAST(blockNumber AS VARCHAR) AS blockNumber, CAST(transa
   CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE {_kst_text('ts')} END AS timestamp
 FROM tx"""
 
-SQL["flatten_tx_pages"] = W(TX) + """,
-p AS (SELECT *, transactionIndex // 20 AS page FROM tx WHERE (blockNumber + transactionIndex // 20) % 17 <> 0),
-f AS (SELECT *, first_value(ts) OVER (PARTITION BY blockNumber, page ORDER BY transactionIndex) AS bts FROM p)
-SELECT blockNumber AS block, page, transactionHash, blockNumber, transactionIndex, value,
-  epoch_us(bts) // 1000000 AS block_ts, strftime(bts + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M:%S') AS timestamp
-FROM f"""
+SQL["flatten_tx_pages"] = W(TX) + f""",
+p AS (SELECT *, o_orderkey AS k, transactionIndex // 20 AS page FROM tx WHERE (blockNumber + transactionIndex // 20) % 17 <> 0),
+f AS (SELECT * REPLACE (bts AS ts), strftime(bts + INTERVAL 9 HOUR, {_FMT}) AS timestamp FROM (
+  SELECT *, first_value(ts) OVER (PARTITION BY blockNumber, page ORDER BY transactionIndex) AS bts FROM p))
+SELECT blockNumber AS block, page, epoch_us(ts) // 1000000 AS block_ts, {_raw26('f')}"""
+
+# items of fixtures.hour_pages: one page per block of events, stamped with its first time
+HOUR_ITEMS = f"""hb AS (
+  SELECT event_id AS k, 0 AS page, transactionHash, event_id % 5 AS transactionIndex, blockNumber, "from", "to", value,
+    first_value(ts) OVER (PARTITION BY blockNumber ORDER BY event_id) AS bts FROM h),
+hi26 AS (SELECT *, strftime(bts + INTERVAL 9 HOUR, {_FMT}) AS timestamp, strftime(bts + INTERVAL 9 HOUR, '%Y') AS year,
+    strftime(bts + INTERVAL 9 HOUR, '%m') AS month, strftime(bts + INTERVAL 9 HOUR, '%d') AS day, strftime(bts + INTERVAL 9 HOUR, '%H') AS hour FROM hb)"""
+
+SQL["hourly_batch"] = W(H, HOUR_ITEMS) + f"""
+SELECT year, month, day, hour, count(*) OVER (PARTITION BY year, month, day, hour) AS hour_rows,
+  count(*) OVER (PARTITION BY year, month, day, hour) AS loaded_rows, {_raw26('hi26')}"""
 
 SQL["flatten_rpc_blocks"] = W(TX) + """
 SELECT transactionHash, blockNumber, transactionIndex, nonce,
@@ -266,11 +299,19 @@ SQL["tx_project_realtime"] = W(H) + """
 SELECT date_trunc('second', ts) AS timestamp, value, "from", "to", blockNumber,
   CASE WHEN event_type = 'purchase' THEN '1' ELSE '0' END AS status FROM h"""
 
-SQL["tx_conform"] = W(TX) + """
-SELECT transactionHash,
-  CASE WHEN o_orderkey % 2 = 0 THEN CAST(gasPrice + 2000000000 AS VARCHAR) END AS maxFeePerGas,
-  CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE CAST(gas AS VARCHAR) END AS gas, CAST(23 AS BIGINT) AS n_columns
-FROM tx"""
+SQL["tx_conform"] = W(TX, H, HOUR_ITEMS) + f""",
+old AS (
+  SELECT '23' AS form, transactionHash, CAST(transactionIndex AS VARCHAR) AS transactionIndex,
+    '0x' || sha256('block-' || CAST(blockNumber AS VARCHAR)) AS blockHash, blockNumber, "from", "to", value, '0x' AS input,
+    CAST(NULL AS VARCHAR) AS functionSelector, CAST(nonce AS VARCHAR) AS nonce,
+    CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE CAST(gas AS VARCHAR) END AS gas, CAST(gasPrice AS VARCHAR) AS gasPrice,
+    CASE WHEN o_orderkey % 2 = 0 THEN CAST(gasPrice + 2000000000 AS VARCHAR) END AS maxFeePerGas,
+    CAST(1000000000 + (o_orderkey % 7) * 100000000 AS VARCHAR) AS maxPriorityFeePerGas, CAST(21000 + o_orderkey % 500 AS VARCHAR) AS gasUsed,
+    CAST(o_orderkey * 21000 AS VARCHAR) AS cumulativeGasUsed, CAST(gasPrice AS VARCHAR) AS effectGasPrice,
+    CAST(NULL AS VARCHAR) AS contractAddress, '0x2' AS type, status, '0x00' AS logsBloom,
+    CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE {_kst_text('ts')} END AS timestamp, CAST(NULL AS VARCHAR) AS decodedInput,
+    CAST(NULL AS VARCHAR) AS accessList, CAST(NULL AS VARCHAR) AS authorizationList, CAST(NULL AS VARCHAR) AS logs FROM tx)
+SELECT * FROM old UNION ALL BY NAME SELECT '26' AS form, {_raw26('hi26')}"""
 
 SQL["tx_fill_text"] = W(TX) + f"""
 SELECT transactionHash,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
@@ -30,6 +30,7 @@ from ..sources import landed as lsrc
 from ..sources.status import source_status
 from ..streaming import hourly as stream
 from . import fixtures as fx
+from . import flows
 
 # Fixed query parameters (named here once; oracles use the same values).
 PICK_HOUR = ("2024", "01", "15", "09")                 # KST partition read by SRC-2
@@ -157,12 +158,31 @@ def scan_jsonl_gz(spark, sf):
     return src.scan_jsonl_gz(spark, fx.lake_jsonl.path(spark, sf))
 
 
+def _joined(c: str, part) -> Column:
+    """A nested array as text: its elements' fields, null arrays null."""
+    return F.array_join(F.transform(c, part), ";").alias(c)
+
+
+def _raw_26_out(df: DataFrame) -> DataFrame:
+    """The 26 raw columns, nested ones as text of all their fields, after the others."""
+    text = lambda c: c.cast("string")
+    log = lambda l: F.concat_ws(
+        ":", l["contractAddress"], l["transactionHash"], text(l["transactionIndex"]), l["blockHash"], text(l["blockNumber"]), l["data"],
+        text(l["logIndex"]), text(l["removed"]), F.array_join(l["topics"], ","), l["decodedLog"]["name"], l["decodedLog"]["eventFragment"],
+        l["decodedLog"]["signature"], l["decodedLog"]["eventHash"],
+        F.array_join(F.transform(l["decodedLog"]["args"], lambda a: F.concat_ws("/", a["name"], a["type"], a["value"])), ","))
+    nested = {
+        "accessList": _joined("accessList", lambda a: F.concat_ws(":", a["address"], F.array_join(a["storageKeys"], ","))),
+        "authorizationList": _joined("authorizationList", lambda a: F.concat_ws(":", *[a[f] for f in ("chainId", "nonce", "address", "yParity", "r", "s")])),
+        "logs": _joined("logs", log),
+    }
+    return df.select(*[c for c in df.columns if c not in schemas.COLUMNS_26], *[nested.get(c, F.col(f"`{c}`")) for c in schemas.COLUMNS_26])
+
+
 @query("flatten_tx_pages")
 def flatten_tx_pages(spark, sf):
-    """SRC-6 + PRJ-9: paged responses -> tx rows stamped with page block time."""
-    f = lsrc.flatten_tx_pages(fx.tx_pages(spark, sf))
-    return f.select("block", "page", "transactionHash", "blockNumber", "transactionIndex", "value",
-                    "block_ts", "timestamp")
+    """SRC-6 + PRJ-9: paged responses -> 26-column rows stamped with page block time."""
+    return _raw_26_out(lsrc.flatten_tx_pages(fx.tx_pages(spark, sf)).drop("count", "nextCursor"))
 
 
 def _rpc_txs(spark, sf, stamp=False):
@@ -292,8 +312,8 @@ def manifest_empty(spark, sf):
     counts = agg.count_per_key(fx.hourly(spark, sf).where(F.col("hour") != "03"), keys)
     m = wr.manifest(_expected_hours(spark, sf), counts, keys)
     wr.write_manifest(spark, m, path, keys)
-    wr.write_manifest(spark, m, path, keys)  # a rewrite replaces the keys' rows
-    return tb.VersionedTable(spark, path).read().select(*keys, "n_rows", "is_empty")
+    wr.write_manifest(spark, m, path, keys)  # a later row replaces the key's row
+    return wr.read_manifest(spark, path, keys)
 
 
 def _holder_snapshot(spark, sf):
@@ -347,20 +367,28 @@ def _realtime_out(df: DataFrame) -> DataFrame:
 
 @query("load_replace_range")
 def load_replace_range(spark, sf):
-    """SNK-9: [2024-01-10, 2024-01-12) replaced; only the hour partitions of
-    that range are rebuilt and repointed (replayed once)."""
-    import uuid
-    loc = scratch_path(spark, "realtime")
-    proj = prj.tx_project_realtime(_staging(spark, sf))
-    name = f"realtime_tx_{uuid.uuid4().hex[:8]}"
-    # the earlier load is a landed table; replacing repoints catalog
-    # partitions to new folders and never modifies its files
-    tb.register_table(spark, name, "`timestamp` timestamp_ntz, value decimal(38,0), `from` string, `to` string, "
-                      "blockNumber bigint, status string, year string, month string, day string, hour string",
-                      fx.lake_realtime.path(spark, sf), src.HOUR_KEYS)
+    """SNK-9: [2024-01-10, 2024-01-12) replaced in one commit; only the hours of
+    that range are rebuilt (replayed once)."""
+    table = flows.realtime_table(spark, scratch_path(spark, "realtime"))
+    # the earlier load is a landed table: its hours are taken over as they are
+    table.adopt(fx.lake_realtime.path(spark, sf), fx.lake_realtime(spark, sf).select(*src.HOUR_KEYS))
     for _ in range(2):
-        tb.load_replace_range_partitioned(spark, name, proj, "timestamp", *REPLACE_RANGE, loc)
-    return _realtime_out(spark.table(name))
+        flows.realtime_replace(spark, _staging(spark, sf), table, *REPLACE_RANGE)
+    return _realtime_out(table.read())
+
+
+@query("hourly_batch")
+def hourly_batch(spark, sf):
+    """§3.1 (SRC-6, PRJ-2, D12, D13, SNK-2, SNK-8, SNK-5): all landed hours through
+    the 26-column hourly flow; the lake's rows with their hour keys and the row count
+    that the manifest records for the hour."""
+    lake, warehouse, manifest = (scratch_path(spark, n) for n in ("lake", "warehouse", "hours"))
+    span = fx.hour_targets(spark, sf).agg(F.min("target_ts"), F.max("target_ts") + F.expr("INTERVAL 1 HOUR")).first()
+    flows.hourly_batch(spark, fx.hour_pages(spark, sf), span[0], span[1], lake, warehouse, manifest)
+    rows = _raw_26_out(flows.lake_table(spark, lake).read())
+    recorded = wr.read_manifest(spark, manifest, src.HOUR_KEYS).select(*src.HOUR_KEYS, F.col("n_rows").alias("hour_rows"))
+    loaded = agg.count_per_key(flows.warehouse_table(spark, warehouse).read(), _WAREHOUSE_KEYS, "loaded_rows").toDF(*src.HOUR_KEYS, "loaded_rows")
+    return rows.join(recorded, src.HOUR_KEYS).join(loaded, src.HOUR_KEYS)
 
 
 def _daily_price(spark, sf):
@@ -515,9 +543,12 @@ def tx_project_realtime(spark, sf):
 
 @query("tx_conform")
 def tx_conform(spark, sf):
-    """PRJ-2: both file versions conformed to the 23-column schema."""
-    df = _raw_variants_conformed(spark, sf)
-    return df.select("transactionHash", "maxFeePerGas", "gas", F.lit(len(df.columns)).cast("bigint").alias("n_columns"))
+    """PRJ-2: both 23-column file versions and the 26-column page items in one form."""
+    a, b = fx.tx_raw_variants(spark, sf)
+    new = lsrc.flatten_tx_pages(fx.hour_pages(spark, sf)).where(F.col("page") == 0)
+    parts = [(prj.conform(a, schemas.RAW_23), "23"), (prj.conform(b, schemas.RAW_23), "23"), (new, "26")]
+    rows = [prj.as_raw_26(df).withColumn("form", F.lit(form)) for df, form in parts]
+    return _raw_26_out(rows[0].unionByName(rows[1]).unionByName(rows[2]))
 
 
 @query("tx_fill_text")

@@ -3,7 +3,7 @@ rows, warehouse projections, holders, manifests."""
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType,
+    ArrayType, BooleanType, DecimalType, LongType, StringType, StructField, StructType,
     TimestampNTZType,
 )
 
@@ -31,26 +31,32 @@ LOG_26 = StructType([*LOG_23.fields, StructField("decodedLog", DECODED_LOG)])
 
 AUTH_LIST = ArrayType(StructType(_s("chainId", "nonce", "address", "yParity", "r", "s")))
 
-_TEXT_HEAD = ["transactionHash", "transactionIndex", "blockHash"]
-_TEXT_MID = ["from", "to", "value", "input"]
-_TEXT_FEES = ["nonce", "gas", "gasPrice", "maxFeePerGas", "maxPriorityFeePerGas", "gasUsed",
-              "cumulativeGasUsed", "effectGasPrice", "contractAddress", "type", "status",
-              "logsBloom", "timestamp"]
-
-# FIXTURES 1.2: 23 columns, blockNumber is text.
-RAW_23 = StructType([
-    *_s(*_TEXT_HEAD), StructField("blockNumber", StringType()), *_s(*_TEXT_MID),
-    *_s(*_TEXT_FEES),
-    StructField("accessList", ACCESS_LIST), StructField("logs", ArrayType(LOG_23)),
-])
+# The columns of a raw transaction in wire order (FIXTURES 1.2, 1.1).
+COLUMNS_23 = [
+    "transactionHash", "transactionIndex", "blockHash", "blockNumber", "from", "to", "value", "input", "nonce", "gas",
+    "gasPrice", "maxFeePerGas", "maxPriorityFeePerGas", "gasUsed", "cumulativeGasUsed", "effectGasPrice", "contractAddress",
+    "type", "status", "logsBloom", "timestamp", "accessList", "logs",
+]
+COLUMNS_26 = [
+    "transactionHash", "transactionIndex", "blockHash", "blockNumber", "from", "to", "value", "input", "functionSelector",
+    "nonce", "gas", "gasPrice", "maxFeePerGas", "maxPriorityFeePerGas", "gasUsed", "cumulativeGasUsed", "effectGasPrice",
+    "contractAddress", "type", "status", "logsBloom", "timestamp", "decodedInput", "accessList", "authorizationList", "logs",
+]
 
-# FIXTURES 1.1: 26 columns, blockNumber is bigint.
-RAW_26 = StructType([
-    *_s(*_TEXT_HEAD), StructField("blockNumber", LongType()), *_s(*_TEXT_MID),
-    StructField("functionSelector", StringType()), *_s(*_TEXT_FEES),
-    StructField("decodedInput", StringType()), StructField("accessList", ACCESS_LIST),
-    StructField("authorizationList", AUTH_LIST), StructField("logs", ArrayType(LOG_26)),
-])
+
+def _raw(columns: list[str], **types) -> StructType:
+    """Text columns but for those given a type."""
+    return StructType([StructField(c, types.get(c, StringType())) for c in columns])
+
+
+# blockNumber is text in the 23-column form and bigint in the 26-column form.
+RAW_23 = _raw(COLUMNS_23, accessList=ACCESS_LIST, logs=ArrayType(LOG_23))
+RAW_26 = _raw(COLUMNS_26, blockNumber=LongType(), accessList=ACCESS_LIST, authorizationList=AUTH_LIST, logs=ArrayType(LOG_26))
+# An item of a landed page: the 26 columns with the time in epoch seconds and
+# decodedInput as whatever JSON value was sent (kept as its text).
+PAGE_ITEM = _raw(COLUMNS_26, blockNumber=LongType(), timestamp=LongType(), accessList=ACCESS_LIST, authorizationList=AUTH_LIST,
+                 logs=ArrayType(LOG_26))
+PAGE = StructType([StructField("items", ArrayType(PAGE_ITEM)), StructField("count", LongType()), *_s("cursor", "nextCursor")])
 
 # PRJ-4 casts: column -> type applied on the 23-column rows.
 TYPED_CASTS = {
@@ -64,9 +70,14 @@ HOLDERS = StructType([
     *_s("address", "eth_balance", "percentage"), StructField("inserted_at", TimestampNTZType()),
 ])
 
-DAILY_PRICE = StructType([
-    StructField("price_date", StringType()), StructField("price_usd", DoubleType()),
-    StructField("price_krw", DoubleType()),
+# PRJ-1 and PRJ-1c without their hour keys.
+WAREHOUSE = StructType([
+    StructField("transactionhash", StringType()), StructField("blocknumber", LongType()), *_s("transaction_from", "transaction_to"),
+    StructField("value", DecimalType(38, 0)), *_s("transaction_status"), StructField("transaction_timestamp", TimestampNTZType()),
+])
+REALTIME = StructType([
+    StructField("timestamp", TimestampNTZType()), StructField("value", DecimalType(38, 0)), *_s("from", "to"),
+    StructField("blockNumber", LongType()), *_s("status"),
 ])
 
 # Flat text rows of the gzip JSON-lines chunks (SRC-5).

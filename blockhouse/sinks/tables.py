@@ -25,6 +25,7 @@ from .. import functions as fn
 from ..session import scratch_path
 
 HOUR_KEYS = ["year", "month", "day", "hour"]
+PARTITIONS_PER_STATEMENT = 500
 
 
 def try_read(spark: SparkSession, path: str, schema: StructType | None = None, fmt: str = "parquet"):
@@ -155,6 +156,15 @@ def register_table(spark: SparkSession, name: str, ddl: str, path: str, keys: li
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def add_partitions(spark: SparkSession, name: str, hours: DataFrame, keys: list[str]) -> None:
+    """Partitions (key columns and ``folder``) added to a catalog table where absent;
+    only the given ones are touched, storage is not listed."""
+    rows = hours.select(*keys, "folder").collect()  # partition keys
+    for i in range(0, len(rows), PARTITIONS_PER_STATEMENT):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(
+            f"PARTITION ({_spec(r, keys)}) LOCATION '{r['folder']}'" for r in rows[i:i + PARTITIONS_PER_STATEMENT]))
+
+
 def partitions(spark: SparkSession, name: str, keys: list[str]) -> DataFrame:
     """Catalog partitions of a table as key columns."""
     p = spark.sql(f"SHOW PARTITIONS {name}")

@@ -4,11 +4,14 @@ small ones, so one heavy hour or chunk neither stalls one task nor leaves
 thousands of tiny files."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import functions as fn
+from ..operators.aggregates import last_per_key
 from ..operators.projections import conform
 
 HOUR_KEYS = ["year", "month", "day", "hour"]
@@ -61,12 +64,16 @@ def manifest(expected: DataFrame, counts: DataFrame, keys: list[str], n: str = "
     return j.select(*keys, cnt.alias(n), (cnt == 0).alias("is_empty"))
 
 
-def write_manifest(spark, m: DataFrame, path: str, keys: list[str]) -> int:
-    """Manifest rows are replaced per key (a later count for a key, e.g. data
-    arriving for a key recorded empty, replaces that key's row only): a keyed
-    upsert committed as a new version of the manifest table."""
-    from .tables import VersionedTable, load_upsert_key
-    return load_upsert_key(VersionedTable(spark, path), m, keys)
+def write_manifest(spark: SparkSession, m: DataFrame, path: str, keys: list[str]) -> None:
+    """Manifest rows are appended with the time of the write; the latest row of a key
+    counts (data arriving for a key recorded empty replaces that key's row only).
+    Nothing is rewritten, and a failed write adds nothing."""
+    m.select(*keys, "n_rows", "is_empty", F.lit(time.time_ns()).alias("written")).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_manifest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """keys, n_rows, is_empty: the latest row of each key."""
+    return last_per_key(spark.read.parquet(path), keys, "written").select(*keys, "n_rows", "is_empty")
 
 
 def write_holders_csv(df: DataFrame, path: str, inserted_at: str) -> None:

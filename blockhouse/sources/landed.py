@@ -10,10 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-
-PAGE_ITEM_DDL = ("struct<transactionHash:string,blockNumber:bigint,transactionIndex:bigint,"
-                 "from:string,to:string,value:string,timestamp:bigint>")
-PAGE_DDL = f"struct<items:array<{PAGE_ITEM_DDL}>,count:bigint,cursor:string,nextCursor:string>"
+from ..schemas import PAGE, PAGE_ITEM
 
 RPC_TX_DDL = ("struct<hash:string,transactionIndex:string,blockHash:string,blockNumber:string,"
               "from:string,to:string,value:string,input:string,nonce:string,gas:string,"
@@ -29,28 +26,23 @@ RPC_RECEIPT_DDL = (
 
 
 def flatten_tx_pages(pages: DataFrame, body: str = "body", keep_empty: bool = False) -> DataFrame:
-    """SRC-6 + PRJ-9: one row per item. The block time of a page is its first
-    item's ``timestamp``, carried beside the explode and stamped on every item
-    as KST text. Keeps the landing keys (``block``, ``page``) and the page's
-    ``count`` / cursors for reconciliation. With ``keep_empty`` a page without
-    items gives one row without a transaction."""
-    p = pages.withColumn("_p", F.from_json(F.col(body), PAGE_DDL))
-    p = p.withColumn("_block_ts", F.element_at(F.col("_p.items"), 1)["timestamp"])
+    """SRC-6 + PRJ-9: one row per item with the 26 raw columns. The block time of a
+    page is its first item's ``timestamp``, carried beside the explode and stamped on
+    every item as KST text. ``decodedInput`` is the JSON text of what was sent, null
+    when missing, null or empty (D12). Keeps the landing keys (``block``, ``page``)
+    and the page's ``count`` / cursors for reconciliation. With ``keep_empty`` a page
+    without items gives one row without a transaction. Columns that a caller does not
+    select are pruned from the parse."""
+    keys = [c for c in pages.columns if c != body]
+    p = pages.select(*keys, F.from_json(F.col(body), PAGE).alias("_p"))
     rows = p.select(
-        *[c for c in pages.columns if c != body],
-        F.col("_p.count").alias("count"),
-        F.coalesce(F.col("_p.nextCursor"), F.col("_p.cursor")).alias("nextCursor"),
-        "_block_ts", (F.explode_outer if keep_empty else F.explode)("_p.items").alias("it"))
-    return rows.select(
-        *[c for c in rows.columns if c not in ("it", "_block_ts")],
-        F.col("it.transactionHash").alias("transactionHash"),
-        F.col("it.blockNumber").alias("blockNumber"),
-        F.col("it.transactionIndex").alias("transactionIndex"),
-        F.col("it.from").alias("from"), F.col("it.to").alias("to"),
-        F.col("it.value").alias("value"),
-        F.col("_block_ts").alias("block_ts"),
-        fn.epoch_to_kst(F.col("_block_ts")).alias("timestamp"),
-    )
+        *keys, F.col("_p.count").alias("count"), F.coalesce(F.col("_p.nextCursor"), F.col("_p.cursor")).alias("nextCursor"),
+        F.try_element_at(F.col("_p.items"), F.lit(1))["timestamp"].alias("block_ts"),
+        (F.explode_outer if keep_empty else F.explode)("_p.items").alias("it"))
+    decoded = F.col("it.decodedInput")
+    item = {"timestamp": fn.epoch_to_kst("block_ts"), "decodedInput": F.when(~F.trim(decoded).isin("", "null", '""'), decoded)}
+    return rows.select(*keys, "count", "nextCursor", "block_ts",
+                       *[item.get(f.name, F.col(f"it.{f.name}")).alias(f.name) for f in PAGE_ITEM.fields])
 
 
 def rpc_block_headers(blocks: DataFrame, body: str = "body") -> DataFrame:
