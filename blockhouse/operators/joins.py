@@ -1,6 +1,8 @@
 """JOIN-1..JOIN-8."""
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,48 +49,76 @@ def merge_tx_receipts(txs: DataFrame, receipts: DataFrame) -> tuple[DataFrame, D
     return merged, failed
 
 
+MAX_BUCKETS = 4_096          # base buckets of an as-of join
+_SUB = 1 << 20               # sub-buckets a base bucket can have
+_GROUP = 64                  # base buckets in a group of the carry
+
+
+def _div(a, b):
+    """Whole quotient of non-negative bigints, exact beyond a double's digits."""
+    whole = (a - a % b).cast("decimal(20,0)") / (F.lit(b) if isinstance(b, int) else b).cast("decimal(20,0)")
+    return whole.cast("bigint")
+
+
+def _buckets(u: DataFrame, rows_per_bucket: int) -> DataFrame:
+    """``u`` with ``_bid``, a bucket number that grows with ``_t`` and depends on its
+    value alone: equal spans of time, those with many rows cut into finer ones."""
+    r = u.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi"), F.count("_t").alias("n")).first()
+    if r["lo"] is None:
+        return u.withColumn("_bid", F.lit(None).cast("bigint"))
+    parts = int(u.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    span = (r["hi"] - r["lo"]) // timedelta(microseconds=1) + 1
+    width = span // min(MAX_BUCKETS, max(parts, r["n"] // rows_per_bucket + 1)) + 1
+    at = F.timestamp_diff("MICROSECOND", F.lit(r["lo"]).cast("timestamp_ntz"), F.col("_t"))
+    u = u.withColumn("_base", _div(at, width))
+    dense = u.groupBy("_base").count().where(F.col("count") > 2 * rows_per_bucket).collect()  # MAX_BUCKETS rows at most
+    fine = F.lit(width)
+    if dense:
+        sizes = [(x["_base"], max(1, width // min(_SUB, x["count"] // rows_per_bucket + 1))) for x in dense if x["_base"] is not None]
+        u = u.join(F.broadcast(u.sparkSession.createDataFrame(sizes, "_base bigint, _fine bigint")), "_base", "left")
+        fine = F.coalesce(F.col("_fine"), F.lit(width))
+    sub = F.least(_div(at % width, fine), F.lit(_SUB - 1))
+    return u.withColumn("_bid", F.col("_base") * _SUB + sub).drop("_base", "_fine")
+
+
 def asof_block(blocks: DataFrame, targets: DataFrame, closest: str = "before",
                block: str = "block", ts: str = "ts", target: str = "target_ts",
-               partitions: int | None = None) -> DataFrame:
+               rows_per_bucket: int = 1 << 20) -> DataFrame:
     """JOIN-3: for each target time the block nearest to it on one side.
     ``before``: latest block with ts <= target (ties -> higher block);
     ``after``: earliest block with ts >= target (ties -> lower block).
 
-    A distributed prefix scan, no inequality join: targets and blocks are
-    unioned and range-partitioned on (time, kind, block) -- sampling places
-    the boundaries, so a dense hour is split over several tasks -- and a
-    running ``last(ignorenulls)`` inside each range partition finds the
-    nearest block. Targets at the start of a partition take the value carried
-    from the partitions before it: a summary with one row per partition
-    (bounded by the partition count, hence broadcast).
-    """
+    No inequality join: targets and blocks are unioned and dealt into time buckets
+    that depend on the values alone (dense spans are cut finer; blocks of one time
+    are first reduced to the one that wins), and a running ``last(ignorenulls)``
+    inside each bucket finds the nearest block. Targets before the first block of
+    their bucket take the last block of the buckets before it: from their group of
+    buckets, else from the groups before. Targets are shuffled once, by bucket;
+    blocks also by time, after map-side reduction, so that a time that very many
+    blocks share is one row; the carry holds one row per bucket. A target without a
+    time has no block."""
     before = closest == "before"
-    spark = blocks.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    b = blocks.select(F.col(ts).cast("timestamp_ntz").alias("_t"), F.col(block).alias("_b"))
-    btype = b.schema["_b"].dataType
-    t = targets.select(F.col(target).cast("timestamp_ntz").alias("_t"))
-    # scan order: at equal times a block precedes the target on the wanted
-    # side, and equal-time blocks are ordered so the preferred one is last
-    kind_block, kind_target = (0, 1) if before else (1, 0)
-    u = (b.select("_t", "_b", F.lit(kind_block).alias("_k"))
-         .unionByName(t.select("_t", F.lit(None).cast(btype).alias("_b"), F.lit(kind_target).alias("_k"))))
-    order = [F.col("_t"), F.col("_k"), F.col("_b")]
-    if not before:
-        order = [c.desc() for c in order]
-    u = u.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
-    w = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hit = (u.withColumn("_near", F.last("_b", ignorenulls=True).over(w))
-           .where(F.col("_k") == kind_target).select(F.col("_t").alias(target), "_p", "_near"))
-    pick = F.max_by if before else F.min_by
-    edge = u.where(F.col("_k") == kind_block).groupBy("_p").agg(pick("_b", F.struct("_t", "_b")).alias("_edge"))
-    parts = spark.range(n).select(F.col("id").cast("int").alias("_p"))
-    carry = (parts.join(edge, "_p", "left")
-             .withColumn("_carry", F.last("_edge", ignorenulls=True).over(
-                 Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)))
-             .select("_p", "_carry"))
-    return (hit.join(F.broadcast(carry), "_p", "left")  # n rows
-            .select(target, F.coalesce("_near", "_carry").alias(block)))
+    pick = F.max if before else F.min
+    b = (blocks.where(F.col(ts).isNotNull()).groupBy(F.col(ts).cast("timestamp_ntz").alias("_t")).agg(pick(block).alias("_b")))
+    t = targets.select(F.col(target).cast("timestamp_ntz").alias("_t"), F.lit(None).cast(b.schema["_b"].dataType).alias("_b"))
+    u = _buckets(b.withColumn("_is_block", F.lit(True)).unionByName(t.withColumn("_is_block", F.lit(False))), rows_per_bucket)
+
+    def order(*cols):  # at equal times a block comes before the target
+        return [*[F.col(c).asc() if before else F.col(c).desc() for c in cols]]
+
+    w = Window.partitionBy("_bid").orderBy(*order("_t"), F.col("_is_block").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hit = (u.withColumn("_near", F.last("_b", ignorenulls=True).over(w)).where(~F.col("_is_block"))
+           .select(F.col("_t").alias(target), "_bid", "_near"))
+    far = F.max_by if before else F.min_by
+    edge = u.where("_bid IS NOT NULL").groupBy("_bid").agg(far("_b", F.when(F.col("_is_block"), F.col("_t"))).alias("_edge"))
+    edge = edge.withColumn("_group", _div(F.col("_bid"), _SUB * _GROUP))
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    inner = F.last("_edge", ignorenulls=True).over(earlier(Window.partitionBy("_group").orderBy(*order("_bid"))))
+    groups = edge.groupBy("_group").agg(far("_edge", F.when(F.col("_edge").isNotNull(), F.col("_bid"))).alias("_last"))
+    outer = F.last("_last", ignorenulls=True).over(earlier(Window.orderBy(*order("_group"))))  # MAX_BUCKETS / _GROUP rows
+    groups = groups.select("_group", outer.alias("_outer"))
+    carry = edge.withColumn("_inner", inner).join(groups, "_group").select("_bid", F.coalesce("_inner", "_outer").alias("_carry"))
+    return hit.join(carry, "_bid", "left").select(target, F.coalesce("_near", "_carry").alias(block))
 
 
 def join_block_header(txs: DataFrame, headers: DataFrame, key: str = "blockNumber") -> DataFrame:
@@ -97,18 +127,19 @@ def join_block_header(txs: DataFrame, headers: DataFrame, key: str = "blockNumbe
     return txs.join(headers, key, "inner")
 
 
+def join_price_fx(prices: DataFrame, rates: DataFrame) -> DataFrame:
+    """JOIN-5: the FX rate of the date onto its price; a price without a rate stays."""
+    return prices.join(rates, "price_date", "left")
+
+
 def daily_price(prices: DataFrame, digits: int = 4) -> DataFrame:
-    """JOIN-5 + FN-11: one price and one FX rate per date -> one record."""
+    """FN-11: price and FX rate of a date -> one record (KRW null without a rate)."""
     return prices.select(
         F.col("price_date").cast("string").alias("price_date"),
         fn.price_usd("price_usd_raw", digits).alias("price_usd"),
         fn.price_krw("price_usd_raw", "fx_rate", digits).alias("price_krw"))
 
 
-def join_price_fx(price: DataFrame, fx: DataFrame) -> DataFrame:
-    return price.join(fx, "price_date", "inner")
-
-
 def block_range(spark: SparkSession, low: int, high: int, name: str = "block") -> DataFrame:
     """Expected blocks [low, high] as a distributed range (no driver list)."""
     n = max(1, min(spark.sparkContext.defaultParallelism * 4, (high - low) // 100_000 + 1))

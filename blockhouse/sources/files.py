@@ -12,6 +12,7 @@ from ..schemas import HOLDERS, JSONL_TX, RAW_23
 
 HOUR_KEYS = ["year", "month", "day", "hour"]
 DAY_KEYS = ["year", "month", "day"]
+BAD = "_bad_line"
 
 
 def _with_keys(schema: StructType, keys) -> StructType:
@@ -62,14 +63,37 @@ def scan_holders_csv(spark: SparkSession, path: str, schema: StructType = HOLDER
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
 
 
-def scan_jsonl_gz(spark: SparkSession, path: str, schema: StructType = JSONL_TX) -> DataFrame:
-    """SRC-5: gzip JSON-lines chunks, one transaction per line (codec taken
-    from the file suffix)."""
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
+def _json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """(file, line, j): every line that is not blank, parsed; the field BAD of j holds
+    a line that does not parse."""
+    lines = (spark.read.option("recursiveFileLookup", "true").text(path).where(F.trim("value") != "")
+             .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")))
+    with_bad = StructType([*schema.fields, StructField(BAD, StringType())])
+    return lines.withColumn("j", F.from_json("line", with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}))
 
 
-def stage_semistructured(df: DataFrame, nested: list[str] | None = None) -> DataFrame:
-    """SRC-9: staging form; nested columns serialised to JSON text."""
+def scan_jsonl_gz(spark: SparkSession, path: str, schema: StructType = JSONL_TX, strict: bool = False) -> DataFrame:
+    """SRC-5: gzip JSON-lines chunks, one transaction per line (codec taken from the
+    file suffix). A line that does not parse gives no row: ``bad_json_lines`` returns
+    it. With ``strict`` such a line fails the scan."""
+    if strict:
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").option("mode", "FAILFAST").json(path)
+    return _json_lines(spark, path, schema).where(_good()).select(*[F.col(f"j.{f.name}").alias(f.name) for f in schema.fields])
+
+
+def bad_json_lines(spark: SparkSession, path: str, schema: StructType = JSONL_TX) -> DataFrame:
+    """(file, line) of the lines that ``scan_jsonl_gz`` leaves out."""
+    return _json_lines(spark, path, schema).where(~_good()).select("file", "line")
+
+
+def _good():
+    return F.col("j").isNotNull() & F.col(f"j.{BAD}").isNull()
+
+
+def stage_semistructured(df: DataFrame, nested: list[str] | None = None, form: str = "json") -> DataFrame:
+    """SRC-9: staging form; nested columns as JSON text or, with ``form="variant"``, as
+    VARIANT values, whose fields are read by path without parsing text (``variant_get``)."""
     nested = nested if nested is not None else [
         f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "struct", "map")]
-    return df.select(*[fn.to_json_text(c).alias(c) if c in nested else F.col(c) for c in df.columns])
+    staged = {"json": fn.to_json_text, "variant": lambda c: F.to_variant_object(F.col(c))}[form]
+    return df.select(*[staged(c).alias(c) if c in nested else F.col(c) for c in df.columns])

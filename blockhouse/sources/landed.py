@@ -57,17 +57,13 @@ def rpc_block_headers(blocks: DataFrame, body: str = "body") -> DataFrame:
 def flatten_rpc_blocks(blocks: DataFrame, body: str = "body", stamp: bool = True) -> DataFrame:
     """SRC-7 + FLT-7 (+ PRJ-9 when ``stamp``): tx objects of each block; array
     elements that are not objects are dropped; a block without transactions
-    gives no row. Numbers stay wire text here (decode with FN-1/FN-2)."""
-    p = blocks.select(F.from_json(F.col(body), RPC_BLOCK_DDL).alias("_p"))
-    p = p.select(
-        F.coalesce(F.col("_p.result.timestamp"), F.lit("0x0")).alias("block_ts_hex"),
-        F.explode("_p.result.transactions").alias("_e"))
-    p = p.where(F.ltrim(F.col("_e")).startswith("{"))           # FLT-7
-    p = p.select("block_ts_hex", F.from_json("_e", RPC_TX_DDL).alias("t")).where(F.col("t").isNotNull())
-    cols = [F.col(f"t.{c}").alias(c) for c in (
-        "hash", "transactionIndex", "blockHash", "blockNumber", "from", "to", "value", "input",
-        "nonce", "gas", "gasPrice", "maxFeePerGas", "maxPriorityFeePerGas", "type", "accessList")]
-    out = p.select(*cols, "block_ts_hex")
+    gives no row. Body and elements are parsed once. Numbers stay wire text here
+    (decode with FN-1/FN-2)."""
+    parsed = blocks.select(F.from_json(F.col(body), RPC_BLOCK_DDL)["result"].alias("_r"))
+    objects = F.filter(F.col("_r.transactions"), lambda e: F.ltrim(e).startswith("{"))           # FLT-7
+    rows = parsed.select(F.coalesce(F.col("_r.timestamp"), F.lit("0x0")).alias("block_ts_hex"),
+                         F.explode(F.transform(objects, lambda e: F.from_json(e, RPC_TX_DDL))).alias("t"))
+    out = rows.select("t.*", "block_ts_hex")
     if stamp:
         out = out.withColumn("timestamp", fn.hex_ts_to_kst("block_ts_hex"))
     return out
@@ -85,9 +81,11 @@ def flatten_rpc_receipts(receipts: DataFrame, body: str = "body") -> DataFrame:
         "status", "logsBloom", "logs")])
 
 
-def scan_price_fx(responses: DataFrame, price_body: str = "price_body", fx_body: str = "fx_body") -> DataFrame:
-    """SRC-10 + FN-19: $.ETH.USD and $.rates.KRW of the landed responses."""
-    return responses.select(
-        "price_date",
-        fn.json_path(price_body, "$.ETH.USD").cast("double").alias("price_usd_raw"),
-        fn.json_path(fx_body, "$.rates.KRW").cast("double").alias("fx_rate"))
+def scan_price(responses: DataFrame, body: str = "body") -> DataFrame:
+    """SRC-10 + FN-19: $.ETH.USD of the landed price responses."""
+    return responses.select("price_date", fn.json_path(body, "$.ETH.USD").cast("double").alias("price_usd_raw"))
+
+
+def scan_fx(responses: DataFrame, body: str = "body") -> DataFrame:
+    """SRC-10 + FN-19: $.rates.KRW of the landed FX responses."""
+    return responses.select("price_date", fn.json_path(body, "$.rates.KRW").cast("double").alias("fx_rate"))

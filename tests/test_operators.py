@@ -1,7 +1,9 @@
 """Literal edge rows and regression cases."""
 import datetime as dt
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from blockhouse.operators import aggregates as agg
@@ -84,14 +86,47 @@ def test_asof_ties_and_sides(spark):
     targets = spark.createDataFrame([(t("2023-12-31 23:00:00"),), (t("2024-01-01 00:00:10"),),
                                      (t("2024-01-01 03:00:00"),), (t("2024-01-02 00:00:00"),)],
                                     "target_ts timestamp_ntz")
-    before = {r["target_ts"]: r["block"] for r in jn.asof_block(blocks, targets, "before", partitions=3).collect()}
-    after = {r["target_ts"]: r["block"] for r in jn.asof_block(blocks, targets, "after", partitions=3).collect()}
+    before = {r["target_ts"]: r["block"] for r in jn.asof_block(blocks, targets, "before", rows_per_bucket=1).collect()}
+    after = {r["target_ts"]: r["block"] for r in jn.asof_block(blocks, targets, "after", rows_per_bucket=1).collect()}
     assert before == {t("2023-12-31 23:00:00"): None, t("2024-01-01 00:00:10"): 3,
                       t("2024-01-01 03:00:00"): 3, t("2024-01-02 00:00:00"): 4}
     assert after == {t("2023-12-31 23:00:00"): 1, t("2024-01-01 00:00:10"): 2,
                      t("2024-01-01 03:00:00"): 4, t("2024-01-02 00:00:00"): None}
 
 
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_asof_any_density_without_exchange_reuse(spark, reuse):
+    """Dense spans, gaps, ties, repeated and null targets; values alone place the rows."""
+    rng = random.Random(8)
+    start = dt.datetime(2024, 1, 1)
+    at = lambda s: start + dt.timedelta(microseconds=int(s * 1e6))
+    blocks = [(i, at(rng.choice([rng.random() * 2, 5000 + rng.random() * 9e5, 1e6 + rng.randrange(3)]))) for i in range(700)] + [(900, None)]
+    targets = [at(rng.choice([rng.random() * 2, rng.random() * 1.2e6, 1e6 + rng.randrange(4), -50])) for _ in range(400)] + [blocks[3][1]] * 3 + [None]
+    b = spark.createDataFrame(blocks, "block long, ts timestamp_ntz").repartition(3)
+    t = spark.createDataFrame([(x,) for x in targets], "target_ts timestamp_ntz").repartition(3)
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        for side in ("before", "after"):
+            near = {None: None}
+            for x in targets:
+                if x is not None:
+                    held = [(s, k) for k, s in blocks if s is not None and (s <= x if side == "before" else s >= x)]
+                    near[x] = (max(held) if side == "before" else min(held))[1] if held else None
+            got = jn.asof_block(b, t, side, rows_per_bucket=20).collect()
+            assert sorted(((r["target_ts"], r["block"]) for r in got), key=str) == sorted(((x, near[x]) for x in targets), key=str)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert [r["block"] for r in jn.asof_block(b.limit(0), t.limit(2), "before").collect()] == [None, None]
+    assert jn.asof_block(b, t.limit(0), "after").collect() == []
+
+
+def test_price_without_a_rate_stays(spark):
+    prices = spark.createDataFrame([("2024-01-01", '{"ETH":{"USD":2.00005}}'), ("2024-01-02", '{"ETH":{"USD":3.0}}')], "price_date string, body string")
+    rates = spark.createDataFrame([("2024-01-01", '{"rates":{"KRW":1000.5}}'), ("2024-01-03", '{"rates":{"KRW":9.0}}')], "price_date string, body string")
+    got = jn.daily_price(jn.join_price_fx(lsrc.scan_price(prices), lsrc.scan_fx(rates))).orderBy("price_date").collect()
+    assert [tuple(r) for r in got] == [("2024-01-01", 2.0001, 2001.05), ("2024-01-02", 3.0, None)]
+
+
 def test_chunk_plan_grid_regression_d15(spark):
     plan = srt.chunk_plan_asc(spark, 1, 2500, 1000).collect()
     assert [(r["chunk_start"], r["chunk_end"]) for r in plan] == [(1, 1000), (1001, 2000), (2001, 2500)]
