@@ -405,25 +405,23 @@ def hour_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select(F.explode(F.sequence("a", "b", F.expr("interval 1 hour"))).alias("target_ts"))
 
 
+def _daily_mean(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
+    """(price_date, v): mean value of the events of a type per UTC day, through decimal
+    sums so that it does not depend on summation order."""
+    e = table(spark, sf_dir, "events").where(F.col("event_type") == event_type)
+    return e.groupBy(F.to_date(F.col("ts").cast("timestamp_ntz")).alias("price_date")).agg(
+        (F.sum(F.col("value").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))).alias("v"))
+
+
 def price_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(price_date, price_body, fx_body): per UTC day of ``events`` the landed
-    price response {ETH:{USD}} (mean purchase value) and FX response
-    {rates:{KRW}} (1000 + mean view value). Means go through decimal sums so
-    they do not depend on summation order."""
-    e = table(spark, sf_dir, "events")
-    d = F.to_date(F.col("ts").cast("timestamp_ntz")).alias("price_date")
-    v = F.col("value").cast("decimal(18,2)")
-    daily = e.groupBy(d).agg(
-        (F.sum(F.when(F.col("event_type") == "purchase", v)).cast("double")
-         / F.count(F.when(F.col("event_type") == "purchase", F.lit(1)))).alias("usd"),
-        (F.sum(F.when(F.col("event_type") == "view", v)).cast("double")
-         / F.count(F.when(F.col("event_type") == "view", F.lit(1)))).alias("view_avg"),
-    )
-    return daily.select(
-        "price_date",
-        F.to_json(F.struct(F.struct(F.col("usd").alias("USD")).alias("ETH"))).alias("price_body"),
-        F.to_json(F.struct(F.struct((F.lit(1000.0) + F.col("view_avg")).alias("KRW")).alias("rates"))).alias("fx_body"),
-    )
+    """(price_date, body): the landed price response {ETH:{USD}} of a day (mean purchase value)."""
+    return _daily_mean(spark, sf_dir, "purchase").select("price_date", F.to_json(F.struct(F.struct(F.col("v").alias("USD")).alias("ETH"))).alias("body"))
+
+
+def fx_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(price_date, body): the landed FX response {rates:{KRW}} of a day (1000 + mean view value)."""
+    return _daily_mean(spark, sf_dir, "view").select(
+        "price_date", F.to_json(F.struct(F.struct((F.lit(1000.0) + F.col("v")).alias("KRW")).alias("rates"))).alias("body"))
 
 
 # ---------------------------------------------------------------- holders
@@ -515,12 +513,13 @@ def lake_realtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("*", *fn.kst_hour_keys("timestamp"))
 
 
-@landed("lake_jsonl", ["chunk"], fmt="json", compression="gzip")
+@landed("lake_jsonl", ["chunk"], fmt="text", compression="gzip")
 def lake_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gzip JSON-lines chunks of flat text rows (one tx per line), one folder
-    per 100-block chunk, as the descending collector lands them."""
+    per 100-block chunk, as the descending collector lands them; lines of
+    o_orderkey % 97 = 0 were cut off after 40 characters."""
     r = tx_raw(spark, sf_dir)
     start = F.expr(f"(cast(blockNumber as bigint) div 100) * 100")
-    rows = r.select("transactionHash", "blockNumber", "transactionIndex", "from", "to", "value", "status",
-                    "timestamp")
-    return rows.withColumn("chunk", fn.chunk_label(start, start + 99))
+    line = F.to_json(F.struct("transactionHash", "blockNumber", "transactionIndex", "from", "to", "value", "status", "timestamp"))
+    return r.select(F.when(F.col("o_orderkey") % 97 == 0, F.substring(line, 1, 40)).otherwise(line).alias("value"),
+                    fn.chunk_label(start, start + 99).alias("chunk"))

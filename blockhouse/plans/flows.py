@@ -85,7 +85,7 @@ def historical_backfill(spark: SparkSession, blocks: DataFrame, receipts: DataFr
     wr.write_day_partitions(typed.select("*", *fn.day_keys("timestamp")), day_dir)
     typed_schema = typed.schema
     source = src.scan_day_range(spark, day_dir, typed_schema, *days)
-    tb.load_insert_absent(spark, prj.tx_project_historical(source), target, "transactionhash")
+    tb.load_insert_absent(spark, prj.tx_project_historical(source), target, "transactionhash", ["key_year", "key_month", "key_day"])
     return failed
 
 
@@ -114,10 +114,11 @@ def realtime_replace(spark: SparkSession, staging: DataFrame, table: HourTable,
     return load_replace_hour_range(table, proj, F.col("timestamp"), start, end)
 
 
-def daily_prices(responses: DataFrame, table: tb.VersionedTable) -> int:
-    """§3.4 price: responses (SRC-10) -> price x FX (JOIN-5, FN-11) -> keyed
-    upsert by date (SNK-10), for a whole date range at once."""
-    return tb.load_upsert_key(table, jn.daily_price(lsrc.scan_price_fx(responses)), ["price_date"])
+def daily_prices(prices: DataFrame, rates: DataFrame, table: tb.VersionedTable) -> int:
+    """§3.4 price: price and FX responses (SRC-10) -> price x FX (JOIN-5, FN-11) ->
+    keyed upsert by date (SNK-10), for a whole date range at once."""
+    joined = jn.join_price_fx(lsrc.scan_price(prices), lsrc.scan_fx(rates))
+    return tb.load_upsert_key(table, jn.daily_price(joined), ["price_date"])
 
 
 def holders_snapshot(spark: SparkSession, pages: DataFrame, csv_dir: str, table: str,
@@ -134,6 +135,6 @@ def holders_snapshot(spark: SparkSession, pages: DataFrame, csv_dir: str, table:
     return spark.table(table)
 
 
-def purge(spark: SparkSession, table: str, start: datetime, end: datetime) -> int:
-    """§3.4 purge: every hour partition in [start, end] dropped (SNK-13)."""
-    return tb.purge_hour_range(spark, table, start, end)
+def purge(spark: SparkSession, tables: dict[str, list[str]], start: datetime, end: datetime) -> int:
+    """§3.4 purge: every KST hour in [start, end] removed from lake and warehouse (SNK-13)."""
+    return tb.purge_hour_range(spark, tables, start, end)

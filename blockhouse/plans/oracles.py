@@ -161,9 +161,10 @@ SELECT address, eth_balance, percentage, TIMESTAMP '2025-07-01 00:00:00' AS inse
 
 SQL["scan_jsonl_gz"] = W(TX) + f"""
 SELECT transactionHash, CAST(blockNumber AS VARCHAR) AS blockNumber, CAST(transactionIndex AS VARCHAR) AS transactionIndex,
-  "from", "to", value, status,
-  CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE {_kst_text('ts')} END AS timestamp
-FROM tx"""
+  "from", "to", value, status, CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE {_kst_text('ts')} END AS timestamp, CAST(NULL AS VARCHAR) AS bad_line
+FROM tx WHERE o_orderkey % 97 <> 0
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, '{{"transactionHash":"' || left(transactionHash, 20) FROM tx WHERE o_orderkey % 97 = 0"""
 
 SQL["flatten_tx_pages"] = W(TX) + f""",
 p AS (SELECT *, o_orderkey AS k, transactionIndex // 20 AS page FROM tx WHERE (blockNumber + transactionIndex // 20) % 17 <> 0),
@@ -195,11 +196,15 @@ SELECT l_orderkey // 50 AS blockNumber,
   CASE WHEN l_linenumber % 2 = 1 THEN '0x1' ELSE '0x0' END AS status
 FROM lineitem"""
 
-SQL["stage_semistructured"] = W(TX) + """
-SELECT transactionHash, coalesce(n, 0) AS n_logs, CAST(m AS BIGINT) AS first_log_index,
+SQL["stage_semistructured"] = W(TX, LOGS) + """
+SELECT transactionHash, coalesce(n, 0) AS n_logs, CAST(l_linenumber AS BIGINT) AS first_log_index,
+  '0x' || lpad(lower(hex(l_suppkey)), 40, '0') AS first_log_address,
+  CASE WHEN l_linenumber <> 3 THEN '0x' || sha256(CAST(l_suppkey AS VARCHAR)) END AS first_log_topic,
+  CASE WHEN l_linenumber = 2 THEN false ELSE l_returnflag = 'R' END AS first_log_removed,
+  CASE WHEN o_orderkey % 4 <> 0 THEN '0x' || sha256('slot-' || CAST(o_orderkey AS VARCHAR)) END AS first_slot,
   o_orderkey % 4 = 0 AS access_list_missing
-FROM tx LEFT JOIN (SELECT l_orderkey, count(*) AS n, min(l_linenumber) AS m FROM lineitem GROUP BY 1) l
-  ON l.l_orderkey = tx.o_orderkey"""
+FROM tx LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) l ON l.l_orderkey = tx.o_orderkey
+LEFT JOIN lg ON lg.l_orderkey = tx.o_orderkey AND lg.pos = 0"""
 
 SQL["scan_price_fx"] = W(DAILY) + """
 SELECT price_date, usd AS price_usd_raw, fx AS fx_rate FROM daily"""
@@ -269,7 +274,7 @@ SELECT {_HIST_COLS} FROM txt
 WHERE CAST(kts AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1997-06-30'"""
 
 SQL["purge_hour_range"] = W(H) + """
-SELECT transactionHash, year, month, day, hour FROM h
+SELECT side, transactionHash, year, month, day, hour FROM h, (VALUES ('lake'), ('warehouse')) s(side)
 WHERE date_trunc('hour', ts) NOT BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-06 23:00:00'"""
 
 SQL["register_partitions"] = W(H) + "SELECT year, month, day, hour, count(*) AS n_rows FROM h GROUP BY ALL"
@@ -281,11 +286,10 @@ SELECT CAST(CASE WHEN (SELECT min(block) FROM missing) IS NULL THEN (SELECT hi +
 SQL["failed_blocks"] = "SELECT DISTINCT o_orderkey // 50 AS block FROM orders WHERE (o_orderkey // 50) % 29 = 0"
 
 SQL["compact_chunks"] = W(TX, HI, PRESENT, MISSING) + """
-SELECT transactionHash,
-  printf('%08d', (blockNumber // 10) * 10 + 9) || '_' || printf('%08d', (blockNumber // 10) * 10) AS chunk
+SELECT transactionHash, CASE WHEN blockNumber // 10 IN (SELECT block // 10 FROM missing) THEN 'staged' ELSE
+  printf('%08d', (blockNumber // 10) * 10 + 9) || '_' || printf('%08d', (blockNumber // 10) * 10) END AS chunk
 FROM tx, hi
-WHERE blockNumber BETWEEN 1 AND hi.hi
-  AND blockNumber // 10 NOT IN (SELECT block // 10 FROM missing)"""
+WHERE blockNumber BETWEEN 1 AND hi.hi"""
 
 # -------------------------------------------------------------- projections
 SQL["tx_project_hourly"] = W(H) + f"""
@@ -333,11 +337,11 @@ SQL["kst_hour_keys"] = W(H) + "SELECT transactionHash, year, month, day, hour FR
 
 SQL["day_keys"] = W(TX, TXT) + f"SELECT transactionHash, {_DAYKEYS} FROM txt"
 
-SQL["nested_defaults"] = W(LOGS) + """
-SELECT '0x' || sha256(CAST(l_orderkey AS VARCHAR)) AS transactionHash, pos,
-  CASE WHEN l_linenumber = 2 THEN false ELSE l_returnflag = 'R' END AS removed,
-  CAST(CASE WHEN l_linenumber = 3 THEN 0 ELSE 2 END AS BIGINT) AS n_topics
-FROM lg"""
+SQL["nested_defaults"] = W(TX, LOGS) + """
+SELECT transactionHash, CAST(CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE 1 END AS BIGINT) AS n_access, pos,
+  CASE WHEN l_orderkey IS NULL THEN NULL WHEN l_linenumber = 2 THEN false ELSE l_returnflag = 'R' END AS removed,
+  CAST(CASE WHEN l_orderkey IS NULL THEN NULL WHEN l_linenumber = 3 THEN 0 ELSE 2 END AS BIGINT) AS n_topics
+FROM tx LEFT JOIN lg ON l_orderkey = o_orderkey"""
 
 SQL["stamp_block_time"] = W(TX) + f"""
 SELECT transactionHash, blockNumber,

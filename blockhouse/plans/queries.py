@@ -8,6 +8,7 @@ read back. Wide decimals are returned as text (compared by value).
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -38,7 +39,7 @@ DAY_RANGE = (date(1996, 1, 1), date(1997, 12, 31))     # SRC-3 / FLT-3
 INSERT_RANGE = (date(1996, 7, 1), date(1997, 6, 30))   # SNK-12 source days
 TIME_RANGE = (datetime(1996, 1, 1), datetime(1997, 1, 1))  # FLT-1, KST wall time
 REPLACE_RANGE = (datetime(2024, 1, 10), datetime(2024, 1, 12))  # SNK-9, UTC
-PURGE_RANGE = (datetime(2024, 1, 5), datetime(2024, 1, 6, 23))  # SNK-13 hour starts, UTC
+PURGE_RANGE = (datetime(2024, 1, 5, 9), datetime(2024, 1, 7, 8))  # SNK-13 hour starts, KST
 RUN_DATE = "2025-07-01 00:00:00"
 RUN_TIME = datetime(2024, 1, 31)                       # STR-4: logical time of the run
 NEXT_RUN_DATE = "2025-07-02 00:00:00"
@@ -154,8 +155,12 @@ def _jsonl_rows(df: DataFrame) -> DataFrame:
 
 @query("scan_jsonl_gz")
 def scan_jsonl_gz(spark, sf):
-    """SRC-5: gzip JSON-lines chunks read back with a declared schema."""
-    return src.scan_jsonl_gz(spark, fx.lake_jsonl.path(spark, sf))
+    """SRC-5: gzip JSON-lines chunks read back with a declared schema; lines that do
+    not parse come from the side table."""
+    path, side = fx.lake_jsonl.path(spark, sf), scratch_path(spark, "bad-lines")
+    src.bad_json_lines(spark, path).write.parquet(side)
+    bad = spark.read.parquet(side).select(F.col("line").alias("bad_line"))
+    return src.scan_jsonl_gz(spark, path).unionByName(bad, allowMissingColumns=True)
 
 
 def _joined(c: str, part) -> Column:
@@ -214,19 +219,29 @@ def flatten_rpc_receipts(spark, sf):
 
 @query("stage_semistructured")
 def stage_semistructured(spark, sf):
-    """SRC-9: nested columns staged as JSON text, read back by path."""
-    staged = src.stage_semistructured(fx.tx_nested(spark, sf).drop("o_orderkey"))
+    """SRC-9: nested columns staged as VARIANT, written, typed fields read back by path."""
+    path = scratch_path(spark, "staging")
+    src.stage_semistructured(fx.tx_nested(spark, sf).drop("o_orderkey"), form="variant").write.parquet(path)
+    staged = spark.read.parquet(path)
     return staged.select(
         "transactionHash",
-        F.json_array_length("logs").cast("bigint").alias("n_logs"),
-        F.get_json_object("logs", "$[0].logIndex").cast("bigint").alias("first_log_index"),
+        F.size(F.variant_get("logs", "$", "array<variant>")).cast("bigint").alias("n_logs"),
+        F.variant_get("logs", "$[0].logIndex", "bigint").alias("first_log_index"),
+        F.variant_get("logs", "$[0].contractAddress", "string").alias("first_log_address"),
+        F.variant_get("logs", "$[0].topics[1]", "string").alias("first_log_topic"),
+        F.variant_get("logs", "$[0].removed", "boolean").alias("first_log_removed"),
+        F.variant_get("accessList", "$[0].storageKeys[0]", "string").alias("first_slot"),
         F.col("accessList").isNull().alias("access_list_missing"))
 
 
+def _price_fx(spark, sf):
+    return jn.join_price_fx(lsrc.scan_price(fx.price_responses(spark, sf)), lsrc.scan_fx(fx.fx_responses(spark, sf)))
+
+
 @query("scan_price_fx")
 def scan_price_fx(spark, sf):
     """SRC-10: $.ETH.USD and $.rates.KRW of the landed responses."""
-    p = lsrc.scan_price_fx(fx.price_responses(spark, sf))
+    p = _price_fx(spark, sf)
     return p.select(F.col("price_date").cast("string").alias("price_date"), "price_usd_raw", "fx_rate")
 
 
@@ -328,18 +343,24 @@ def write_holders_csv(spark, sf):
     return src.scan_holders_csv(spark, path)
 
 
+def _table_name(kind: str) -> str:
+    return f"{kind}_{uuid.uuid4().hex[:8]}"
+
+
+_HOURLY_DDL = _HOURLY_SCHEMA + ", year string, month string, day string, hour string"
+
+
 @query("load_skip_existing")
 def load_skip_existing(spark, sf):
     """SNK-7: hours already loaded (KST days 1..15) are not touched."""
-    path = scratch_path(spark, "skip")
+    path, name = scratch_path(spark, "skip"), _table_name("skip_tx")
+    tb.register_table(spark, name, _HOURLY_DDL, path, src.HOUR_KEYS)
     h = fx.hourly(spark, sf)
-    first = h.where(F.col("day") <= "15")
-    tb.load_skip_existing(spark, first, path)
+    tb.load_skip_existing(spark, name, h.where(F.col("day") <= "15"), path)
     again = h.withColumn("status", F.upper("status"))
-    tb.load_skip_existing(spark, again, path)
-    tb.load_skip_existing(spark, again, path)  # idempotent
-    df = src.scan_partitioned(spark, path, _hourly_schema(), src.HOUR_KEYS)
-    return df.select("transactionHash", "status", "year", "month", "day", "hour")
+    for _ in range(2):  # the second adds nothing
+        tb.load_skip_existing(spark, name, again, path)
+    return spark.table(name).select("transactionHash", "status", "year", "month", "day", "hour")
 
 
 _WAREHOUSE_KEYS = ["key_year", "key_month", "key_day", "key_hour"]
@@ -392,7 +413,7 @@ def hourly_batch(spark, sf):
 
 
 def _daily_price(spark, sf):
-    return jn.daily_price(lsrc.scan_price_fx(fx.price_responses(spark, sf)))
+    return jn.daily_price(_price_fx(spark, sf))
 
 
 @query("load_upsert_key")
@@ -410,9 +431,8 @@ def load_upsert_key(spark, sf):
 @query("load_truncate")
 def load_truncate(spark, sf):
     """SNK-11 + SNK-18 + FLT-9: holders table replaced by today's snapshot."""
-    import uuid
     path = scratch_path(spark, "holders-table")
-    name = f"top_holders_{uuid.uuid4().hex[:8]}"
+    name = _table_name("top_holders")
     tb.create_table_if_absent(spark, name, "address string, eth_balance string, percentage string, "
                               "inserted_at timestamp_ntz", path)
     tb.create_table_if_absent(spark, name, "address string, eth_balance string, percentage string, "
@@ -433,44 +453,48 @@ def _historical_out(df: DataFrame) -> DataFrame:
 @query("load_insert_absent")
 def load_insert_absent(spark, sf):
     """SNK-12 + JOIN-2 + FLT-3: 1996 preloaded; days 1996-07-01..1997-06-30
-    inserted where the hash is absent; a rerun inserts nothing."""
-    days = fx.lake_days.path(spark, sf)
+    inserted where the hash is absent; a rerun inserts nothing. The target is
+    partitioned by month here: the driver tables have few rows a day."""
+    days, keys = fx.lake_days.path(spark, sf), ["key_year", "key_month"]
     schema = _typed_tx(spark, sf).drop("year", "month", "day").schema
     target = scratch_path(spark, "historical")
     pre = src.scan_partitioned(spark, days, schema, src.DAY_KEYS).where(F.col("year") == "1996")
-    tb.load_insert_absent(spark, prj.tx_project_historical(pre), target, "transactionhash")
+    tb.load_insert_absent(spark, prj.tx_project_historical(pre), target, "transactionhash", keys)
     source = prj.tx_project_historical(src.scan_day_range(spark, days, schema, *INSERT_RANGE))
-    tb.load_insert_absent(spark, source, target, "transactionhash")
-    tb.load_insert_absent(spark, source, target, "transactionhash")
+    for _ in range(2):
+        tb.load_insert_absent(spark, source, target, "transactionhash", keys)
     return _historical_out(spark.read.parquet(target))
 
 
-def _registered_hourly(spark, sf):
-    import uuid
-    path = fx.lake_hours.path(spark, sf)
-    name = f"batch_tx_{uuid.uuid4().hex[:8]}"
-    tb.register_table(spark, name, "transactionHash string, blockNumber bigint, transactionIndex bigint, "
-                      "`from` string, `to` string, value decimal(38,0), status string, ts timestamp_ntz, "
-                      "timestamp string, year string, month string, day string, hour string",
-                      path, src.HOUR_KEYS)
-    return name
+def _managed_hours(spark, sf):
+    """The hourly lake and its warehouse projection as managed tables."""
+    lake, warehouse = _table_name("batch_tx"), _table_name("warehouse_tx")
+    h = fx.lake_hours(spark, sf)
+    tb.save_managed(h.select(*_hourly_schema().fieldNames(), *src.HOUR_KEYS), lake, src.HOUR_KEYS)
+    tb.save_managed(prj.tx_project_hourly(h), warehouse, _WAREHOUSE_KEYS)
+    return lake, warehouse
 
 
 @query("purge_hour_range")
 def purge_hour_range(spark, sf):
-    """SNK-13: hours with UTC start in [2024-01-05 00:00, 2024-01-06 23:00]
-    dropped; rerun is a no-op."""
-    name = _registered_hourly(spark, sf)
-    tb.purge_hour_range(spark, name, *PURGE_RANGE)
-    tb.purge_hour_range(spark, name, *PURGE_RANGE)
-    return spark.table(name).select("transactionHash", "year", "month", "day", "hour")
+    """SNK-13: KST hours 2024-01-05 09:00 .. 2024-01-07 08:00 removed from lake and
+    warehouse; a rerun and a new registration bring nothing back."""
+    lake, warehouse = _managed_hours(spark, sf)
+    tables = {lake: src.HOUR_KEYS, warehouse: _WAREHOUSE_KEYS}
+    for _ in range(2):
+        flows.purge(spark, tables, *PURGE_RANGE)
+    for name in tables:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    out = spark.table(lake).select(F.lit("lake").alias("side"), "transactionHash", *src.HOUR_KEYS)
+    return out.union(spark.table(warehouse).select(F.lit("warehouse"), "transactionhash", *_WAREHOUSE_KEYS))
 
 
 @query("register_partitions")
 def register_partitions(spark, sf):
-    """SNK-17: partitions on storage registered; rows per catalog partition."""
-    name = _registered_hourly(spark, sf)
-    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")  # repeatable
+    """SNK-17: the collected hours registered with their locations; rows per partition."""
+    name, hours = _table_name("batch_tx"), fx.hourly(spark, sf).select(*src.HOUR_KEYS)
+    for _ in range(2):  # repeatable
+        tb.register_table(spark, name, _HOURLY_DDL, fx.lake_hours.path(spark, sf), src.HOUR_KEYS, hours)
     parts = tb.partitions(spark, name, src.HOUR_KEYS)
     counts = agg.count_per_key(spark.table(name), src.HOUR_KEYS)
     return parts.join(counts, src.HOUR_KEYS, "left").select(*src.HOUR_KEYS, "n_rows")
@@ -512,13 +536,17 @@ def _complete_chunks(spark, sf, size):
 
 @query("compact_chunks")
 def compact_chunks(spark, sf):
-    """SNK-16: per-block rows of complete chunks -> one gzip JSONL per chunk."""
+    """SNK-16: staged per-block rows of complete chunks -> one gzip JSONL per chunk;
+    what stays staged are the incomplete chunks."""
     complete, lo, hi = _complete_chunks(spark, sf, GRID_B)
-    path = scratch_path(spark, "compact")
+    path, staging = scratch_path(spark, "compact"), _table_name("staged_blocks")
     rows = _jsonl_rows(fx.tx_raw(spark, sf)).withColumn("blockNumber", F.col("blockNumber").cast("bigint")) \
         .where(F.col("blockNumber").between(lo, hi))
-    wr.compact_chunks(rows, complete, path, GRID_B)
-    return spark.read.schema("transactionHash string, chunk string").json(path).select("transactionHash", "chunk")
+    wr.stage_blocks(rows, staging, GRID_B)
+    for _ in range(2):  # the second call finds no inputs
+        wr.compact_chunks(spark, staging, complete, path, GRID_B)
+    packed = spark.read.schema("transactionHash string, chunk string").json(path).select("transactionHash", "chunk")
+    return packed.union(spark.table(staging).select("transactionHash", F.lit("staged")))
 
 
 # ========================================================== 2.3 projections
@@ -593,11 +621,13 @@ def _wire_logs(spark, sf):
 
 @query("nested_defaults")
 def nested_defaults(spark, sf):
-    """PRJ-8: removed -> false, topics -> [] per log."""
-    d = prj.nested_defaults(_wire_logs(spark, sf))
-    e = d.select("transactionHash", F.posexplode("logs").alias("pos", "l"))
-    return e.select("transactionHash", F.col("pos").cast("bigint").alias("pos"),
-                    F.col("l.removed").alias("removed"), F.size("l.topics").cast("bigint").alias("n_topics"))
+    """PRJ-8: removed -> false, topics -> [] per log; accessList -> [] per transaction."""
+    access = fx.tx_nested(spark, sf).select("transactionHash", "accessList")
+    d = prj.nested_defaults(_wire_logs(spark, sf).join(access, "transactionHash"))
+    e = d.select("transactionHash", F.size("accessList").cast("bigint").alias("n_access"), F.posexplode_outer("logs").alias("pos", "l"))
+    return e.select("transactionHash", "n_access", F.col("pos").cast("bigint").alias("pos"),
+                    F.col("l.removed").alias("removed"),
+                    F.when(F.col("l").isNotNull(), F.size("l.topics")).cast("bigint").alias("n_topics"))
 
 
 @query("stamp_block_time")
@@ -949,8 +979,7 @@ def empty_array_to_null(spark, sf):
 def shard_blocks(spark, sf):
     """FN-17: fetch lane per block = (block + attempt) mod 4, attempt 1."""
     b = fx.tx(spark, sf).select(F.col("blockNumber").alias("block")).distinct()
-    lanes = b.select("block", fn.shard_lane("block", F.lit(1), LANES).cast("bigint").alias("lane"))
-    return lanes.repartition(LANES, "lane")
+    return b.select("block", fn.shard_lane("block", F.lit(1), LANES).cast("bigint").alias("lane"))
 
 
 # ============================================================= 2.10 streams

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import functions as fn
-from .tables import add_partitions, try_read
+from .tables import add_partitions, try_read, written_partitions
 
 HOUR_KEYS = ["year", "month", "day", "hour"]
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name of a null key
@@ -70,8 +70,7 @@ class HourTable:
         root = f"{self.base}/v={version}-{uuid.uuid4().hex[:12]}"
         rows = rows.select(*[F.col(f"`{f.name}`") for f in self.schema.fields], *self.keys)
         rows.hint("rebalance", *self.keys).write.mode("errorifexists").partitionBy(*self.keys).parquet(root)
-        fields = StructType([*self.schema.fields, *(StructField(k, StringType()) for k in self.keys)])
-        written = self.spark.read.schema(fields).parquet(root).select(*self.keys).distinct().withColumn("folder", self._folder(root))
+        written = written_partitions(self.spark, root, self.schema, self.keys)
         if touched is not None:
             gone = touched.select(*self.keys, F.lit(None).cast("string").alias("folder"))
             written = written.unionByName(gone).groupBy(*self.keys).agg(F.max("folder").alias("folder"))

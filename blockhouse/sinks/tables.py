@@ -1,13 +1,14 @@
 """SNK-7..SNK-15, SNK-17, SNK-18: idempotent load modes on Parquet tables.
 
 Parquet has no DELETE/MERGE, and a path cannot be read and overwritten by one
-job. Two mechanisms cover every load mode:
+job. Three mechanisms cover every load mode:
 
 * partition-aligned changes (replace partition, skip existing, purge) touch
-  only the partitions involved: dynamic partition overwrite, appends of new
-  partitions, catalog partition drops;
-* row-level replacement (range replace, keyed upsert, insert-if-absent on an
-  unpartitioned table) writes a new version directory and then appends one row
+  only the partitions involved: dynamic partition overwrite, catalog partitions
+  added with their folders or dropped with their data;
+* replaced hours and snapshots are written aside and then named by one commit
+  (``hourmap.HourTable``, ``load_truncate``);
+* row-level replacement (range replace, keyed upsert on an unpartitioned table) writes a new version directory and then appends one row
   to the table's commit log; readers resolve the highest committed version.
   A failed job leaves no commit row, so readers never see a half-written
   version (all-or-nothing, like the warehouse transaction).
@@ -18,10 +19,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
-from .. import functions as fn
 from ..session import scratch_path
 
 HOUR_KEYS = ["year", "month", "day", "hour"]
@@ -74,24 +74,25 @@ class VersionedTable:
 
 
 # ----------------------------------------------------------------- SNK-7/8
-def existing_keys(spark: SparkSession, path: str, schema: StructType, keys: list[str]) -> DataFrame | None:
-    df = try_read(spark, path, _with_text_keys(schema, keys))
-    return None if df is None else df.select(*keys).distinct()
+def load_skip_existing(spark: SparkSession, name: str, df: DataFrame, path: str, keys: list[str] = HOUR_KEYS) -> int:
+    """SNK-7: partitions that the catalog already lists are left untouched; only new
+    ones are loaded (no row of the target is read to know which). Each load writes a
+    folder of its own below ``path`` and then adds its partitions, so what a crashed
+    load left is never read and the rerun loads it again. Returns the number added."""
+    new = df.join(partitions(spark, name, keys), keys, "left_anti")
+    folder = f"{path.rstrip('/')}/load-{uuid.uuid4().hex[:12]}"
+    new.hint("rebalance", *keys).write.mode("errorifexists").partitionBy(*keys).parquet(folder)
+    return add_partitions(spark, name, written_partitions(spark, folder, df.schema, keys), keys)
 
 
-def _with_text_keys(schema: StructType, keys: list[str]) -> StructType:
-    from pyspark.sql.types import StringType, StructField
-    have = set(schema.fieldNames())
-    return StructType([f for f in schema.fields] + [StructField(k, StringType()) for k in keys if k not in have])
+def written_partitions(spark: SparkSession, folder: str, schema: StructType, keys: list[str]) -> DataFrame:
+    """keys, folder of every partition below ``folder`` (from its file listing)."""
+    place = F.concat(F.lit(folder), *[F.concat(F.lit(f"/{k}="), F.coalesce(F.col(k), F.lit("__HIVE_DEFAULT_PARTITION__"))) for k in keys])
+    return (spark.read.schema(_with_text_keys(schema, keys)).parquet(folder).select(*keys).distinct().withColumn("folder", place))
 
 
-def load_skip_existing(spark: SparkSession, df: DataFrame, path: str, keys: list[str] = HOUR_KEYS) -> None:
-    """SNK-7: partitions already present are left untouched; only new ones
-    are appended. Re-running appends nothing."""
-    data_schema = StructType([f for f in df.schema.fields if f.name not in keys])
-    have = existing_keys(spark, path, data_schema, keys)
-    new = df if have is None else df.join(have, keys, "left_anti")
-    new.hint("rebalance", *keys).write.mode("append").partitionBy(*keys).parquet(path)
+def _with_text_keys(schema: StructType, keys: list[str]) -> StructType:
+    return StructType([f for f in schema.fields if f.name not in keys] + [StructField(k, StringType()) for k in keys])
 
 
 def load_replace_partition(df: DataFrame, path: str, keys: list[str]) -> None:
@@ -126,43 +127,62 @@ def create_table_if_absent(spark: SparkSession, name: str, ddl: str, path: str)
 
 
 def load_truncate(spark: SparkSession, name: str, snapshot: DataFrame) -> None:
-    """SNK-11 + FLT-9: the table is replaced by the snapshot. The snapshot is
-    computed once, into a folder of its own; when that fails or holds no row, the
-    table is left unchanged."""
-    aside = scratch_path(spark, "snapshot")
-    snapshot.write.parquet(aside)
-    ready = spark.read.schema(snapshot.schema).parquet(aside)
-    if ready.isEmpty():
+    """SNK-11 + FLT-9: the table is replaced by the snapshot. The snapshot is written
+    into a folder of its own, and the table is then pointed at it, in one catalog
+    change: whichever step fails, and when the snapshot holds no row, the table still
+    shows the old snapshot. Older folders stay until the shared folder is cleaned."""
+    folder = scratch_path(spark, f"snapshot-{name}")
+    want = spark.table(name).schema
+    snapshot.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in want.fields]).write.parquet(folder)
+    if spark.read.schema(want).parquet(folder).isEmpty():
         raise ValueError(f"snapshot for {name} is empty; table left unchanged")
-    ready.write.mode("overwrite").insertInto(name, overwrite=True)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(name)
 
 
 # ----------------------------------------------------------------- SNK-12
-def load_insert_absent(spark: SparkSession, src: DataFrame, path: str, key: str) -> None:
-    """SNK-12 (+ JOIN-2, D8): append only source rows whose key is not in the
-    target. The day filter applies to the whole OR-list of days, not only the
-    last one (build the source with the full predicate first)."""
-    tgt = try_read(spark, path)
-    new = src if tgt is None else src.join(tgt.select(key), key, "left_anti")
-    new.write.mode("append").parquet(path)
+def absent_rows(src: DataFrame, target: DataFrame, key: str, days: list[str]) -> DataFrame:
+    """JOIN-2: source rows whose key the target does not hold on the source's days.
+    The days come from the source itself (its whole range, D8) and prune the target's
+    day partitions at run time, before the anti join reads their keys."""
+    held = target.join(src.select(*days).distinct(), days, "left_semi").select(key)
+    return src.join(held, key, "left_anti")
+
+
+def load_insert_absent(spark: SparkSession, src: DataFrame, path: str, key: str, days: list[str] | None = None) -> None:
+    """SNK-12 (+ JOIN-2, D8): append only source rows whose key is not in the target.
+    With ``days`` the target is partitioned by these text keys, and only the source's
+    days are read of it; without, the whole key column is."""
+    if days is None:
+        tgt = try_read(spark, path)
+        new = src if tgt is None else src.join(tgt.select(key), key, "left_anti")
+        new.write.mode("append").parquet(path)
+        return
+    tgt = try_read(spark, path, _with_text_keys(src.schema, days))
+    new = src if tgt is None else absent_rows(src, tgt, key, days)
+    new.hint("rebalance", *days).write.mode("append").partitionBy(*days).parquet(path)
 
 
 # ----------------------------------------------------------------- SNK-13/17
-def register_table(spark: SparkSession, name: str, ddl: str, path: str, keys: list[str]) -> None:
-    """SNK-17: external partitioned table; partitions found on storage are
-    registered (repeatable; keys stay text, '01' is kept)."""
+def register_table(spark: SparkSession, name: str, ddl: str, path: str, keys: list[str], hours: DataFrame | None = None) -> None:
+    """SNK-17: external partitioned table (keys stay text, '01' is kept); the given
+    partitions (keys) are added with their locations below ``path``. Storage is not
+    listed; registering again adds nothing."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
               f"PARTITIONED BY ({', '.join(keys)}) LOCATION '{path}'")
-    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    if hours is not None:
+        place = F.concat(F.lit(path.rstrip("/")), *[F.concat(F.lit(f"/{k}="), F.col(k)) for k in keys])
+        add_partitions(spark, name, hours.select(*keys).distinct().withColumn("folder", place), keys)
 
 
-def add_partitions(spark: SparkSession, name: str, hours: DataFrame, keys: list[str]) -> None:
+def add_partitions(spark: SparkSession, name: str, hours: DataFrame, keys: list[str]) -> int:
     """Partitions (key columns and ``folder``) added to a catalog table where absent;
-    only the given ones are touched, storage is not listed."""
+    only the given ones are touched, storage is not listed. Returns their number."""
     rows = hours.select(*keys, "folder").collect()  # partition keys
     for i in range(0, len(rows), PARTITIONS_PER_STATEMENT):
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(
             f"PARTITION ({_spec(r, keys)}) LOCATION '{r['folder']}'" for r in rows[i:i + PARTITIONS_PER_STATEMENT]))
+    return len(rows)
 
 
 def partitions(spark: SparkSession, name: str, keys: list[str]) -> DataFrame:
@@ -172,20 +192,34 @@ def partitions(spark: SparkSession, name: str, keys: list[str]) -> DataFrame:
     return p.select(*[F.regexp_extract(parts[i], r"^[^=]+=(.*)$", 1).alias(k) for i, k in enumerate(keys)])
 
 
-def purge_hour_range(spark: SparkSession, name: str, start, end) -> int:
-    """SNK-13: drop every hour partition with UTC hour start in [start, end]
-    (inclusive); absent hours are ignored. Only catalog metadata changes:
-    partitions in the range are selected by a Spark filter over the partition
-    listing, and dropped in one statement."""
-    p = partitions(spark, name, HOUR_KEYS)
-    h = fn.hour_key_ts("year", "month", "day", "hour")
-    doomed = p.where((h >= F.lit(start).cast("timestamp_ntz")) & (h <= F.lit(end).cast("timestamp_ntz")))
-    specs = [", ".join(f"{k}='{r[k]}'" for k in HOUR_KEYS) for r in doomed.collect()]  # metadata rows
-    if specs:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(f"PARTITION ({s})" for s in specs))
+def save_managed(df: DataFrame, name: str, keys: list[str]) -> None:
+    """Rows appended to a managed table partitioned by ``keys`` (created when absent);
+    dropping a partition of it removes its files."""
+    df.hint("rebalance", *keys).write.mode("append").format("parquet").partitionBy(*keys).saveAsTable(name)
+
+
+def drop_partitions(spark: SparkSession, name: str, doomed: DataFrame, keys: list[str]) -> int:
+    """Partitions (key columns) dropped, several hundred a statement; absent ones are ignored."""
+    specs = [_spec(r, keys) for r in doomed.select(*keys).collect()]  # partition keys
+    for i in range(0, len(specs), PARTITIONS_PER_STATEMENT):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(f"PARTITION ({s})" for s in specs[i:i + PARTITIONS_PER_STATEMENT]))
     return len(specs)
 
 
+def purge_hour_range(spark: SparkSession, tables: dict[str, list[str]], start, end) -> int:
+    """SNK-13: every hour in [start, end] (KST hour starts, both inclusive) is removed
+    from all tables, given with their hour keys (lake: year...; warehouse: key_year...).
+    The tables are managed (``save_managed``), so files, catalog partitions and rows
+    go together, and nothing is left to register again; absent hours are ignored.
+    Returns the number of partitions dropped."""
+    n = 0
+    for name, keys in tables.items():
+        hour = F.make_timestamp_ntz(*[F.col(k).cast("int") for k in keys], F.lit(0), F.lit(0))
+        doomed = partitions(spark, name, keys).where((hour >= F.lit(start).cast("timestamp_ntz")) & (hour <= F.lit(end).cast("timestamp_ntz")))
+        n += drop_partitions(spark, name, doomed, keys)
+    return n
+
+
 # ----------------------------------------------------------------- SNK-14/15
 def append_state(spark: SparkSession, path: str, rows: DataFrame) -> None:
     """SNK-14: the ingest state is an append-only table; nothing is rewritten."""
@@ -198,8 +232,8 @@ def read_state(spark: SparkSession, path: str, initial: int) -> DataFrame:
     try:
         st = try_read(spark, path)
         if st is not None:
-            st.select("seq", "next_fetch_block").schema  # noqa: B018  (unreadable -> default)
-    except Exception:  # noqa: BLE001  a corrupt state resets to the initial block
+            st.select("seq", "next_fetch_block").schema  # noqa: B018
+    except AnalysisException:  # no such columns or no Parquet: resets; a storage fault is raised
         st = None
     if st is None:
         return spark.range(1).select(F.lit(initial).cast("bigint").alias("next_fetch_block"))
@@ -217,48 +251,3 @@ def append_failed_blocks(path: str, failed: DataFrame, strict: bool = False) ->
 
 def _spec(row, keys: list[str]) -> str:
     return ", ".join(f"{k}='{row[k]}'" for k in keys)
-
-
-def load_replace_range_partitioned(spark: SparkSession, name: str, incoming: DataFrame, ts: str,
-                                   start, end, location: str) -> int:
-    """SNK-9 for an hour-partitioned catalog table (text KST hour keys).
-
-    Only the hour partitions overlapping [start, end) are rebuilt: their rows
-    outside the range are kept, the incoming rows of exactly that range are
-    added (D10), and the result is written to a fresh folder. The catalog
-    partitions are then pointed at it (a metadata change per touched hour)
-    and hours left empty are dropped. Nothing is read and overwritten at one
-    path, untouched partitions are never rewritten, and a replay yields the
-    same table. Returns the number of hours replaced."""
-    import uuid
-    keys = HOUR_KEYS
-    lo = F.lit(start).cast("timestamp_ntz")
-    hi = F.lit(end).cast("timestamp_ntz")
-    hour = fn.hour_key_ts(*keys)
-    touched_pred = (hour >= F.date_trunc("hour", lo).cast("timestamp_ntz")) & (hour < hi)
-    in_range = (F.col(ts) >= lo) & (F.col(ts) < hi)
-    cur = spark.table(name)
-    kept = cur.where(touched_pred).where(~in_range | F.col(ts).isNull())       # pruned to touched hours
-    new = incoming.where(in_range).select(*[F.col(c) for c in cur.columns if c not in keys], *fn.kst_hour_keys(ts))
-    content = kept.unionByName(new)
-    folder = f"{location.rstrip('/')}/_v{uuid.uuid4().hex[:12]}"
-    content.hint("rebalance", *keys).write.partitionBy(*keys).mode("errorifexists").parquet(folder)
-    out = try_read(spark, folder)                                          # None: every touched hour emptied
-    written = [] if out is None else out.select(*keys).distinct().collect()  # bounded by the range
-    have = {_spec(r, keys) for r in partitions(spark, name, keys).where(touched_pred).collect()}  # bounded
-    done, fresh = set(), []
-    for r in written:
-        spec = _spec(r, keys)
-        loc = f"{folder}/" + "/".join(f"{k}={r[k]}" for k in keys)
-        if spec in have:      # swap one existing partition at a time: readers never see it missing
-            spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{loc}'")
-        else:
-            fresh.append(f"PARTITION ({spec}) LOCATION '{loc}'")
-        done.add(spec)
-    if fresh:
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(fresh))
-    emptied = [p for p in have if p not in done]
-    if emptied:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(f"PARTITION ({s})" for s in emptied))
-    spark.catalog.refreshTable(name)
-    return len(done) + len(emptied)

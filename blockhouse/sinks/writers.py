@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from .. import functions as fn
 from ..operators.aggregates import last_per_key
 from ..operators.projections import conform
+from .tables import drop_partitions, partitions, save_managed
 
 HOUR_KEYS = ["year", "month", "day", "hour"]
 DAY_KEYS = ["year", "month", "day"]
@@ -83,16 +84,26 @@ def write_holders_csv(df: DataFrame, path: str, inserted_at: str) -> None:
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
 
 
-def compact_chunks(blocks_df: DataFrame, complete: DataFrame, path: str, size: int,
-                   block: str = "blockNumber") -> None:
-    """SNK-16: rows of complete chunks only -> gzip JSON-lines, one folder per
-    chunk, named end_start (``complete``: chunk_id of complete chunks); AQE may
-    split a very large chunk into several files, each in (block, index) order as
-    numbers. Other chunks of an earlier call stay."""
-    c = blocks_df.withColumn("chunk_id", F.expr(f"{block} div {size}"))
-    c = c.join(complete.select("chunk_id"), "chunk_id", "left_semi")
-    start = F.col("chunk_id") * size
-    c = c.withColumn("chunk", fn.chunk_label(start + size - 1, start)).drop("chunk_id")
+def stage_blocks(df: DataFrame, staging: str, size: int, block: str = "blockNumber") -> None:
+    """Per-block rows appended to a managed staging table, partitioned by chunk number."""
+    save_managed(df.withColumn("chunk_id", F.expr(f"cast({block} div {size} as string)")), staging, ["chunk_id"])
+
+
+def compact_chunks(spark: SparkSession, staging: str, complete: DataFrame, path: str, size: int,
+                   block: str = "blockNumber") -> int:
+    """SNK-16: staged rows of complete chunks only -> gzip JSON-lines, one folder per
+    chunk, named end_start (``complete``: chunk_id of complete chunks); AQE may split a
+    very large chunk into several files, each in (block, index) order as numbers. The
+    packed inputs are dropped from the staging table afterwards: a second call finds
+    none, and a crash before the drop packs the same chunks again. Other chunks of an
+    earlier call stay. Returns the number of chunks packed."""
+    staged = partitions(spark, staging, ["chunk_id"]).join(complete.select(F.col("chunk_id").cast("string").alias("chunk_id")), "chunk_id", "left_semi")
+    ids = [r[0] for r in staged.collect()]  # partition keys: one per chunk to pack
+    if not ids:
+        return 0
+    start = F.col("chunk_id").cast("bigint") * size
+    c = spark.table(staging).where(F.col("chunk_id").isin(ids)).withColumn("chunk", fn.chunk_label(start + size - 1, start)).drop("chunk_id")
     order = [F.col(k).cast("bigint") for k in (block, "transactionIndex")]
     (c.hint("rebalance", "chunk").sortWithinPartitions("chunk", *order)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "gzip").partitionBy("chunk").json(path))
+    return drop_partitions(spark, staging, spark.createDataFrame([(i,) for i in ids], "chunk_id string"), ["chunk_id"])

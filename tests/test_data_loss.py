@@ -42,15 +42,12 @@ def test_labels_above_eight_digits(spark):
     assert [r[0] for r in rows] == ["1000000000_1000000009", "1000000010_1000000019"]
 
 
-def test_chunk_writers_keep_earlier_chunks(spark):
-    path, packed = scratch_path(spark, "t-chunks"), scratch_path(spark, "t-packed")
+def test_chunk_writer_keeps_earlier_chunks(spark):
+    path = scratch_path(spark, "t-chunks")
     rows = lambda b: spark.createDataFrame([("a", b, "10"), ("b", b, "9"), ("c", b, "2")], "transactionHash string, blockNumber bigint, transactionIndex string")
     for b in (5, 105, 5):
         wr.write_block_chunks(rows(b), path, 100)
-        wr.compact_chunks(rows(b), spark.createDataFrame([(b // 100,)], "chunk_id bigint"), packed, 100)
     assert spark.read.parquet(path).groupBy("blockNumber").count().orderBy("blockNumber").collect() == [(5, 3), (105, 3)]
-    lines = [r["transactionIndex"] for r in spark.read.json(packed).where("chunk = '00000199_00000100'").collect()]
-    assert lines == ["2", "9", "10"]
 
 
 def test_wide_hex_text(spark):
@@ -77,6 +74,25 @@ def _files(spark, path):
     return df
 
 
+def test_broken_json_lines_go_to_a_side_table(spark):
+    path = scratch_path(spark, "t-lines")
+    lines = ['{"transactionHash":"a","value":"1"}', '{"transactionHash":"b","va', "", '{"transactionHash":"c"}', "not json"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.option("compression", "gzip").text(f"{path}/chunk=1")
+    assert [(r["transactionHash"], r["value"]) for r in src.scan_jsonl_gz(spark, path).collect()] == [("a", "1"), ("c", None)]
+    bad = src.bad_json_lines(spark, path).collect()
+    assert [r["line"] for r in bad] == [lines[1], lines[4]] and all("chunk=1" in r["file"] for r in bad)
+    with pytest.raises(Exception):
+        src.scan_jsonl_gz(spark, path, strict=True).collect()
+
+
+def test_variant_staging_reads_typed_fields(spark):
+    df = spark.sql("SELECT array(named_struct('a', 1, 'b', array('x', null))) AS n, map('k', 2.5D) AS m, 7 AS plain")
+    row = src.stage_semistructured(df, form="variant").selectExpr(
+        "variant_get(n, '$[0].a', 'int') AS a", "variant_get(n, '$[0].b[0]', 'string') AS b", "variant_get(n, '$[3].a', 'int') AS gone",
+        "variant_get(m, '$.k', 'double') AS k", "plain").first()
+    assert tuple(row) == (1, "x", None, 2.5, 7)
+
+
 def test_streams_keep_late_rows_over_batches(spark):
     landing, counts, dedupe = (scratch_path(spark, n) for n in ("t-land", "t-counts", "t-dedupe"))
     df = _files(spark, landing)

@@ -122,8 +122,8 @@ def test_historical_backfill_matches_merge(spark):
 
 def test_price_and_holders_flows(spark):
     t = tb.VersionedTable(spark, scratch_path(spark, "f-price"))
-    flows.daily_prices(fx.price_responses(spark, SF_SMALL), t)
-    flows.daily_prices(fx.price_responses(spark, SF_SMALL), t)
+    flows.daily_prices(fx.price_responses(spark, SF_SMALL), fx.fx_responses(spark, SF_SMALL), t)
+    flows.daily_prices(fx.price_responses(spark, SF_SMALL), fx.fx_responses(spark, SF_SMALL), t)
     assert t.read().count() == fx.price_responses(spark, SF_SMALL).count()
     import uuid
     snap = flows.holders_snapshot(spark, fx.holder_pages(spark, SF_SMALL), scratch_path(spark, "f-csv"),
