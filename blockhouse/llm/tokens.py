@@ -1,9 +1,8 @@
 """Token ids with a public byte-level BPE vocabulary (path is a parameter).
 
-A word-boundary cache makes long corpora cheap: the pre-tokeniser never lets a
-token cross from a non-space character into a following space, so a text is the
-concatenation of its pieces between such places, and equal pieces have equal
-ids.  The cache is bounded (two generations of ``CACHE_PIECES``).
+The pre-tokeniser never lets a token cross from a non-space character into a
+following space, so a text is the concatenation of its pieces between such places
+(``_CUT``), and equal pieces have equal ids.
 """
 from __future__ import annotations
 
@@ -13,7 +12,6 @@ import sys
 from array import array
 
 
-CACHE_PIECES = 300_000
 _NO_CUT = re.compile(r"\s ")           # a space after white space: the plain split would be wrong
 _CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -66,35 +64,10 @@ class Encoder:
         except KeyError:  # a byte without a token
             same = False
         self._encode = fast.encode_ordinary if same else lambda t: tok.encode(t, add_special_tokens=False).ids
-        self._head: dict[str, bytes] = {}
-        self._rest: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Every piece into the cache of pieces that follow a space.  A full cache
-        becomes the older generation; pieces still in use come back from it."""
-        new = [p for p in pieces if p not in self._rest]
-        if len(self._rest) + len(new) > CACHE_PIECES:
-            self._older, self._rest, new = self._rest, {}, pieces
-        for p in new:
-            ids = self._older.get(p)
-            self._rest[p] = _packed(self._encode(" " + p)) if ids is None else ids
+        self.top = max(tok.get_vocab(with_added_tokens=True).values())
 
     def ids(self, text: str) -> bytes:
-        if _NO_CUT.search(text):
-            parts = _CUT.split(text)
-            first, rest = parts[0], [p[1:] for p in parts[1:]]
-        else:
-            first, *rest = text.split(" ")
-        head = self._head.get(first)
-        if head is None:
-            if len(self._head) >= CACHE_PIECES // 4:
-                self._head.clear()
-            head = self._head[first] = _packed(self._encode(first))
-        if not rest:
-            return head
-        self._learn(set(rest))
-        return head + b"".join(map(self._rest.__getitem__, rest))
+        return _packed(self._encode(text))
 
 
 _encoders: dict[str, Encoder] = {}

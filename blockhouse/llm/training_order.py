@@ -61,6 +61,8 @@ def _sequences(vocabulary: str, stride: int):
         import zstandard
 
         enc, pack = encoder(vocabulary), zstandard.ZstdCompressor(level=1)
+        if enc.top >= 1 << 16:
+            raise ValueError(f"{vocabulary} has ids above 65,535: they do not fit the rows' two bytes")
         split, place = TaskContext.get().partitionId(), 0
         buf, held = bytearray(), []  # the open stream and its (doc, bytes left in the stream)
         size = 4 * stride

@@ -122,6 +122,17 @@ def test_training_order_holds_every_id(spark, docs):
     assert tail.count() == 5 and "shard" in tail._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:60]
 
 
+def test_training_order_refuses_wide_ids(spark, odd_docs, monkeypatch):
+    class Wide(Encoder):
+        def __init__(self, vocabulary):
+            super().__init__(vocabulary)
+            self.top = 70_000
+
+    with pytest.raises(ValueError):
+        monkeypatch.setattr(training_order, "encoder", Wide)
+        list(training_order._sequences(default_vocabulary(), 64)(iter([])))
+
+
 def test_training_order_odd_rows(spark, odd_docs, no_docs):
     out = training_order.training_order(odd_docs, shard_slots=3, stride=64)
     assert out.agg(F.sum("n_ids")).first()[0] == packing.pieces(odd_docs).agg(F.sum("length")).first()[0]
