@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockhouse.session import scratch_path
@@ -112,17 +113,18 @@ def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
 
 
 def doc_chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[tuple[list, list]]:
-    """(doc ids, texts) of about ``limit`` bytes; a longer text comes alone."""
+    """(doc ids, texts) of about ``limit`` bytes; a longer text comes alone. Only
+    these are copied out of the Arrow batch, not all of its texts."""
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        ids, texts = batch.column(0), batch.column(1)
         at, size = 0, 0
-        for i, t in enumerate(texts):
-            if size and size + len(t) > limit:
-                yield ids[at:i], texts[at:i]
+        for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+            if size and size + n > limit:
+                yield ids.slice(at, i - at).to_pylist(), texts.slice(at, i - at).to_pylist()
                 at, size = i, 0
-            size += len(t) + 1
-        if at < len(ids):
-            yield ids[at:], texts[at:]
+            size += n + 1
+        if at < batch.num_rows:
+            yield ids.slice(at).to_pylist(), texts.slice(at).to_pylist()
 
 
 def chunk_words(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:

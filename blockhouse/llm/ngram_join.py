@@ -52,7 +52,7 @@ SLOT_BITS = 22              # fixed size of the count table: 2**22 counters
 SLICES = 64                 # the table travels in 64 slices
 BUCKET_ROWS = 1 << 19       # rare index entries per bucket, about
 BROADCAST_IDS = 1_000_000   # ids are broadcast only up to this count
-FLUSH_BYTES = 24 << 20
+FLUSH_BYTES = 16 << 20
 UNIT = 1024                 # nodes of a key that are compared in one unit
 _U = np.uint64
 
@@ -297,12 +297,12 @@ def _settle(batches):
 
 
 def parity_sketch(s: np.ndarray) -> np.ndarray:
-    """Parity of the tokens that fall on each of B bits, B the power of two >= n.
+    """Parity of the tokens that fall on each of B bits, B the power of two >= 4 n.
 
     Tokens that two sets share cancel in the xor, so its bit count never exceeds
     the size of the symmetric difference; a longer sketch folds onto a shorter
     one by xor of its halves."""
-    bits = max(64, 1 << (len(s) - 1).bit_length())
+    bits = max(256, 4 << (len(s) - 1).bit_length())
     odd = np.bincount((mix(s) % _U(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
@@ -350,15 +350,20 @@ def _unit_pairs(block, node, component, n, sketches, pct: int) -> Iterator[tuple
             if not len(j):
                 continue
             y = x if other == size else _fold(np.frombuffer(b"".join(sketches[k] for k in j), dtype=np.uint64).reshape(len(j), other), size)
-            step = max(1, (1 << 20) // (len(j) * int(size)))
+            short_x, short_y = _fold(x, max(1, int(size) // 4)), _fold(y, max(1, int(size) // 4))
+            step = max(1, (1 << 20) // len(j))
             for at in range(0, len(i), step):
                 k = i[at:at + step]
                 u, v = np.nonzero((component[k][:, None] != component[j][None])
                                   & (100 * np.minimum(n[k][:, None], n[j][None]) >= pct * np.maximum(n[k][:, None], n[j][None])))
-                ok = _possible(x[at + u], y[v], n[k[u]], n[j[v]], pct) if len(u) <= 1 << 16 else np.concatenate(
-                    [_possible(x[at + u[q:q + (1 << 16)]], y[v[q:q + (1 << 16)]], n[k[u[q:q + (1 << 16)]]], n[j[v[q:q + (1 << 16)]]], pct)
-                     for q in range(0, len(u), 1 << 16)])
-                u, v = k[u[ok]], j[v[ok]]
+                # most pairs go by sketches folded to a quarter, the rest by whole ones
+                for left, right in ((short_x, short_y), (x, y)):
+                    part = max(1, (1 << 20) // left.shape[1])
+                    ok = [_possible(left[at + u[q:q + part]], right[v[q:q + part]], n[k[u[q:q + part]]], n[j[v[q:q + part]]], pct)
+                          for q in range(0, len(u), part)]
+                    ok = np.concatenate(ok) if ok else np.zeros(0, bool)
+                    u, v = u[ok], v[ok]
+                u, v = k[u], j[v]
                 if across:
                     differ = block[u] != block[v]
                     u, v = u[differ], v[differ]
@@ -377,7 +382,7 @@ def _meet(pct: int):
             c = [t.column(i).to_numpy() for i in range(3, 7)]
             new = [p for p in _unit_pairs(*c, t.column(7).to_pylist(), pct) if p not in seen and not seen.add(p)]
             a, b = zip(*new) if new else ((), ())
-            if len(seen) > 1 << 20:
+            if len(seen) > 1 << 17:
                 seen.clear()
             return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
