@@ -34,10 +34,10 @@ def test_envelope_merge_shuffles_only_by_block(spark, capsys):
     assert parts or "BroadcastHashJoin" in p
 
 
-def test_asof_is_range_partitioned_and_top_n_is_bounded(spark, capsys):
+def test_asof_is_dealt_by_time_bucket_and_top_n_is_bounded(spark, capsys):
     p = plan(Q["asof_block_before"](spark, SF_SMALL), capsys)
-    assert "rangepartitioning(_t" in p
-    assert "Join Inner" not in p and "CartesianProduct" not in p and "NestedLoop" not in p
+    assert "hashpartitioning(_bid" in p and "SPARK_PARTITION_ID" not in p
+    assert "CartesianProduct" not in p and "NestedLoop" not in p
     t = plan(Q["top_holders"](spark, SF_SMALL), capsys)
     assert "TakeOrderedAndProject" in t
 
