@@ -3,20 +3,26 @@
 Coarse lists and residual subspace codebooks are fitted on a bounded sample
 (``SAMPLE`` distinct vectors with the smallest hashes); every vector is indexed.
 
-* Exact probes: for unit vectors cosine >= t means a distance of at most
-  r = sqrt(2 - 2t).  x lies at least (|x-c'|^2 - |x-c|^2) / (2 |c-c'|) away from
-  the cell of c' when c is its nearest centroid; every list that this does not
-  rule out is probed.
+* Probes: for unit vectors cosine >= t means a distance of at most
+  r = sqrt(2 - 2t).  x lies (|x-c'|^2 - |x-c|^2) / (2 |c-c'|) away from the cell
+  of c' when c is its nearest centroid, so no list further than r can matter.
+  Real pairs need much less than r: ``QUERIES`` vectors are compared with all
+  vectors, and the largest distance that any of their links needs, times
+  ``SPARE``, is the margin within which every vector probes every list.  Half of
+  the queries must find ``RECALL`` of its links with the margin of the other
+  half, otherwise (or where the queries have no links) the margin is r itself.
+  A table of at most ``QUERIES`` distinct vectors loses no link, and
+  ``exact=True`` sets the margin to r and loses none at any size.
 * Asymmetric distances: |x - code(y)| is summed from one table per subspace (the
   code of y is its list's centroid plus its codewords).  The coding error e of
   every vector is stored, and |x - y| >= |x - code(y)| - e, so pairs with
   |x - code(y)| > r + e are dropped.
 * The rest is reranked with exact cosines in double precision.
 
-Every bound is exact: no step can lose a link.  The price is that vectors spread
-evenly over many dimensions leave few lists to rule out, so that work and shuffle
-then grow with the square of the vectors; the lower the rank, the fewer lists.
-The number of lists grows with the vectors, up to ``MAX_LISTS``.
+The margin is the only approximate step; two vectors meet when each probes the
+list of the other.  Only the probed lists are scanned.  The number of lists grows
+with the vectors, up to ``MAX_LISTS``.  Each dimension that occurs has an index of
+its own, so the number of different dimensions should be small.
 
 Equal vectors are one node with a count.  Neighbouring lists share a block of
 ``BLOCK`` rows at most, and a longer list is cut into several.  A task meets two
@@ -24,9 +30,9 @@ blocks, each with only those of its vectors that probe a list of the other, so a
 list that holds a third of all vectors is spread out.  A task returns per vector
 the number of links and a spanning forest of the links found, never the pairs.
 
-Defined results: vectors that are null, zero, of another dimension than most,
-or that hold null or non-finite components link with nothing; repeated ids are
-separate vectors; rows with a null id are left out; an empty table is empty.
+Defined results: vectors that are null, zero, or that hold null or non-finite
+components link with nothing; vectors of different dimensions never link; repeated
+ids are separate vectors; rows with a null id are left out; an empty table is empty.
 """
 from __future__ import annotations
 
@@ -40,6 +46,10 @@ from pyspark.sql.types import ArrayType, FloatType
 from .common import connected, stored
 
 SAMPLE = 16_384
+QUERIES = 4_096  # vectors compared with all others to set the probes
+SPARE = 1.25
+RECALL = 0.99
+MARGINS = 64     # steps in which needed margins are counted
 BATCH = 2_048
 BLOCK = 8_192
 BLOCK_VALUES = 1 << 21
@@ -50,6 +60,7 @@ LIST_ROWS = 64
 MAX_LISTS = 2_048
 EPS = 1e-6
 TABLE_EPS = 1e-5  # rounding of the tables' single precision
+LINKS = "node bigint, links bigint, root bigint"
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -118,18 +129,65 @@ def _matrix(column, dim: int) -> np.ndarray:
                     dtype=np.float64).reshape(-1, dim)
 
 
-def _assign(model, radius: float):
-    """node, copies, vec -> + list, codes, error, probes (one bit a list)."""
+def _away(x: np.ndarray, own: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """How far each x lies from the cell of centroid ``other`` (0: the same cell), row by row."""
+    gap = np.sqrt(((own - other) ** 2).sum(1))
+    away = ((x - other) ** 2).sum(1) - ((x - own) ** 2).sum(1)
+    return np.where(gap > 0, away / np.maximum(2 * gap, 1e-300), 0)
+
+
+def _needed(model, queries, cosine: float, radius: float):
+    """Index rows -> (half, step, links): margins that the links of the queries need."""
+    def run(batches):
+        coarse = model.value["coarse"]
+        q_node, q = queries.value
+        q_own = coarse[_nearest(q, coarse)]
+        q32 = q.astype(np.float32)
+        found = np.zeros((2, MARGINS + 1), dtype=np.int64)
+        for b in batches:
+            for at in range(0, b.num_rows, BATCH):
+                part = b.slice(at, BATCH)
+                node, x = part.column(0).to_numpy(), _unit(_matrix(part.column(2), coarse.shape[1]))
+                i, j = np.nonzero(x.astype(np.float32) @ q32.T >= cosine - TABLE_EPS)
+                i, j = i[node[i] != q_node[j]], j[node[i] != q_node[j]]
+                own = coarse[part.column(3).to_numpy()]
+                for k in range(0, len(i), 1 << 16):
+                    u, v = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
+                    need = np.maximum(_away(x[u], own[u], q_own[v]), _away(q[v], q_own[v], own[u]))
+                    step = np.clip(np.ceil(need / radius * MARGINS), 0, MARGINS).astype(np.int64)
+                    np.add.at(found, (v % 2, step), 1)
+        half, step = np.nonzero(found)
+        yield pa.record_batch([pa.array(half, pa.int32()), pa.array(step, pa.int32()), pa.array(found[half, step], pa.int64())],
+                              names=["half", "step", "links"])
+    return run
+
+
+def _nearest(x: np.ndarray, coarse: np.ndarray) -> np.ndarray:
+    return np.concatenate([_sq_dist(x[i:i + BATCH], coarse).argmin(1) for i in range(0, len(x), BATCH)])
+
+
+def fitted_margin(counts: list[tuple[int, int, int]], radius: float) -> tuple[float, float | None]:
+    """(margin, recall of the second half of the queries with the first half's margin)
+    from (half, step, links); the recall is None where a half has no link."""
+    halves = [{s: n for h, s, n in counts if h == half} for half in (0, 1)]
+    if not halves[0] or not halves[1]:
+        return radius, None
+    reach = SPARE * max(halves[0])
+    recall = sum(n for s, n in halves[1].items() if s <= reach) / sum(halves[1].values())
+    most = max(1, *halves[0], *halves[1])
+    return (radius if recall < RECALL else min(radius, SPARE * most / MARGINS * radius)), recall
+
+
+def _assign(model):
+    """node, copies, vec -> + list, codes, error."""
     def run(batches):
         m = model.value
         coarse, cuts, books = m["coarse"], m["cuts"], m["books"]
-        gap = np.sqrt(_sq_dist(coarse, coarse))
         for b in batches:
             for at in range(0, b.num_rows, BATCH):
                 part = b.slice(at, BATCH)
                 x = _unit(_matrix(part.column(2), coarse.shape[1]))
-                d = _sq_dist(x, coarse)
-                own = d.argmin(1)
+                own = _sq_dist(x, coarse).argmin(1)
                 rest = x - coarse[own]
                 codes = np.empty((len(x), len(books)), dtype=np.uint8)
                 err = np.zeros(len(x))
@@ -137,26 +195,30 @@ def _assign(model, radius: float):
                     dist = _sq_dist(rest[:, lo:hi], book)
                     codes[:, j] = dist.argmin(1)
                     err += ((rest[:, lo:hi] - book[codes[:, j]]) ** 2).sum(1)
-                away = d - d[np.arange(len(x)), own][:, None]
-                possible = away <= 2 * gap[own] * (radius + EPS) + EPS
                 yield pa.record_batch([
                     part.column(0), part.column(1), part.column(2), pa.array(own, pa.int32()),
-                    pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(np.sqrt(err)),
-                    pa.array([p.tobytes() for p in np.packbits(possible, axis=1)], pa.binary())],
-                    names=["node", "copies", "vec", "list", "codes", "err", "probes"])
+                    pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(np.sqrt(err))],
+                    names=["node", "copies", "vec", "list", "codes", "err"])
     return run
 
 
-def _deal(blocks):
-    """probes -> block of the vector, blocks that hold a probed list."""
+def _probes(x: np.ndarray, own: np.ndarray, coarse: np.ndarray, lists: np.ndarray, margin: float) -> np.ndarray:
+    """Which of ``lists`` each x probes."""
+    mine, others = coarse[own], coarse[lists]
+    away = _sq_dist(x, others) - ((x - mine) ** 2).sum(1)[:, None]
+    return away <= 2 * np.sqrt(_sq_dist(mine, others)) * (margin + EPS) + EPS
+
+
+def _deal(model, blocks, margin: float):
+    """Index rows -> + block of the vector, blocks that hold a probed list."""
     def run(batches):
-        k = blocks.value
+        k, coarse = blocks.value, model.value["coarse"]
+        every = np.arange(len(coarse))
         for b in batches:
             for at in range(0, b.num_rows, BATCH):
                 part = b.slice(at, BATCH)
                 node, own = part.column(0).to_numpy(), part.column(3).to_numpy()
-                bits = np.frombuffer(b"".join(part.column(6).to_pylist()), dtype=np.uint8).reshape(len(node), -1)
-                possible = np.unpackbits(bits, axis=1, count=len(k["parts"])).astype(bool)
+                possible = _probes(_unit(_matrix(part.column(2), coarse.shape[1])), own, coarse, every, margin)
                 block = k["slot_block"][k["first"][own] + (node.view(np.uint64) % k["parts"][own].astype(np.uint64)).astype(np.int64)]
                 met = np.logical_or.reduceat(possible[:, k["slot_list"]], k["starts"], axis=1)
                 yield pa.record_batch([*part.columns[:6], pa.array(block, pa.int32()),
@@ -180,7 +242,7 @@ def _join(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _unit_links(model, cosine: float, radius: float):
+def _unit_links(model, cosine: float, radius: float, margin: float):
     """Two blocks (or one with itself) -> links per vector, forest of links."""
     def run(t: pa.Table) -> pa.Table:
         m = model.value
@@ -190,21 +252,33 @@ def _unit_links(model, cosine: float, radius: float):
         block, one, two = t.column("block").to_numpy(), t.column("a")[0].as_py(), t.column("b")[0].as_py()
         x = _matrix(t.column("vec"), coarse.shape[1])
         unit = _unit(x)
-        qi, yi = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        own = t.column("list").to_numpy()
+        by_list = np.argsort(own, kind="stable")
+        qi, yi = by_list[block[by_list] == one], by_list[block[by_list] == two]
         links, root = np.zeros(len(node), dtype=np.int64), np.arange(len(node))
         codes = np.frombuffer(b"".join(t.column("codes").take(pa.array(yi)).to_pylist()), dtype=np.uint8).reshape(len(yi), len(books))
         limit = (radius + EPS + t.column("err").to_numpy()[yi]) ** 2 + EPS + TABLE_EPS
-        held, nth = np.unique(t.column("list").to_numpy()[yi], return_inverse=True)
+        held, first, nth = np.unique(own[yi], return_index=True, return_inverse=True)
+        last = np.append(first[1:], len(yi))
         decoded = coarse[held][nth] + np.concatenate([book[codes[:, j]] for j, book in enumerate(books)], axis=1)
         # |x - code|^2 <= limit, as x . centroid + sum of x . codeword >= need
         need = ((1 + np.einsum("ij,ij->i", decoded, decoded) - limit) / 2).astype(np.float32)
         for at in range(0, len(qi) if len(yi) else 0, 256):
             q = qi[at:at + 256]
-            dot = (unit[q] @ coarse[held].T).astype(np.float32)[:, nth]
-            for j, (book, lo, hi) in enumerate(zip(books, cuts[:-1], cuts[1:])):
-                dot += np.take((unit[q, lo:hi] @ book.T).astype(np.float32), codes[:, j], axis=1)
-            a, c = np.nonzero(dot >= need[None])
-            a, c = q[a], yi[c]
+            probed = _probes(unit[q], own[q], coarse, held, margin)
+            centre = (unit[q] @ coarse[held].T).astype(np.float32)
+            tables = [(unit[q, lo:hi] @ book.T).astype(np.float32) for book, lo, hi in zip(books, cuts[:-1], cuts[1:])]
+            hits = []
+            for i in np.flatnonzero(probed.any(0)):  # the lists that any of the queries probes
+                who, rows = np.flatnonzero(probed[:, i]), slice(first[i], last[i])
+                dot = np.repeat(centre[who, i][:, None], last[i] - first[i], axis=1)
+                for j, near in enumerate(tables):
+                    dot += np.take(near[who], codes[rows, j], axis=1)
+                a, c = np.nonzero(dot >= need[rows][None])
+                hits.append((q[who[a]], yi[rows][c]))
+            if not hits:
+                continue
+            a, c = (np.concatenate(side) for side in zip(*hits))
             if one == two:
                 a, c = a[a < c], c[a < c]
             for k in range(0, len(a), 1 << 16):
@@ -213,6 +287,8 @@ def _unit_links(model, cosine: float, radius: float):
                 w = x[v] / np.abs(x[v]).max(1, keepdims=True)
                 cos = np.einsum("ij,ij->i", s, w) / np.sqrt(np.einsum("ij,ij->i", s, s) * np.einsum("ij,ij->i", w, w))
                 u, v = u[cos >= cosine], v[cos >= cosine]
+                both = _away(unit[v], coarse[own[v]], coarse[own[u]]) <= margin + EPS  # whichever of the two asks
+                u, v = u[both], v[both]
                 np.add.at(links, u, copies[v])
                 np.add.at(links, v, copies[u])
                 new = root[u] != root[v]
@@ -223,36 +299,22 @@ def _unit_links(model, cosine: float, radius: float):
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding",
-                 lists: int | None = None) -> DataFrame:
+                 lists: int | None = None, exact: bool = False) -> DataFrame:
     """vec_id, n_links, component_id (smallest vec_id reachable), kept."""
     spark = vectors.sparkSession
-    radius = math.sqrt(2 - 2 * cosine)
     given = vectors.schema[vec_col].dataType
     kind = "array<float>" if isinstance(given, ArrayType) and isinstance(given.elementType, FloatType) else "array<double>"  # as given: half the shuffle
     v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(kind).alias("vec")).where("vec_id IS NOT NULL")
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     usable = F.coalesce(F.col("vec").isNotNull() & (F.size("vec") > 0) & finite & F.exists("vec", lambda x: x != 0), F.lit(False))
-    dims = v.where(usable).groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    dim = dims[0][0] if dims else 0
-    named = stored(v.select("vec_id", F.when(usable & (F.size("vec") == dim), F.col("vec")).alias("vec"))
+    named = stored(v.select("vec_id", F.when(usable, F.col("vec")).alias("vec"))
                    .withColumn("node", F.when(F.col("vec").isNotNull(), F.xxhash64("vec"))), "pq-vectors")
-    if not dim:
-        return _plain(named)
     nodes = stored(named.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"), F.first("vec").alias("vec")), "pq-nodes")
-    n = nodes.count()
-    sample = np.array([r[0] for r in nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vec").collect()], dtype=np.float64)
-    model = spark.sparkContext.broadcast(fit(sample, lists or min(MAX_LISTS, max(1, n // LIST_ROWS))))  # <= 2,048 centroids
-    rows = stored(nodes.select("node", "copies", "vec").mapInArrow(
-        _assign(model, radius), f"node bigint, copies bigint, vec {kind}, list int, codes binary, err double, probes binary"), "pq-index")
-
-    # rows per list: at most MAX_LISTS rows on the driver
-    size = {r[0]: r[1] for r in rows.groupBy("list").count().collect()}
-    most = min(BLOCK, max(MIN_BLOCK, BLOCK_VALUES // dim), max(MIN_BLOCK, -(-n // MIN_BLOCKS)))
-    blocks = spark.sparkContext.broadcast(_blocks(model.value["coarse"], size, most))
-    found = stored(rows.mapInArrow(_deal(blocks), f"node bigint, copies bigint, vec {kind}, list int, codes binary, err double, block int, met array<int>")
-                   .select("node", "copies", "vec", "list", "codes", "err", "block", F.explode("met").alias("other"))
-                   .select("node", "copies", "vec", "list", "codes", "err", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
-                   .groupBy("a", "b").applyInArrow(_unit_links(model, cosine, radius), "node bigint, links bigint, root bigint"), "pq-links")
+    sizes = nodes.groupBy(F.size("vec").alias("dim")).count().orderBy("dim").collect()  # one row a dimension
+    found = spark.createDataFrame([], LINKS)
+    for dim, n in sizes:
+        if n > 1:
+            found = found.union(_dimension_links(nodes.where(F.size("vec") == dim), dim, n, kind, cosine, lists, exact))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     groups = connected(spark, found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     per_node = stored(nodes.select("node", "copies").join(links, "node", "left").join(groups, "node", "left")
@@ -264,5 +326,35 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
     return out.union(_plain(named.where("node IS NULL")))
 
 
+def _by_hash(nodes: DataFrame, n: int, seed: int):
+    return nodes.orderBy(F.xxhash64("node", F.lit(seed)), "node").limit(n).select("node", "vec").collect()
+
+
+def _dimension_links(nodes: DataFrame, dim: int, n: int, kind: str, cosine: float, lists: int | None, exact: bool) -> DataFrame:
+    """Links per node and a forest of links among the ``n`` distinct vectors of one dimension."""
+    context, radius = nodes.sparkSession.sparkContext, math.sqrt(2 - 2 * cosine)
+    sample = np.array([r[1] for r in _by_hash(nodes, SAMPLE, 0)], dtype=np.float64)
+    model = context.broadcast(fit(sample, lists or min(MAX_LISTS, max(1, n // LIST_ROWS))))  # <= 2,048 centroids
+    index = f"node bigint, copies bigint, vec {kind}, list int, codes binary, err double"
+    rows = stored(nodes.select("node", "copies", "vec").mapInArrow(_assign(model), index), "pq-index")
+    margin = radius
+    if not exact:
+        asked = _by_hash(nodes, QUERIES, 1)
+        queries = context.broadcast((np.array([r[0] for r in asked]), _unit(np.array([r[1] for r in asked], dtype=np.float64))))
+        counts = (rows.mapInArrow(_needed(model, queries, cosine, radius), "half int, step int, links bigint")
+                  .groupBy("half", "step").agg(F.sum("links")).collect())  # <= 2 * (MARGINS + 1) rows
+        margin, _ = fitted_margin([tuple(r) for r in counts], radius)
+
+    # rows per list: at most MAX_LISTS rows on the driver
+    size = {r[0]: r[1] for r in rows.groupBy("list").count().collect()}
+    most = min(BLOCK, max(MIN_BLOCK, BLOCK_VALUES // dim), max(MIN_BLOCK, -(-n // MIN_BLOCKS)))
+    blocks = context.broadcast(_blocks(model.value["coarse"], size, most))
+    carried = ["node", "copies", "vec", "list", "codes", "err", "block"]
+    return stored(rows.mapInArrow(_deal(model, blocks, margin), f"{index}, block int, met array<int>")
+                  .select(*carried, F.explode("met").alias("other"))
+                  .select(*carried, F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
+                  .groupBy("a", "b").applyInArrow(_unit_links(model, cosine, radius, margin), LINKS), "pq-links")
+
+
 def _plain(v: DataFrame) -> DataFrame:
     return v.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))

@@ -174,6 +174,33 @@ def test_vectors_of_low_rank_in_many_lists(spark):
     assert got == _links([(r[0], r[1]) for r in df.collect()])
 
 
+def test_probes_set_on_few_queries_keep_their_recall(spark, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "QUERIES", 256)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4096, 6)) @ rng.normal(size=(6, 64))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<float>")
+    want = {i: r[0] for i, r in _links([(r[0], r[1]) for r in df.collect()]).items()}
+    got = {r[0]: r[1] for r in vector_dedup.near_vectors(df, lists=512).collect()}
+    assert all(got[i] <= want[i] for i in want) and sum(got.values()) >= 0.98 * sum(want.values())
+    assert {r[0]: r[1] for r in vector_dedup.near_vectors(df, lists=512, exact=True).collect()} == want
+
+
+def test_margin_falls_back_to_the_exact_bound():
+    assert vector_dedup.fitted_margin([], 0.4) == (0.4, None) and vector_dedup.fitted_margin([(0, 3, 9)], 0.4) == (0.4, None)
+    assert vector_dedup.fitted_margin([(0, 2, 90), (1, 40, 50), (1, 1, 50)], 0.4) == (0.4, 0.5)  # the other half's margin misses half
+    margin, recall = vector_dedup.fitted_margin([(0, 8, 90), (1, 4, 50), (1, 10, 50)], 0.4)
+    assert recall == 1 and margin == pytest.approx(0.4 * 1.25 * 10 / vector_dedup.MARGINS)
+
+
+def test_vectors_of_two_dimensions_link_within_their_own(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, (np.ones(d) + rng.normal(size=d) * 0.4).tolist()) for i, d in enumerate([3] * 60 + [5] * 40 + [2])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    want = {**_links(rows[:60]), **_links(rows[60:100]), 100: (0, 100, True)}
+    assert {r[0]: tuple(r)[1:] for r in vector_dedup.near_vectors(df).collect()} == want
+    assert sum(want[i][0] for i in range(60)) and sum(want[i][0] for i in range(60, 100))
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0, None]),
