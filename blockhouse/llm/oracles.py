@@ -105,7 +105,8 @@ FROM d LEFT JOIN kept USING (doc_id)
 OP7 = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(source, '') AS source, len({_WORDS})::BIGINT AS n_tokens,
-    ('0x' || substr(md5(concat_ws('|', '7', coalesce(source, ''), coalesce(doc_id::VARCHAR, ''))), 1, 10))::BIGINT AS order_key FROM documents),
+    ('0x' || substr(md5(concat_ws('|', '7', coalesce(source, ''), coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))), 1, 15))::BIGINT AS order_key
+  FROM documents),
 t AS (SELECT source, sum(n_tokens)::BIGINT AS tokens FROM d GROUP BY source),
 u AS (SELECT sum(tokens)::DOUBLE AS total, min(tokens)::DOUBLE AS least, count(*) AS k,
     ln(sum(tokens)) - sum(tokens * ln(tokens)) / sum(tokens) AS own FROM t WHERE tokens > 0),
@@ -122,9 +123,10 @@ e AS (SELECT max(lo) / 1048576.0::DOUBLE AS a FROM b WHERE lo = hi),
 w AS (SELECT source, tokens, CASE WHEN tokens > 0 THEN pow(tokens::DOUBLE, a) / sum(pow(tokens::DOUBLE, a)) FILTER (tokens > 0) OVER () ELSE 0 END AS weight FROM t, e),
 q AS (SELECT source, tokens, weight, floor(round(weight * total, 3))::BIGINT AS quota FROM w, u),
 f AS (SELECT *, CASE WHEN tokens > 0 THEN quota // tokens ELSE 1 END AS epochs, CASE WHEN tokens > 0 THEN quota % tokens ELSE 0 END AS rest FROM q),
-r AS (SELECT *, sum(n_tokens) OVER (PARTITION BY source ORDER BY order_key RANGE UNBOUNDED PRECEDING) AS used FROM d)
-SELECT doc_id, r.source, n_tokens, order_key, (order_key >> 30)::BIGINT AS block, round(weight, 6) AS weight,
-  (epochs + CASE WHEN rest > 0 AND used <= rest THEN 1 ELSE 0 END)::BIGINT AS copies
+r AS (SELECT *, sum(n_tokens) OVER (PARTITION BY source ORDER BY order_key RANGE UNBOUNDED PRECEDING) AS used,
+    sum(n_tokens) OVER (PARTITION BY source, order_key) AS entry, row_number() OVER (PARTITION BY source, order_key) AS nth FROM d)
+SELECT doc_id, r.source, n_tokens, order_key, (order_key >> 50)::BIGINT AS block, round(weight, 6) AS weight,
+  (epochs + CASE WHEN rest > 0 AND (used <= rest OR nth * n_tokens <= rest - (used - entry)) THEN 1 ELSE 0 END)::BIGINT AS copies
 FROM r JOIN f ON f.source = r.source
 """
 

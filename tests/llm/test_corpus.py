@@ -139,11 +139,16 @@ def test_training_order_odd_rows(spark, odd_docs, no_docs):
     assert training_order.training_order(no_docs).collect() == []
 
 
+def _place(seed, source, i, text):
+    digest = hashlib.md5((text or "").encode()).hexdigest()
+    return int(hashlib.md5(f"{seed}|{source or ''}|{'' if i is None else i}|{digest}".encode()).hexdigest()[:15], 16)
+
+
 def _plan(docs, gain, most, keep_all, seed=7):
     """Plain version of the mixture: {source: copies by document}."""
     t = {}
     for i, text, source in docs:
-        t.setdefault(source or "", []).append((int(hashlib.md5(f"{seed}|{source or ''}|{'' if i is None else i}".encode()).hexdigest()[:10], 16), len(brute.words(text)), i))
+        t.setdefault(source or "", []).append((_place(seed, source, i, text), len(brute.words(text)), i))
     tokens = {s: sum(x[1] for x in v) for s, v in t.items()}
     total, live = sum(tokens.values()), [x for x in tokens.values() if x]
     own = -sum(x / total * math.log(x / total) for x in live)
@@ -162,9 +167,13 @@ def _plan(docs, gain, most, keep_all, seed=7):
     for s, v in t.items():
         quota = math.floor(round((tokens[s] / total) ** a / z * budget, 3)) if tokens[s] else 0
         epochs, rest = divmod(quota, tokens[s]) if tokens[s] else (1, 0)
-        for key, n, i in v:
-            used = sum(m for k, m, _ in v if k <= key)
-            out.append((i, s, n, epochs + (1 if rest > 0 and used <= rest else 0)))
+        if keep_all and not epochs:
+            epochs, rest = 1, 0
+        used, open_ = 0, rest > 0
+        for key, n, i in sorted(v, key=lambda x: x[0]):  # repeated rows lie side by side and are read one by one
+            used += n
+            open_ = open_ and used <= rest
+            out.append((i, s, n, epochs + int(open_)))
     return sorted(out, key=str)
 
 
@@ -180,6 +189,20 @@ def test_mixing_matches_plain_version(spark, odd_docs, options):
         assert min(r[3] for r in want) >= 1
 
 
+def test_mixing_reads_sources_that_share_or_lack_ids(spark):
+    rows = ([(None, f"{i} " + "w " * (i % 17), "null ids") for i in range(1000)] + [(5, f"{i} x y z", "one id") for i in range(600)]
+            + [(6, "a b c d e f g", "one row")] * 25_000 + [(i, "a b c", "small") for i in range(30)])
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    out = mixing.mix(docs)
+    want = _plan([tuple(r) for r in docs.collect()], 0.5, 4.0, False)
+    assert sorted((tuple(r) for r in out.select("doc_id", "source", "n_tokens", "copies").collect()), key=str) == want
+    t = out.groupBy("source").agg(F.first("weight").alias("w"), F.sum(F.col("n_tokens") * F.col("copies")).alias("t"), F.max("n_tokens").alias("one")).collect()
+    total = sum(len(brute.words(r[1])) for r in rows)
+    assert len(t) == 4 and all(0 <= r["w"] * total - r["t"] < r["one"] + 1 for r in t)
+    read = mixing.mixed_documents(docs).groupBy("source").agg(F.count("*")).collect()
+    assert dict(map(tuple, read)) == {s: sum(r[3] for r in want if r[1] == s) for s in {r[1] for r in want}}
+
+
 def test_mixing_table_reaches_its_weights(spark):
     out = Q["op7_mix_sources"](spark, SF_SMALL)
     t = out.groupBy("source").agg(F.first("weight").alias("w"), F.sum(F.col("n_tokens") * F.col("copies")).alias("t"), F.max("n_tokens").alias("one")).collect()
