@@ -1,12 +1,13 @@
 """Language identification with language-bitmask n-gram filters.
 
-Every byte 4-gram (ASCII lower-cased, white space as one blank) has two hashed
+Every byte 4-gram (ASCII lower-cased, each white-space byte a blank) has two hashed
 places, one in each of two tables.  A table entry is a bitmask of languages, so
 one look-up per table and an AND return all languages that hold the n-gram (a
 Bloom filter per language, sliced by bit).  Bits come from counts over all
-learning documents: a language holds a place if its rate there is at least
-``RATIO`` of the highest rate of any language, so function words and endings of
-one language do not count for the others.
+learning documents: a language holds a place if at least one in 1 / ``MEMBER`` of
+its n-grams falls there, whatever other languages do; below that are misspelt
+and foreign words, of which a large corpus holds every one.  N-grams that all
+languages hold add the same to each score.
 
 A text's score for a language is its hits over its n-grams, corrected for false
 positives with the language's fill of the tables: (hits/n - f) / (1 - f).
@@ -28,7 +29,7 @@ from .common import doc_chunks, packed, shuffle_parts, stored
 
 BITS = 18                 # places per table
 SLICES = 16
-RATIO = 0.2
+MEMBER = 1e-5            # least share of a language's n-grams that makes one its own
 N = 4
 _LETTER = re.compile(rb"[A-Za-z]")
 _FOLD = np.arange(256, dtype=np.uint32)
@@ -90,7 +91,7 @@ def _mask_slice(langs: list[str], totals: dict):
         rate = np.zeros((len(langs), 2 * (1 << BITS) // SLICES))
         for lang, c in zip(t.column("lang").to_pylist(), t.column("counts").to_pylist()):
             rate[at[lang]] = np.frombuffer(c, dtype=np.int64) / max(totals[lang], 1)
-        held = (rate > 0) & (rate >= RATIO * rate.max(axis=0))
+        held = (rate > 0) & (rate >= MEMBER)
         masks = np.zeros((words, held.shape[1]), dtype=np.uint64)
         for i, row in enumerate(held):
             masks[i // 64] |= row.astype(np.uint64) << np.uint64(i % 64)

@@ -1,6 +1,8 @@
 """Chat format, quality rules, language id, toxicity: brute force, round trips, held-out accuracy."""
 import hashlib
+import itertools
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -90,6 +92,29 @@ def test_language_held_out(spark):
     assert out.where("score < 0 OR score > 1").isEmpty()
 
 
+def test_language_filter_returns_all_languages_of_an_ngram(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("text IS NOT NULL AND lang IS NOT NULL")
+    model = language.learn(docs, F.lit(True))
+    grams, total = {}, {}
+    for text, lang in docs.select("text", "lang").collect():
+        b = bytes(x + 32 if 65 <= x <= 90 else 32 if 9 <= x <= 13 else x for x in b"  " + text.encode() + b"  ")
+        for i in range(len(b) - 3):
+            grams.setdefault(b[i:i + 4], {}).setdefault(lang, 0)
+            grams[b[i:i + 4]][lang] += 1
+        total[lang] = total.get(lang, 0) + len(b) - 3
+    every = sorted(grams)
+    first, second, lo, _ = language._places([g for g in every])
+    at = lo + 2  # behind the two blanks that every text begins with
+    held = model["masks"][0, 0][first[at]] & model["masks"][0, 1][second[at]]
+    wrong = 0
+    for g, bits in zip(every, held.tolist()):
+        for i, lang in enumerate(model["langs"]):
+            own = grams[g].get(lang, 0) >= max(1, language.MEMBER * total[lang])
+            assert bits >> i & 1 or not own
+            wrong += (bits >> i & 1) and not own
+    assert wrong <= 0.1 * len(every) * len(model["langs"])  # a Bloom filter errs to one side only
+
+
 def test_language_odd_rows(spark, odd_docs, no_docs):
     got = {r[0]: r for r in language.identify(odd_docs).collect()}
     assert got[4][2] == got[5][2] == got[6][2] == "und" and got[1][2] in {"en", "fr", "de"}
@@ -128,6 +153,33 @@ def test_toxicity_restores_disguises(spark):
         assert not scorer.text(t), t
 
 
+def test_toxicity_restores_spacing_and_look_alikes(spark):
+    df, labels = _model(spark)
+    units, model, _ = toxicity.learn(df, labels, F.lit(True))
+    scorer = toxicity.Scorer(units, model)
+    for t in ("i  d  i  o  t", "i\td\ti\to\tt", "l\no\ns\ne\nr", "i\u00a0d\u00a0i\u00a0o\u00a0t", "idi ot", "lo ser.", "los\ner", "l/o/s/e/r",
+              "i,d,i,o,t", "idi\u043et", "lose\u0433 l\u043eser", "idi\u00f3t", "\uff49\uff44\uff49\uff4f\uff54", "id i ot"):
+        assert scorer.text("so " + t + " it is"), t
+    for t in ("id est", "lo behold", "the weather is lo", "i did it", "loose rope", "\u043b\u043e\u0441\u0435\u0440", "idea or"):
+        assert not scorer.text(t), t
+
+
+def test_viterbi_finds_the_best_of_all_paths(spark):
+    df, labels = _model(spark)
+    units, model, _ = toxicity.learn(df, labels, F.lit(True))
+    for word in ("1d10t", "l o ser", "!d!!0t", "l.0.s3r", "a*#t"):
+        nodes = toxicity.lattice(word)
+        best = max((sum(p for _, p in path) + _plain_log(model, "".join(x for x, _ in path)) for path in itertools.product(*nodes)))
+        got = toxicity.viterbi(nodes, model)
+        ways = [sum(p for _, p in path) for path in itertools.product(*nodes) if "".join(x for x, _ in path) == got]
+        assert max(ways) + _plain_log(model, got) == pytest.approx(best, abs=1e-3)
+
+
+def _plain_log(model, text):
+    s = [0, 0, *map(toxicity.symbol, text), 0]
+    return sum(float(model[a, b, c]) for a, b, c in zip(s, s[1:], s[2:]))
+
+
 def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     df, labels = _model(spark)
     empty = labels.limit(0)
