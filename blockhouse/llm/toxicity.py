@@ -9,11 +9,16 @@ Learning
 3. A logistic curve maps (strongest unit, number of units) to a score.
 
 Scoring
-Words of every text are compared with the units.  A word, or a run of spaced
-single characters, that could hide one becomes a character lattice: leetspeak
-signs branch into their letters, repeated letters into one or two, gaps into
-nothing or a space.  Viterbi decoding under the character model restores the
-text, which is then compared with the units again.  A lattice is only built when
+Words of every text are compared with the units.  A word, a run of single
+characters or a run of fragments that could hide one becomes a character lattice:
+leetspeak signs branch into their letters, repeated letters into one or two, gaps
+into nothing or a space.  Gaps are any white space, or signs between letters.
+Fragments count only where the decoded text joins them to a whole unit.  Letters of
+other widths, and Cyrillic or Greek look-alikes among Latin letters, are undone
+first; a word that is a whole unit but for its accents counts as well.
+Viterbi decoding under the character model restores the text, which is then
+compared with the units again.  Units of up to three letters are compared as they
+stand.  A lattice is only built when
 the skeleton that all its paths share (look-alikes merged, runs collapsed) is
 that of a unit, so skipping one never changes a score.
 
@@ -25,6 +30,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +49,12 @@ _SKELETON = str.maketrans({**{k: v[0] for k, v in LEET.items() if len(v) < 3}, "
 _EDGE = re.compile(r"^[^\w@$!|+*#(]+|[^\w@$|+*#]+$")
 _TAIL = re.compile(r"([^\w\s])\1{2,}$")
 _RUNS = re.compile(r"(.)\1+")
-_SPACED = re.compile(r"(?<!\S)\S(?:[ ]\S){2,}(?!\S)")
-_INNER = re.compile(r"(?<=.)[._\-~'](?=.)")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s{1,3}\S){2,}(?!\S)")
+_GAPS = re.compile(r"\s+")
+_INNER = re.compile(r"(?<=.)[._\-~'/,](?=.)")
+# Cyrillic and Greek letters that look like Latin ones.
+_ALIKE = str.maketrans("аеорсухікмтԁѕјαοενικρτυ", "aeopcyxikmtdsjaoevikptu")
+FRAGMENTS = 8           # pieces that a unit may be cut into
 _CLASS = np.zeros(128, dtype=np.int64)
 _CLASS[97:123] = np.arange(1, 27)
 _CLASS[65:91] = np.arange(1, 27)
@@ -67,6 +77,19 @@ def clean_word(word: str) -> str:
     return w
 
 
+def plain_letters(word: str) -> str:
+    """Letters of other widths, and look-alikes inside words that hold Latin letters too."""
+    if word.isascii():
+        return word
+    word = unicodedata.normalize("NFKC", word)
+    return word.translate(_ALIKE) if any("a" <= c <= "z" for c in word) else word
+
+
+def bare(word: str) -> str:
+    """Without accents: these belong to other languages' words, so only whole units are compared."""
+    return "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
+
+
 def units_of(word: str) -> list[str]:
     return [word] + [word[:k] + "*" for k in range(4, 9) if len(word) > k]
 
@@ -141,7 +164,7 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
         while end < len(word) and word[end] == ch:
             end += 1
         k = end - at
-        if ch == " " or (ch in "._-~'" and 0 < at and end < len(word)):
+        if ch == " " or (ch in "._-~'/," and 0 < at and end < len(word)):
             out.append([("", _COLLAPSED), (" ", _COLLAPSED)])
         else:
             letters = [(x, _SUBSTITUTED) for x in LEET.get(ch, "")] + [(ch, _LITERAL if ch in LEET else 0.0)]
@@ -180,7 +203,9 @@ class Scorer:
 
     def __init__(self, units: dict[str, float], model: np.ndarray):
         self.units, self.model, self.cache = units, model, {}
-        self.skeletons = {skeleton(u.rstrip("*")) for u in units}
+        self.skeletons = {skeleton(u.rstrip("*")) for u in units if len(u) > 3}
+        self.whole = {u.translate(_SKELETON) for u in units if len(u) > 3 and u[-1] != "*"}
+        self.starts = {s[:k] for s in self.whole for k in range(2, len(s))}
         self.sizes = sorted({len(s) for s in self.skeletons})
 
     def match(self, word: str) -> str | None:
@@ -203,22 +228,47 @@ class Scorer:
         w = clean_word(raw)
         if not w:
             return ()
-        if u := self.match(w):
-            return (u,)
-        return tuple(self.restore(w)) if self.could_hide(w, False) else ()
+        plain = plain_letters(w)
+        for form in (w, plain) if plain != w else (w,):
+            if u := self.match(form):
+                return (u,)
+            if self.could_hide(form, False) and (hits := self.restore(form)):
+                return tuple(hits)
+        return (b,) if not plain.isascii() and (b := bare(plain)) in self.units else ()
+
+    def opens(self, raw: str) -> bool:
+        """Whether a word could be the first fragment of a unit."""
+        return plain_letters(raw.lower()).translate(_SKELETON) in self.starts
+
+    def joined(self, words: list[str], at: int) -> list[str]:
+        """Units that the fragments from ``at`` on make, if decoding joins them."""
+        run = plain_letters(words[at].lower())
+        for w in words[at + 1:at + FRAGMENTS]:
+            run += " " + plain_letters(w.lower())
+            s = clean_word(run.replace(" ", "")).translate(_SKELETON)
+            if s in self.whole:
+                return [u for w in viterbi(lattice(clean_word(run)), self.model).split() if (u := self.match(w))]
+            if s not in self.starts:
+                break
+        return []
 
     def text(self, text: str) -> set[str]:
-        found = set()
-        for w in set(text.split()):
+        found, words, opening = set(), text.split(), set()
+        for w in set(words):
             hit = self.cache.get(w)
             if hit is None:
                 if len(self.cache) >= CACHE_WORDS:
                     self.cache.clear()
-                hit = self.cache[w] = self.word(w)
-            if hit:
-                found.update(hit)
+                units = self.word(w)
+                hit = self.cache[w] = (units, not units and self.opens(w))
+            found.update(hit[0])
+            if hit[1]:
+                opening.add(w)
+        if opening:
+            for at in [i for i, w in enumerate(words) if w in opening]:
+                found.update(self.joined(words, at))
         for m in _SPACED.finditer(text):
-            s = m[0].lower()
+            s = plain_letters(_GAPS.sub(" ", m[0]).lower())
             if self.could_hide(s, True):
                 found.update(self.restore(s))
         return found
@@ -275,7 +325,7 @@ def learn(docs: DataFrame, labels: DataFrame, learned: Column, id_col: str = "do
         for u, t in often:
             c = clean.get(u, 0)  # cautious on both sides: one standard deviation off the counts
             e = math.log((t - math.sqrt(t)) / toxic_n) - math.log((c + math.sqrt(c) + 1) / (clean_n + 1))
-            if e >= 2.5 and len(u) > 3:
+            if e >= 2.5 and len(u) > 1:  # single letters are no words
                 units[u] = e
     model = _character_model(texts.select("doc_id", "text"), units)
     shared = spark.sparkContext.broadcast((units, model))
