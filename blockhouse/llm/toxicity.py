@@ -207,8 +207,13 @@ class Scorer:
         self.whole = {u.translate(_SKELETON) for u in units if len(u) > 3 and u[-1] != "*"}
         self.starts = {s[:k] for s in self.whole for k in range(2, len(s))}
         self.sizes = sorted({len(s) for s in self.skeletons})
+        # beginnings that every unit or skeleton has: most words are ruled out by them
+        self.heads = {u[:4] for u in units}
+        self.skeleton_heads = {s[:self.sizes[0]] for s in self.skeletons}
 
     def match(self, word: str) -> str | None:
+        if word[:4] not in self.heads:
+            return None
         found = [u for u in units_of(word) if u in self.units]
         return max(found, key=self.units.__getitem__) if found else None
 
@@ -221,6 +226,8 @@ class Scorer:
         if "*" in word or "#" in word:  # any vowel: look for the rest
             return any(c.isalpha() for c in word) and len(word) > 3
         s = skeleton(word.replace(" ", ""))
+        if not anywhere and (not self.sizes or s[:self.sizes[0]] not in self.skeleton_heads):
+            return False
         starts = range(len(s)) if anywhere else (0,)
         return any(s[i:i + n] in self.skeletons for i in starts for n in self.sizes)
 
