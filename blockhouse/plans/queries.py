@@ -48,6 +48,7 @@ GRID_A, GRID_B = 7, 10  # manifest chunk sizes (partial edges on purpose)
 TOP_N = 1000
 START_BLOCK = 1       # first block of the collected range (a setting; block 0 lies before it)
 LANES = 4
+LANDED_FILE_ROWS = 1_000_000  # most rows that a stream's landed file holds, about
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -987,6 +988,12 @@ def _landing_rows(spark, sf):
     return fx.hourly(spark, sf).select(*[c for c in _hourly_schema().fieldNames()])
 
 
+def _files_a_batch(spark, sf):
+    """Files that share a micro-batch of the landed rows, one below a million rows: no
+    task writes or reads more than a bounded part of a batch."""
+    return fx.table(spark, sf, "events").count() // LANDED_FILE_ROWS + 1
+
+
 @query("stream_hourly_load")
 def stream_hourly_load(spark, sf):
     """STR-1: two arrivals (even, then odd events); each run rebuilds the
@@ -1009,8 +1016,9 @@ def stream_hourly_load(spark, sf):
 def stream_hour_counts(spark, sf):
     """STR-2: rows per tumbling UTC hour from the stream."""
     landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "counts", "counts-ckpt"))
-    _landing_rows(spark, sf).repartition(3).write.parquet(landing)  # unordered files, one micro-batch each
-    stream.stream_hour_counts(spark, landing, _hourly_schema(), target, ckpt, max_files=1)
+    files = _files_a_batch(spark, sf)
+    _landing_rows(spark, sf).repartition(3 * files).write.parquet(landing)  # unordered files, three micro-batches
+    stream.stream_hour_counts(spark, landing, _hourly_schema(), target, ckpt, max_files=files)
     return stream.read_hour_counts(spark, target)
 
 
@@ -1027,10 +1035,10 @@ def late_rows_split(spark, sf):
 def stream_dedupe(spark, sf):
     """STR-4: every file landed twice; the stream keeps one copy per hash."""
     landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "dedupe", "dedupe-ckpt"))
-    rows = _landing_rows(spark, sf)
-    rows.repartition(2).write.mode("append").parquet(landing)
-    rows.repartition(2).write.mode("append").parquet(landing)  # replay
-    stream.stream_dedupe(spark, landing, _hourly_schema(), target, ckpt, max_files=1, run_time=RUN_TIME)
+    rows, files = _landing_rows(spark, sf), _files_a_batch(spark, sf)
+    rows.repartition(2 * files).write.mode("append").parquet(landing)
+    rows.repartition(2 * files).write.mode("append").parquet(landing)  # replay
+    stream.stream_dedupe(spark, landing, _hourly_schema(), target, ckpt, max_files=files, run_time=RUN_TIME)
     return stream.read_deduped(spark, target, _hourly_schema()).select("transactionHash", "ts")
 
 
