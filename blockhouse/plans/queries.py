@@ -222,7 +222,7 @@ def flatten_rpc_receipts(spark, sf):
 def stage_semistructured(spark, sf):
     """SRC-9: nested columns staged as VARIANT, written, typed fields read back by path."""
     path = scratch_path(spark, "staging")
-    src.stage_semistructured(fx.tx_nested(spark, sf).drop("o_orderkey"), form="variant").write.parquet(path)
+    src.stage_semistructured(fx.tx_nested(spark, sf).drop("o_orderkey"), form="variant").write.option("compression", "zstd").parquet(path)
     staged = spark.read.parquet(path)
     return staged.select(
         "transactionHash",
@@ -614,17 +614,20 @@ def day_keys(spark, sf):
     return _typed_tx(spark, sf).select("transactionHash", "year", "month", "day")
 
 
-def _wire_logs(spark, sf):
-    lg = fx.logs_wire(spark, sf)
+def _wire_logs(spark, sf, more=None):
+    """(transactionHash, logs) and the columns of ``more``, joined by hash: both joins
+    carry line items as numbers, the wire text is made and parsed after them."""
     t = fx.tx(spark, sf).select("o_orderkey", "transactionHash")
-    return t.join(lg, "o_orderkey").select("transactionHash", F.from_json("logs_json", fn.LOG_WIRE_DDL).alias("logs"))
+    t = t if more is None else t.join(more, "transactionHash")
+    j = t.join(fx.order_items(spark, sf), "o_orderkey")
+    return j.select(F.from_json(fx.order_logs_text(), fn.LOG_WIRE_DDL).alias("logs"), *[c for c in t.columns if c != "o_orderkey"])
 
 
 @query("nested_defaults")
 def nested_defaults(spark, sf):
     """PRJ-8: removed -> false, topics -> [] per log; accessList -> [] per transaction."""
     access = fx.tx_nested(spark, sf).select("transactionHash", "accessList")
-    d = prj.nested_defaults(_wire_logs(spark, sf).join(access, "transactionHash"))
+    d = prj.nested_defaults(_wire_logs(spark, sf, access))
     e = d.select("transactionHash", F.size("accessList").cast("bigint").alias("n_access"), F.posexplode_outer("logs").alias("pos", "l"))
     return e.select("transactionHash", "n_access", F.col("pos").cast("bigint").alias("pos"),
                     F.col("l.removed").alias("removed"),
