@@ -363,7 +363,7 @@ def page_item(k: Column, page: Column) -> Column:
         F.when(page == 0, logs).alias("logs")))
     sent = F.concat(F.lit('{"method":"transfer","note":"전송 '), text(k), F.lit('","args":[{"name":"to","value":"'), F.col("to"), F.lit('"}]}'))
     decoded = F.when(k % 3 == 0, sent).when(k % 6 == 2, F.lit('""')).when(k % 6 == 5, F.lit("null"))
-    return F.coalesce(F.concat(F.regexp_replace(j, r"\}$", ""), F.lit(',"decodedInput":'), decoded, F.lit("}")), j)
+    return F.when(decoded.isNull(), j).otherwise(F.concat(F.left(j, F.length(j) - 1), F.lit(',"decodedInput":'), decoded, F.lit("}")))
 
 
 @landed("hour_pages", view=True)
