@@ -410,7 +410,7 @@ def hourly_batch(spark, sf):
     rows = _raw_26_out(flows.lake_table(spark, lake).read())
     recorded = wr.read_manifest(spark, manifest, src.HOUR_KEYS).select(*src.HOUR_KEYS, F.col("n_rows").alias("hour_rows"))
     loaded = agg.count_per_key(flows.warehouse_table(spark, warehouse).read(), _WAREHOUSE_KEYS, "loaded_rows").toDF(*src.HOUR_KEYS, "loaded_rows")
-    return rows.join(recorded, src.HOUR_KEYS).join(loaded, src.HOUR_KEYS)
+    return rows.join(F.broadcast(recorded), src.HOUR_KEYS).join(F.broadcast(loaded), src.HOUR_KEYS)  # one row an hour: the lake's rows stay where they are
 
 
 def _daily_price(spark, sf):

@@ -69,7 +69,7 @@ class HourTable:
         version = self.version() + 1
         root = f"{self.base}/v={version}-{uuid.uuid4().hex[:12]}"
         rows = rows.select(*[F.col(f"`{f.name}`") for f in self.schema.fields], *self.keys)
-        rows.hint("rebalance", *self.keys).write.mode("errorifexists").partitionBy(*self.keys).parquet(root)
+        rows.hint("rebalance", *self.keys).write.mode("errorifexists").option("compression", "zstd").partitionBy(*self.keys).parquet(root)
         written = written_partitions(self.spark, root, self.schema, self.keys)
         if touched is not None:
             gone = touched.select(*self.keys, F.lit(None).cast("string").alias("folder"))
