@@ -2,8 +2,9 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import functions as fn
@@ -161,14 +162,15 @@ def new_holders(profile: DataFrame, snapshot: DataFrame, key: str = "address") -
     return profile.join(snapshot.select(key), key, "left_anti")
 
 
-def _block_side(blocks: DataFrame, body: str, key: str) -> DataFrame:
+def _block_side(blocks: DataFrame, body: str, key: Column | None) -> DataFrame:
+    """Parsed blocks by ``key``, without one by the number in the body."""
     from ..sources.landed import RPC_BLOCK_DDL, RPC_TX_DDL
-    landing_key = [F.col(key).cast("bigint").alias("_key")] if key in blocks.columns else [F.lit(None).cast("bigint").alias("_key")]
-    parsed = blocks.select(*landing_key, F.from_json(F.col(body), RPC_BLOCK_DDL)["result"].alias("_r"))  # parsed once
+    named = [] if key is None else [key.alias("_block")]
+    parsed = blocks.select(*named, F.from_json(F.col(body), RPC_BLOCK_DDL)["result"].alias("_r"))  # parsed once
     p = F.col("_r")
     objects = F.filter(p["transactions"], lambda e: F.ltrim(e).startswith("{"))          # FLT-7
     return parsed.select(
-        F.coalesce(F.col("_key"), fn.hex_to_long(p["number"])).alias("_block"),
+        "_block" if named else fn.hex_to_long(p["number"]).alias("_block"),
         F.coalesce(p["timestamp"], F.lit("0x0")).alias("block_ts_hex"),
         F.transform(objects, lambda e: F.from_json(e, RPC_TX_DDL)).alias("_txs"))
 
@@ -213,7 +215,14 @@ def merge_block_responses(blocks: DataFrame, receipts: DataFrame, body: str = "b
     if landing_order:
         blocks = latest_landing(blocks, receipt_key, landing_order)
         receipts = latest_landing(receipts, receipt_key, landing_order)
-    j = _block_side(blocks, body, receipt_key).join(_receipt_side(receipts, body, receipt_key), "_block", "left")
+    r = _receipt_side(receipts, body, receipt_key)
+    sides = [_block_side(blocks, body, None)]
+    if receipt_key in blocks.columns:
+        # the key as it stands: blocks that were dealt by it are not shuffled again as
+        # parsed texts, as a key that may come from the body would need
+        key = F.col(receipt_key).cast("bigint")
+        sides = [_block_side(blocks.where(key.isNotNull()), body, key), _block_side(blocks.where(key.isNull()), body, None)]
+    j = reduce(DataFrame.unionByName, [side.join(r, "_block", "left") for side in sides])
     j = j.select("_block", "block_ts_hex", F.transform("_txs", lambda t: F.struct(
         t.alias("t"), F.try_element_at(F.col("_rmap"), t["hash"]).alias("r"))).alias("_m"))
     j = j.withColumn("_unmatched", F.size(F.filter("_m", lambda x: x["r"].isNull())).cast("bigint"))

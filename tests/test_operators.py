@@ -47,6 +47,16 @@ def test_envelope_merge_failed_fetch_is_a_failed_block(spark):
     assert [(r["blockNumber"], r["n_unmatched"]) for r in failed.collect()] == [(7, None)]
 
 
+def test_envelope_merge_takes_a_missing_key_from_the_body(spark):
+    block = lambda key, n, h: (key, json.dumps({"result": {"number": hex(n), "timestamp": "0x1", "transactions": [{"hash": h}]}}))
+    blocks = spark.createDataFrame([block(1, 1, "a"), block(None, 2, "b"), block(4, 3, "c"), (None, "x")], "blockNumber long, body string")
+    recs = spark.createDataFrame([(n, json.dumps({"result": [{"transactionHash": h}]})) for n, h in ((1, "a"), (2, "b"), (3, "c"))],
+                                 "blockNumber long, body string")
+    merged, failed = jn.merge_block_responses(blocks, recs)
+    assert sorted(r["transactionHash"] for r in merged.collect()) == ["a", "b"]
+    assert {(r["blockNumber"], r["n_unmatched"]) for r in failed.collect()} == {(4, 1), (None, None)}
+
+
 def test_envelope_merge_keeps_latest_landing(spark):
     blk = lambda hs: json.dumps({"result": {"number": "0x9", "timestamp": "0x1",
                                             "transactions": [{"hash": h, "blockNumber": "0x9"} for h in hs]}})

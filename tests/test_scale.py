@@ -65,3 +65,17 @@ def test_hour_table_files_are_zstandard_and_hours_join_by_broadcast(spark, capsy
 
 def test_page_items_are_cut_without_a_regex(spark, capsys):
     assert "regexp_replace" not in plan(fx.hour_pages.build(spark, SF_SMALL), capsys)
+
+
+@pytest.mark.parametrize("key", ["merge_tx_receipts", "blocks_with_unmatched_tx"])
+def test_parsed_blocks_are_not_shuffled_for_their_receipts(spark, capsys, key):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = Q[key](spark, SF_SMALL)
+        df.collect()
+        capsys.readouterr()
+        df.explain()
+        final = capsys.readouterr().out.split("== Initial Plan ==")[0]  # without the join of blocks that have no key
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "REPARTITION_BY_NUM" in final and "hashpartitioning(_block#" not in final
