@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from blockhouse.session import scratch_path
 
 CHUNK_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20  # of an Arrow batch between the JVM and Python, about
 _MULT = np.uint64(0x9E3779B97F4A7C15)  # odd: powers are invertible modulo 2**64
 _U = np.uint64
 
@@ -37,7 +38,12 @@ def shuffle_parts(spark: SparkSession) -> int:
 
 
 def text_bytes(docs: DataFrame, *cols: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, text as binary (null: empty) and nothing else: other columns can't clash."""
+    """id, text as binary (null: empty) and nothing else: other columns can't clash.
+
+    Every Arrow map of a text operator starts here, so the session's batches are bounded
+    here too: by bytes, as 10,000 texts (Spark's default) are held several times over, on
+    both sides, and a Python worker keeps what it once took."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"), *cols)
 

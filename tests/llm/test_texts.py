@@ -2,11 +2,13 @@
 import hashlib
 import itertools
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from blockhouse.llm import chat, language, quality, toxicity
+from blockhouse.llm.common import BATCH_BYTES, text_bytes
 from blockhouse.llm.queries import Q
 from tests.conftest import SF_CHECK, SF_SMALL
 from tests.llm import brute
@@ -196,3 +198,15 @@ def test_toxicity_ignores_held_out_labels(spark):
     df, labels = _model(spark)
     flipped = labels.withColumn("toxic", F.when(language.fold(F.col("doc_id"), 3) == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert sorted(map(tuple, toxicity.score(df, labels).collect())) == sorted(map(tuple, toxicity.score(df, flipped).collect()))
+
+
+def test_arrow_batches_of_texts_are_bounded_by_bytes(spark):
+    """10,000 rows a batch alone would hand a worker all of these texts at once."""
+    docs = spark.range(0, 1500, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 10_000).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.nbytes])], names=["n"])
+
+    found = [r[0] for r in text_bytes(docs).mapInArrow(sizes, "n bigint").collect()]
+    assert sum(found) > 3 * BATCH_BYTES and max(found) < 1.1 * BATCH_BYTES
