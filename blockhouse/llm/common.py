@@ -7,7 +7,9 @@ and the longest single text, never the table.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import inspect
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockhouse.session import scratch_path
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20  # of an Arrow batch between the JVM and Python, about
 _MULT = np.uint64(0x9E3779B97F4A7C15)  # odd: powers are invertible modulo 2**64
 _U = np.uint64
@@ -48,6 +50,33 @@ def text_bytes(docs: DataFrame, *cols: str, id_col: str = "doc_id", text_col: st
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"), *cols)
 
 
+def give_back() -> None:
+    """Freed memory returns to the system: Arrow's pool, then the C library's (where it can)."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def lean(run: Callable) -> Callable:
+    """``run``, an Arrow map or cogroup function, that gives back what it freed when it
+    ends. Spark keeps idle Python workers for the next tasks, one for each step that
+    ever ran side by side, and each would hold the most that any step took."""
+    if inspect.isgeneratorfunction(run):
+        def mapped(batches):
+            try:
+                yield from run(batches)
+            finally:
+                give_back()
+        return mapped
+
+    def grouped(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return run(left, right)
+        finally:
+            give_back()
+    return grouped
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes (xor-shift and multiply rounds), in a new array."""
     h = h ^ (h >> _U(30))

@@ -45,7 +45,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import (_MULT, chunk_words, connected, doc_chunks, mix, packed, shuffle_parts, stored, text_bytes,
+from .common import (_MULT, chunk_words, connected, doc_chunks, lean, mix, packed, shuffle_parts, stored, text_bytes,
                      window_hashes)
 
 SLOT_BITS = 22              # fixed size of the count table: 2**22 counters
@@ -110,7 +110,7 @@ def count_slots(texts: DataFrame, k: int) -> DataFrame:
 
     schema = "slice int, salt int, counts binary"
     parts = shuffle_parts(texts.sparkSession)
-    level1 = texts.mapInArrow(tally, schema).repartition(parts, "slice", "salt").mapInArrow(add, schema)
+    level1 = texts.mapInArrow(lean(tally), schema).repartition(parts, "slice", "salt").mapInArrow(lean(add), schema)
     total = lambda batches: (b.append_column("total", pa.array([int(np.frombuffer(c, dtype=np.int64).sum()) for c in b.column(2).to_pylist()], pa.int64()))
                              for b in add(batches))
     return stored(level1.withColumn("salt", F.lit(0)).repartition(min(parts, SLICES), "slice")
@@ -442,7 +442,7 @@ def _remaining(entries: DataFrame, known: DataFrame, pct: int) -> DataFrame:
     cols = ["key", "i", "j", "block", "node", "component", "n", "sketch"]
     parts = shuffle_parts(entries.sparkSession)
     return (e.select(*cols).repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(_meet(pct), "a bigint, b bigint").distinct())
+            .mapInArrow(lean(_meet(pct)), "a bigint, b bigint").distinct())
 
 
 def similar_groups(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -458,8 +458,8 @@ def _grouped(docs: DataFrame, k: int, pct: int, id_col: str, text_col: str) -> D
     shingles = int(slots.agg(F.sum("total")).first()[0] or 0)
     grades = spark.sparkContext.broadcast(grade_table(slots, shingles))  # 4 MB
     buckets = max(shuffle_parts(spark), math.ceil(shingles * (100 - pct) / 100 / BUCKET_ROWS))
-    index = stored(texts.mapInArrow(_index(buckets, grades, k, pct), _INDEX_SCHEMA)
-                   .repartitionById(buckets, F.col("bucket")).mapInArrow(_settle, _ENTRY_SCHEMA), "ngram-index")
+    index = stored(texts.mapInArrow(lean(_index(buckets, grades, k, pct)), _INDEX_SCHEMA)
+                   .repartitionById(buckets, F.col("bucket")).mapInArrow(lean(_settle), _ENTRY_SCHEMA), "ngram-index")
     nodes = index.where("kind = 0").select("doc_id", "n", "node", "sketch")
     pairs = index.where("kind = 2").select("key", "node")
     span = pairs.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
@@ -495,7 +495,7 @@ def _grouped(docs: DataFrame, k: int, pct: int, id_col: str, text_col: str) -> D
             near = (F.least("n", "m") * 100 >= F.greatest("n", "m") * pct)
             cand = cand.where(near).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
             cand = (cand.join(side(known, "a", ["n", "sketch"]), "a").join(side(known, "b", ["n", "sketch"]), "b")
-                    .select("a", "b", "na", "nb", "sketcha", "sketchb").mapInArrow(_may_link(pct), "a bigint, b bigint"))
+                    .select("a", "b", "na", "nb", "sketcha", "sketchb").mapInArrow(lean(_may_link(pct)), "a bigint, b bigint"))
         else:
             cand = _remaining(open_, known, pct)
         cand = stored(cand, "ngram-candidates")
@@ -503,9 +503,9 @@ def _grouped(docs: DataFrame, k: int, pct: int, id_col: str, text_col: str) -> D
                         .join(known.select("node", "doc_id"), "node").select("doc_id"), "ngram-wanted")
         few = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
         sets = stored(texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
-                      .mapInArrow(_sets(k), "node bigint, tokens binary"), "ngram-sets")
+                      .mapInArrow(lean(_sets(k)), "node bigint, tokens binary"), "ngram-sets")
         found = (cand.join(side(sets, "a", ["tokens"]), "a").join(side(sets, "b", ["tokens"]), "b")
-                 .select("a", "b", "tokensa", "tokensb").mapInArrow(_verify(pct), "a bigint, b bigint"))
+                 .select("a", "b", "tokensa", "tokensb").mapInArrow(lean(_verify(pct)), "a bigint, b bigint"))
         found = stored(found, "ngram-links")
         # components so far: stars of the last round plus the new links
         if labels is not None:
@@ -545,7 +545,7 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", k: int = 5, pct:
     if both.isEmpty():
         return out
     texts = text_bytes(docs, id_col=id_col, text_col=text_col).join(both, "doc_id", "left_semi")
-    named = texts.mapInArrow(_nodes(k), "doc_id bigint, node bigint, text binary").join(copies, ["doc_id", "node"], "left_semi")
+    named = texts.mapInArrow(lean(_nodes(k)), "doc_id bigint, node bigint, text binary").join(copies, ["doc_id", "node"], "left_semi")
     named = stored(named.select(F.col("doc_id").alias("_copy_id"), F.col("text").alias("_copy_text")).distinct(), "ngram-copy-texts")
     text = F.coalesce(docs[text_col].cast("string"), F.lit("")).cast("binary")
     return out.join(named, (docs[id_col] == named["_copy_id"]) & (text == named["_copy_text"]), "left_anti")

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import doc_chunks, stored, text_bytes
+from .common import doc_chunks, lean, stored, text_bytes
 from .tokens import default_vocabulary, encoder
 
 GROUP_PIECES = 8_192
@@ -50,7 +50,7 @@ def _pieces(vocabulary: str, limit: int):
 def pieces(docs: DataFrame, capacity: int = 2048, vocabulary: str | None = None, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of at most ``capacity`` tokens."""
-    return text_bytes(docs, id_col=id_col, text_col=text_col).mapInArrow(_pieces(vocabulary or default_vocabulary(), capacity), PIECES)
+    return text_bytes(docs, id_col=id_col, text_col=text_col).mapInArrow(lean(_pieces(vocabulary or default_vocabulary(), capacity)), PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: int, max_docs: int, max_attention: int, score: str) -> tuple[np.ndarray, np.ndarray]:

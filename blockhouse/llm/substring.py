@@ -33,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import chunk_words, doc_chunks, packed, shuffle_parts, split_sorted, text_bytes, text_volume, window_hashes
+from .common import chunk_words, doc_chunks, lean, packed, shuffle_parts, split_sorted, text_bytes, text_volume, window_hashes
 
 PERIOD, COVER = 13, (0, 1, 3, 9)
 FLUSH = 1 << 20          # entries collected before leaders are sent
@@ -237,11 +237,11 @@ def _marked(texts: DataFrame, length: int):
     buckets = max(parts, math.ceil(volume / 16 / BUCKET_ENTRIES))
 
     def settled(packed_rows: DataFrame, whole: bool) -> DataFrame:
-        return packed_rows.repartitionById(buckets, F.pmod("bucket", F.lit(buckets))).mapInArrow(_settle(blocks, whole), _PACKED)
+        return packed_rows.repartitionById(buckets, F.pmod("bucket", F.lit(buckets))).mapInArrow(lean(_settle(blocks, whole)), _PACKED)
 
-    anchors = settled(texts.select("doc_id", "text").mapInArrow(_anchors(buckets, blocks, length), _PACKED), True)
+    anchors = settled(texts.select("doc_id", "text").mapInArrow(lean(_anchors(buckets, blocks, length)), _PACKED), True)
     docs = texts.withColumn("block", F.pmod("doc_id", F.lit(blocks)).cast("int"))
-    around = docs.groupBy("block").cogroup(anchors.groupBy("bucket")).applyInArrow(_windows(buckets, blocks, length), _PACKED)
+    around = docs.groupBy("block").cogroup(anchors.groupBy("bucket")).applyInArrow(lean(_windows(buckets, blocks, length)), _PACKED)
     return docs, settled(around, False)
 
 
@@ -250,7 +250,7 @@ def repeated_passages(docs: DataFrame, length: int = 20, id_col: str = "doc_id",
     texts = text_bytes(docs, id_col=id_col, text_col=text_col).where("doc_id IS NOT NULL")
     blocked, gone = _marked(texts, length)
     return (blocked.groupBy("block").cogroup(gone.groupBy("bucket"))
-            .applyInArrow(_cut(length, False), "doc_id bigint, n_words bigint, n_removed bigint, kept string")
+            .applyInArrow(lean(_cut(length, False)), "doc_id bigint, n_words bigint, n_removed bigint, kept string")
             .withColumnRenamed("kept", "kept_sha256"))
 
 
@@ -263,6 +263,6 @@ def without_repeats(docs: DataFrame, length: int = 20, id_col: str = "doc_id", t
     blocked, gone = _marked(texts.where("doc_id IS NOT NULL").withColumn("row", F.col("row").dropFields(text_col)), length)
     kind = T.StructType.fromDDL("doc_id bigint, n_words bigint, n_removed bigint, kept binary").add("row", blocked.schema["row"].dataType)
     out = (blocked.groupBy("block").cogroup(gone.groupBy("bucket"))
-           .applyInArrow(_cut(length, True), kind))
+           .applyInArrow(lean(_cut(length, True)), kind))
     named = out.select(*[F.col("kept").cast("string").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
     return named.union(docs.where(F.col(id_col).isNull()))

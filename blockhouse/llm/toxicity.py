@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import doc_chunks, packed, text_bytes
+from .common import doc_chunks, lean, packed, text_bytes
 from .language import fold
 
 SAMPLE = 6_000          # labelled rows of each class that the classifier is fitted on
@@ -140,9 +140,9 @@ def _add(batches):
 
 def _character_model(texts: DataFrame, words: dict[str, float]) -> np.ndarray:
     """log P(third | first, second), with backing off to the last character."""
-    parts = texts.mapInArrow(_trigrams, "first int, counts binary")
+    parts = texts.mapInArrow(lean(_trigrams), "first int, counts binary")
     n = np.zeros((SYMBOLS, SYMBOLS, SYMBOLS))
-    for k, c in parts.repartition(8, "first").mapInArrow(_add, "first int, counts binary").collect():  # 64 rows, 2 MB
+    for k, c in parts.repartition(8, "first").mapInArrow(lean(_add), "first int, counts binary").collect():  # 64 rows, 2 MB
         n[k] += np.frombuffer(c, dtype=np.int64).reshape(SYMBOLS, SYMBOLS)
     weight = max(10.0, n.sum() * 1e-3 / max(len(words), 1))
     for w in words:
@@ -325,7 +325,7 @@ def learn(docs: DataFrame, labels: DataFrame, learned: Column, id_col: str = "do
     units: dict[str, float] = {}
     if toxic_n:
         least = max(3, math.ceil(0.005 * toxic_n))
-        count = lambda rows, only: rows.mapInArrow(_unit_counts(only), "unit string, toxic bigint, clean bigint").groupBy("unit")
+        count = lambda rows, only: rows.mapInArrow(lean(_unit_counts(only)), "unit string, toxic bigint, clean bigint").groupBy("unit")
         often = count(sample.where("toxic = 1"), None).agg(F.sum("toxic").alias("toxic")).where(F.col("toxic") >= least).collect()
         known = spark.sparkContext.broadcast({r[0] for r in often})
         clean = {r[0]: r[1] for r in count(sample.where("toxic = 0"), known).agg(F.sum("clean").alias("clean")).collect()}
@@ -336,7 +336,7 @@ def learn(docs: DataFrame, labels: DataFrame, learned: Column, id_col: str = "do
                 units[u] = e
     model = _character_model(texts.select("doc_id", "text"), units)
     shared = spark.sparkContext.broadcast((units, model))
-    f = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "text").mapInArrow(_features(shared), "doc_id bigint, strongest double, n_units double")
+    f = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "text").mapInArrow(lean(_features(shared)), "doc_id bigint, strongest double, n_units double")
     rows = f.join(F.broadcast(picked), "doc_id").select("strongest", "n_units", "toxic").collect()  # <= 2 * SAMPLE small rows
     x = np.array([r[:2] for r in rows], dtype=float).reshape(-1, 2)
     y = np.array([r[2] for r in rows], dtype=float)
@@ -348,7 +348,7 @@ def score(docs: DataFrame, labels: DataFrame, parts: int = 3, held: int = 1, thr
     """doc_id, held_out, score, predicted; labels of held-out ids are never read."""
     units, model, w = learn(docs, labels, fold(F.col("doc_id"), parts) != held, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast((units, model))
-    f = text_bytes(docs, id_col=id_col, text_col=text_col).mapInArrow(_features(shared), "doc_id bigint, strongest double, n_units double")
+    f = text_bytes(docs, id_col=id_col, text_col=text_col).mapInArrow(lean(_features(shared)), "doc_id bigint, strongest double, n_units double")
     z = F.lit(float(w[0])) + F.lit(float(w[1])) * F.col("strongest") + F.lit(float(w[2])) * F.col("n_units")
     out = f.withColumn("score", 1 / (1 + F.exp(-z)))
     return out.select("doc_id", F.coalesce(fold(F.col("doc_id"), parts) == held, F.lit(False)).alias("held_out"), "score",
@@ -375,4 +375,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, parts: int = 3, held: int
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     d = docs.select(row, F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("_scored_text"))
     kind = T.StructType().add("row", d.schema["row"].dataType)
-    return d.mapInArrow(_rejected(shared, [float(x) for x in w], threshold), kind).select("row.*")
+    return d.mapInArrow(lean(_rejected(shared, [float(x) for x in w], threshold)), kind).select("row.*")

@@ -8,7 +8,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from blockhouse.llm import chat, language, quality, toxicity
-from blockhouse.llm.common import BATCH_BYTES, text_bytes
+from blockhouse.llm.common import BATCH_BYTES, lean, text_bytes
 from blockhouse.llm.queries import Q
 from tests.conftest import SF_CHECK, SF_SMALL
 from tests.llm import brute
@@ -210,3 +210,24 @@ def test_arrow_batches_of_texts_are_bounded_by_bytes(spark):
 
     found = [r[0] for r in text_bytes(docs).mapInArrow(sizes, "n bigint").collect()]
     assert sum(found) > 3 * BATCH_BYTES and max(found) < 1.1 * BATCH_BYTES
+
+
+def test_workers_give_back_what_a_step_freed():
+    """Idle workers are kept, and what a step freed between blocks still in use stays theirs."""
+    used = []
+
+    def held():
+        with open("/proc/self/smaps_rollup") as f:
+            return next(int(x.split()[1]) for x in f if x.startswith("Anonymous:")) >> 10
+
+    def step(batches):
+        for b in batches:
+            some = [bytes(100_000) for _ in range(2_000)]  # 200 MB
+            used.append(some[::100])  # 2 MB all over them
+            del some
+            yield pa.record_batch([pa.array([1])], names=["n"])
+
+    before = held()
+    assert [b.num_rows for b in lean(step)([None])] == [1]
+    assert held() - before < 60
+    assert lean(lambda left, right: left)(1, 2) == 1
