@@ -123,9 +123,10 @@ def asof_block(blocks: DataFrame, targets: DataFrame, closest: str = "before",
 
 
 def join_block_header(txs: DataFrame, headers: DataFrame, key: str = "blockNumber") -> DataFrame:
-    """JOIN-4: header time onto its transactions (equi join; AQE turns it
-    into a broadcast join only when the runtime size of the headers allows)."""
-    return txs.join(headers, key, "inner")
+    """JOIN-4: header time onto its transactions (equi join). Always a merge join:
+    Spark plans with an exploded side as small as the responses it came from, and
+    would broadcast all transactions through the driver."""
+    return txs.join(headers.hint("merge"), key, "inner")
 
 
 def join_price_fx(prices: DataFrame, rates: DataFrame) -> DataFrame:

@@ -1,15 +1,18 @@
 """What keeps shuffles, files and tasks in step with the tables."""
 import glob
+import json
 import re
 
 import pyarrow.parquet as pq
 import pytest
 
+from blockhouse.operators import joins as jn
 from blockhouse.plans import fixtures as fx
 from blockhouse.plans import queries as q
 from blockhouse.plans.queries import Q
 from blockhouse.session import scratch_path
 from blockhouse.sinks.hourmap import HourTable
+from blockhouse.sources import landed as lsrc
 
 from .conftest import SF_SMALL
 from .test_plans import plan
@@ -79,3 +82,18 @@ def test_parsed_blocks_are_not_shuffled_for_their_receipts(spark, capsys, key):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "REPARTITION_BY_NUM" in final and "hashpartitioning(_block#" not in final
+
+
+def test_transactions_are_not_broadcast_to_meet_their_headers(spark, capsys):
+    tx = lambda n, i: {"hash": f"{n}-{i}", "blockNumber": n}
+    block = lambda n, ts, txs: (json.dumps({"result": {"number": n, "timestamp": ts, "transactions": txs}}),)
+    blocks = spark.createDataFrame([
+        block("0x1", "0x64", [tx("0x1", i) for i in range(3)]), block("0x2", "0x65", [tx("0x2", 0), "a hash"]),
+        block("0x2", "0x66", []), block("0x3", "0x67", [tx("0x9", 0), tx(None, 0)]), block(None, "0x68", [tx("0x1", 3)]),
+    ], "body string")
+    t = lsrc.flatten_rpc_blocks(blocks, stamp=False).select("hash", jn.fn.hex_to_long("blockNumber").alias("blockNumber"))
+    df = jn.join_block_header(t, lsrc.rpc_block_headers(blocks))
+    got = sorted((r["hash"], r["blockNumber"], r["block_ts_hex"]) for r in df.collect())
+    assert got == [*[(f"0x1-{i}", 1, "0x64") for i in range(4)], ("0x2-0", 2, "0x65"), ("0x2-0", 2, "0x66")]
+    for p in (plan(df, capsys), plan(Q["join_block_header"](spark, SF_SMALL), capsys)):
+        assert "SortMergeJoin" in p and "Broadcast" not in p
